@@ -9,10 +9,18 @@ window once, when the watermark passes its end.
 Scale notes. Counts and sums are mergeable, so Spark aggregates partially
 before the shuffle (``HashAggregate`` partial + final): a hot key costs one
 partial row per map task and window, not one row per event. A sliding
-window of size ``s`` and slide ``l`` copies each row ``s/l`` times
-(``Expand``); ``method="pane"`` counts per slide-sized pane first and copies
-only the pane counts, which pays when many rows share a key and pane
-(the traffic job's 10 min / 5 s window copies 120 times).
+window of size ``s`` and slide ``l`` copies each row ``n = s/l`` times
+(``Expand``; the traffic job's 10 min / 5 s window copies 120 times) and
+then shuffles the copies. The batch *pane* form (default when ``l``
+divides ``s``) counts per slide-sized pane first (partial + final), then
+shuffles only the pane counts, on ``(key, window block)``: a pane's ``n``
+windows fall into at most two blocks of ``4n`` consecutive windows, so each
+pane count is sent to one or two tasks, and the windows of a block are
+summed there with no further shuffle. The shuffle carries about 1.25 rows
+per pane instead of ``n`` per event, and a hot key is spread over its time
+blocks. The explicit partition count keeps that stage as wide as the
+session's ``spark.sql.shuffle.partitions`` even when the pane counts are
+small (the expansion happens after the shuffle).
 """
 
 from __future__ import annotations
@@ -32,23 +40,54 @@ def _window(time_col: str, size, slide=None) -> Column:
     return F.window(time_col, spark_interval(size), spark_interval(slide))
 
 
+def _shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _pane_counts_batch(df: DataFrame, keys: list[str], size_us: int, slide_us: int,
+                       time_col: str, count_col: str) -> DataFrame:
+    """Batch sliding counts over panes (see the module notes)."""
+    n = size_us // slide_us
+    block = 4 * n
+    pane = F.floor(F.unix_micros(F.col(time_col)) / F.lit(slide_us)).cast("bigint")
+    panes = df.groupBy(*keys, pane.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    # window w (end = w * slide) holds panes w-n .. w-1, so pane p feeds w = p+1 .. p+n
+    lo, hi = F.col("_p") + 1, F.col("_p") + n
+    blocks = F.sequence(F.floor(lo / block), F.floor(hi / block))
+    spread = (panes.select(*keys, "_p", "_n", F.explode(blocks).alias("_b"))
+              .repartition(_shuffle_partitions(df), *keys, "_b"))
+    first_w = F.greatest(lo, F.col("_b") * block)
+    last_w = F.least(hi, F.col("_b") * block + (block - 1))
+    windows = spread.select(*keys, "_b", F.explode(F.sequence(first_w, last_w)).alias("_w"), "_n")
+    counts = windows.groupBy(*keys, "_b", "_w").agg(F.sum("_n").alias(count_col))
+    return counts.select(*keys, (F.col("_w") * (slide_us // 1000)).alias("window_end"), count_col)
+
+
 def windowed_count(df: DataFrame, keys: Sequence[str], size, slide=None, time_col: str = "et",
-                   method: str = "direct", count_col: str = "cnt") -> DataFrame:
+                   method: str = "auto", count_col: str = "cnt") -> DataFrame:
     """Rows per key and window: ``(*keys, window_end, cnt)`` (A1 + A2 + P4).
 
-    ``method="pane"`` needs ``size`` to be a multiple of ``slide``; its result
-    equals the direct form row for row.
+    ``method``: ``direct`` (Spark's ``window``), ``pane`` (needs ``size`` to
+    be a multiple of ``slide``) or ``auto`` (pane for sliding batch windows
+    when possible). Both forms give identical rows.
     """
     keys = list(keys)
-    if method == "pane" and slide is not None and to_us(size) != to_us(slide):
-        if to_us(size) % to_us(slide):
+    sliding = slide is not None and to_us(size) != to_us(slide)
+    divisible = sliding and to_us(size) % to_us(slide) == 0
+    if method == "auto":
+        method = "pane" if divisible else "direct"
+    if method == "pane" and sliding:
+        if not divisible:
             raise ValueError("pane method needs size to be a multiple of slide")
+        if not df.isStreaming:
+            return _pane_counts_batch(df, keys, to_us(size), to_us(slide), time_col, count_col)
+        # stream: chained append-mode aggregations keep the watermark lineage
         panes = (df.groupBy(_window(time_col, slide).alias("_pane"), *keys)
                  .agg(F.count(F.lit(1)).alias("_n"))
                  .select(F.window_time("_pane").alias("_pt"), *keys, "_n"))
         agg = (panes.groupBy(_window("_pt", size, slide).alias("window"), *keys)
                .agg(F.sum("_n").alias(count_col)))
-    elif method == "direct" or slide is None or to_us(size) == to_us(slide):
+    elif method in ("direct", "pane"):
         agg = (df.groupBy(_window(time_col, size, slide).alias("window"), *keys)
                .agg(F.count(F.lit(1)).alias(count_col)))
     else:

@@ -39,6 +39,12 @@ def hot_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.top_k_per_window(counts, "item_id", TOP_K).select("window_end", "rank", "item_id", "cnt")
 
 
+def hot_items_direct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pv = T.behavior_from_events(_events(spark, sf_dir)).where(F.col("behavior") == "pv")
+    counts = ops.windowed_count(pv, ["item_id"], ITEM_WINDOW, ITEM_SLIDE, method="direct")
+    return ops.top_k_per_window(counts, "item_id", TOP_K).select("window_end", "rank", "item_id", "cnt")
+
+
 def hot_items_pane(spark: SparkSession, sf_dir: str) -> DataFrame:
     pv = T.behavior_from_events(_events(spark, sf_dir)).where(F.col("behavior") == "pv")
     counts = ops.windowed_count(pv, ["item_id"], ITEM_WINDOW, ITEM_SLIDE, method="pane")
@@ -230,6 +236,7 @@ _BUCKETS = """
 ORACLES: dict[str, str] = {
     "hot_items": _HOT_ITEMS_SQL,
     "hot_items_pane": _HOT_ITEMS_SQL,
+    "hot_items_direct": _HOT_ITEMS_SQL,
     "hot_items_report": _report_sql(_HOT_ITEMS_SQL, "item_id", " 商品ID=", " 浏览量=", "chr(10)"),
     "hot_urls": _HOT_URLS_SQL,
     "hot_urls_direct": _HOT_URLS_SQL,
@@ -280,6 +287,7 @@ SELECT order_id, day, channel, pt // 1000 AS pay_ms FROM p ANTI JOIN o USING (or
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hot_items": hot_items,
     "hot_items_pane": hot_items_pane,
+    "hot_items_direct": hot_items_direct,
     "hot_items_report": hot_items_report,
     "hot_urls": hot_urls,
     "hot_urls_direct": hot_urls_direct,
