@@ -305,3 +305,131 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reconcile_unmatched_orders": reconcile_unmatched_orders,
     "reconcile_unmatched_payments": reconcile_unmatched_payments,
 }
+
+
+# ------------------------------------------------------------ stream twins
+# The same jobs as Structured Streaming queries over the events file
+# (availableNow, watermark delay 1 ms as for ascending input). A stream
+# emits what its final watermark has closed; the oracles apply the same
+# cut: windows with end <= watermark, timers below the watermark.
+from eventlytics import streaming as S  # noqa: E402
+
+DELAY = "1 millisecond"
+
+
+def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.stream_table(spark, sf_dir, "events", T.EVENTS_SCHEMA)
+
+
+def _pv_stream(spark, sf_dir):
+    b = T.behavior_from_events(_events_stream(spark, sf_dir)).withWatermark("et", DELAY)
+    return b.where(F.col("behavior") == "pv")
+
+
+def hot_items_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = ops.windowed_count(_pv_stream(spark, sf_dir), ["item_id"], ITEM_WINDOW, ITEM_SLIDE,
+                                method="direct")
+    top = S.top_k_stream(counts, "item_id", TOP_K, "hot_items_stream")
+    return top.select("window_end", "rank", "item_id", "cnt")
+
+
+def pv_hourly_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.stream_result(ops.window_count(_pv_stream(spark, sf_dir), HOUR, count_col="pv"),
+                           "pv_hourly_stream")
+
+
+def uv_hourly_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.stream_result(ops.window_distinct(_pv_stream(spark, sf_dir), "user_id", HOUR,
+                                               out_col="uv"), "uv_hourly_stream")
+
+
+def field_sum_hourly_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fs = ops.window_field_sum(_pv_stream(spark, sf_dir), "user_id", HOUR,
+                              ["item_id", "category_id", "behavior", "ts_s"])
+    return S.stream_result(fs, "field_sum_hourly_stream")
+
+
+def login_fail_burst_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lg = T.logins_from_events(_events_stream(spark, sf_dir)).withWatermark("et", DELAY)
+    st = S.failure_burst_stream(lg, ["user_id"], F.col("event_type") == "fail", GAP,
+                                ["ip", "event_type", "et"])
+    out = S.stream_result(st, "login_fail_burst_stream")
+    return out.select("user_id", "ip", "event_type", F.unix_millis("et").alias("event_ms"),
+                      F.floor(F.col("timer_us") / 1000).cast("bigint").alias("timer_ms"))
+
+
+def order_timeout_slot_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    od = T.orders_from_events(_events_stream(spark, sf_dir), only_orders_and_payments=True) \
+        .withWatermark("et", DELAY)
+    st = S.single_slot_timeout_stream(od, ["order_id"], F.col("event_type") == "create", GAP,
+                                      ["event_type", "et"])
+    out = S.stream_result(st, "order_timeout_slot_stream")
+    return out.select("order_id", "event_type", F.unix_millis("et").alias("event_ms"),
+                      F.floor(F.col("timer_us") / 1000).cast("bigint").alias("timer_ms"))
+
+
+def _pattern_stream(spark, sf_dir, name):
+    od = T.orders_from_events(_events_stream(spark, sf_dir)).withWatermark("et", DELAY)
+    st = S.pattern_timeout_stream(od, ["order_id"], F.col("event_type") == "create",
+                                  F.col("event_type") == "pay", GAP, ["event_type", "et"])
+    return S.stream_result(st, name)
+
+
+def order_timeout_pattern_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _pattern_stream(spark, sf_dir, "order_timeout_pattern_stream")
+    return out.where(F.col("status") == "timeout").select(
+        "order_id", "event_type", F.unix_millis("et").alias("event_ms"))
+
+
+def order_pay_matches_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _pattern_stream(spark, sf_dir, "order_pay_matches_stream")
+    return out.where(F.col("status") == "match").select(
+        "order_id", F.unix_millis("et").alias("event_ms"),
+        F.floor(F.col("next_us") / 1000).cast("bigint").alias("next_ms"))
+
+
+_WM = "(SELECT max(epoch_ms(ts)) - 1 FROM events)"
+
+
+def _closed(sql: str, cond: str) -> str:
+    return f"SELECT * FROM ({sql}) AS q WHERE {cond}"
+
+
+STREAM_ORACLES: dict[str, str] = {
+    "hot_items_stream": _closed(_HOT_ITEMS_SQL, f"window_end <= {_WM}"),
+    "pv_hourly_stream": _closed(ORACLES["pv_hourly"], f"window_end <= {_WM}"),
+    "uv_hourly_stream": _closed(ORACLES["uv_hourly"], f"window_end <= {_WM}"),
+    "field_sum_hourly_stream": _closed(ORACLES["field_sum_hourly"], f"window_end <= {_WM}"),
+    "login_fail_burst_stream": _LOGINS + _BUCKETS.format(d=GAP_US, key="user_id", src="lg") + f"""
+, g AS (SELECT user_id, bucket, count(*) AS n, arg_min((ip, event_type, t), (t, seq)) AS f
+        FROM b WHERE event_type = 'fail' GROUP BY 1, 2)
+SELECT user_id, f[1] AS ip, f[2] AS event_type, f[3] // 1000 AS event_ms, bucket // 1000 AS timer_ms
+FROM g WHERE n > 1 AND bucket < {_WM} * 1000""",
+    "order_timeout_slot_stream": _ORDERS
+    + ", od2 AS (SELECT * FROM od WHERE event_type IN ('create', 'pay'))"
+    + _BUCKETS.format(d=GAP_US, key="order_id", src="od2") + f"""
+, g AS (SELECT order_id, bucket, count(*) FILTER (WHERE event_type <> 'create') AS other,
+               arg_min(t, (t, seq)) FILTER (WHERE event_type = 'create') AS ct
+        FROM b GROUP BY 1, 2)
+SELECT order_id, 'create' AS event_type, ct // 1000 AS event_ms, bucket // 1000 AS timer_ms
+FROM g WHERE other = 0 AND ct IS NOT NULL AND bucket < {_WM} * 1000""",
+    "order_timeout_pattern_stream": _ORDERS + f"""
+, x AS (SELECT *, lead(t) OVER (PARTITION BY order_id ORDER BY t, seq) AS nt FROM od)
+SELECT order_id, event_type, t // 1000 AS event_ms FROM x
+WHERE event_type = 'create' AND (nt IS NULL OR nt - t >= {GAP_US})
+  AND t + {GAP_US} <= {_WM} * 1000""",
+    "order_pay_matches_stream": _closed(ORACLES["order_pay_matches"], f"next_ms * 1000 < {_WM} * 1000"),
+}
+
+STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "hot_items_stream": hot_items_stream,
+    "pv_hourly_stream": pv_hourly_stream,
+    "uv_hourly_stream": uv_hourly_stream,
+    "field_sum_hourly_stream": field_sum_hourly_stream,
+    "login_fail_burst_stream": login_fail_burst_stream,
+    "order_timeout_slot_stream": order_timeout_slot_stream,
+    "order_timeout_pattern_stream": order_timeout_pattern_stream,
+    "order_pay_matches_stream": order_pay_matches_stream,
+}
+ORACLES.update(STREAM_ORACLES)
+QUERIES.update(STREAM_QUERIES)

@@ -1,0 +1,253 @@
+"""Stateful stream forms of the keyed detectors.
+
+Spark runs a processor's input rows before its timers, and a micro-batch
+may hold rows of several event times, so a direct translation of the
+reference's timer functions loses alerts (a ``create`` and its late ``pay``
+in one batch). Each processor here therefore replays the key's events in
+event-time order itself:
+
+* rows are buffered (list state) until the watermark passes them, then
+  released in ``(t, seq)`` order -- out-of-order input within the
+  watermark delay is thereby sorted;
+* logical timers live in list state; before a released row at ``t`` all
+  logical timers ``< t`` fire, and after the release every timer below the
+  watermark fires;
+* one real event-time timer per key wakes the key when the watermark will
+  pass its next buffered row or logical timer.
+
+The result equals the batch closed forms of :mod:`eventlytics.operators`
+restricted to what the final watermark has closed. State per key holds
+only rows and timers within the delay of the watermark.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator, Sequence
+
+from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
+from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
+
+from eventlytics.operators.durations import to_us
+
+_T = StructType([StructField("t", LongType())])
+
+
+class _Replay(StatefulProcessor):
+    """Base: ordered release of buffered rows and logical timers."""
+
+    def __init__(self, key_fields: Sequence[StructField], payload: StructType, delay_us: int,
+                 out_names: Sequence[str]):
+        self.key_fields = list(key_fields)
+        self.out_names = list(out_names)
+        self.payload = payload
+        self.delay_us = delay_us
+        # buffered row: t (µs), seq, flag, payload...
+        self.row_schema = StructType([StructField("_t", LongType()), StructField("_seq", LongType()),
+                                      StructField("_flag", BooleanType())] + list(payload.fields))
+
+    # -- machine hooks ----------------------------------------------------
+    def state_schema(self) -> StructType:
+        raise NotImplementedError
+
+    def step(self, state: list, row: tuple) -> tuple[list, list]:
+        """Process one released row: (outputs, new logical timers)."""
+        raise NotImplementedError
+
+    def fire(self, state: list, at: int) -> list:
+        """A logical timer at ``at`` fires: outputs."""
+        raise NotImplementedError
+
+    # -- Spark callbacks -------------------------------------------------
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.buf = handle.getListState("buf", self.row_schema)
+        self.timers = handle.getListState("timers", _T)
+        self.machine = handle.getValueState("machine", self.state_schema())
+        self.wake = handle.getValueState("wake", _T)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        new = [tuple(r[f.name] for f in self.row_schema.fields) for r in rows]
+        yield from self._advance(key, new, timerValues.getCurrentWatermarkInMs())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self.wake.clear()
+        yield from self._advance(key, [], timerValues.getCurrentWatermarkInMs())
+
+    def close(self) -> None:
+        pass
+
+    # -- replay ------------------------------------------------------------
+    def _advance(self, key, new: list, wm_ms: int) -> Iterator[Row]:
+        w_us = wm_ms * 1000
+        rows = (list(self.buf.get()) if self.buf.exists() else []) + new
+        ready = sorted((r for r in rows if r[0] < w_us), key=lambda r: (r[0], r[1]))
+        rest = [r for r in rows if r[0] >= w_us]
+        pending = sorted({x[0] for x in self.timers.get()} if self.timers.exists() else set())
+        state = list(self.machine.get()) if self.machine.exists() else None
+        state = self.initial_state() if state is None else state
+        out = []
+        for r in ready:
+            while pending and pending[0] < r[0]:
+                out += self.fire(state, pending.pop(0))
+            emitted, add = self.step(state, r)
+            out += emitted
+            pending = sorted(set(pending).union(add))
+        while pending and pending[0] < w_us:
+            out += self.fire(state, pending.pop(0))
+        self._save(rest, pending, state)
+        for o in out:
+            yield Row(**dict(zip(self.out_names, tuple(key) + tuple(o))))
+
+    def _save(self, rest, pending, state) -> None:
+        self.buf.clear()
+        if rest:
+            self.buf.put(rest)
+        self.timers.clear()
+        if pending:
+            self.timers.put([(t,) for t in pending])
+        self.machine.update(tuple(state))
+        nxt = min([r[0] for r in rest] + pending, default=None)
+        old = self.wake.get()[0] if self.wake.exists() else None
+        want = None if nxt is None else nxt // 1000 + 1  # wake once watermark > nxt
+        if want != old:
+            if old is not None:
+                self.handle.deleteTimer(old)
+            if want is not None:
+                self.handle.registerTimer(want)
+                self.wake.update((want,))
+            else:
+                self.wake.clear()
+
+    def initial_state(self) -> list:
+        return [None] * len(self.state_schema().fields)
+
+
+class FailureBurst(_Replay):
+    """M1: store failures; every event sets a timer at ``t + d``; a timer
+    emits the first stored failure when more than one is stored."""
+
+    def state_schema(self):
+        return StructType([StructField("n", LongType()), StructField("first", self.row_schema)])
+
+    def initial_state(self):
+        return [0, None]
+
+    def step(self, state, row):
+        if row[2]:
+            if not state[0]:
+                state[1] = row
+            state[0] = (state[0] or 0) + 1
+        return [], [row[0] + self.delay_us]
+
+    def fire(self, state, at):
+        n, first = state[0] or 0, state[1]
+        state[0], state[1] = 0, None
+        if n > 1:
+            return [tuple(first[3:]) + (at,)]
+        return []
+
+
+class SingleSlotTimeout(_Replay):
+    """M2: ``create`` fills an empty slot, other events overwrite it; every
+    event sets a timer at ``t + d``; a timer emits a held ``create``."""
+
+    def state_schema(self):
+        return StructType([StructField("slot", self.row_schema)])
+
+    def step(self, state, row):
+        if row[2]:
+            if state[0] is None:
+                state[0] = row
+        else:
+            state[0] = row
+        return [], [row[0] + self.delay_us]
+
+    def fire(self, state, at):
+        slot, state[0] = state[0], None
+        if slot is not None and slot[2]:
+            return [tuple(slot[3:]) + (at,)]
+        return []
+
+
+class PatternTimeout(_Replay):
+    """C2 + C3: a ``start`` event waits for the very next event; a ``next``
+    event within ``d`` completes it (status ``match``), an event ``>= d``
+    later or none at all times it out (status ``timeout``), any other event
+    within ``d`` discards it. The flag marks ``start`` rows; the payload's
+    first column must be the ``next`` flag."""
+
+    def state_schema(self):
+        return StructType([StructField("open", self.row_schema)])
+
+    def step(self, state, row):
+        out = []
+        open_ = state[0]
+        if open_ is not None:
+            if row[0] - open_[0] < self.delay_us and row[3]:
+                out.append(tuple(open_[4:]) + ("match", row[0]))
+            state[0] = None
+        if row[2]:
+            state[0] = row
+            return out, [row[0] + self.delay_us - 1]
+        return out, []
+
+    def fire(self, state, at):
+        open_ = state[0]
+        if open_ is not None and open_[0] + self.delay_us - 1 == at:
+            state[0] = None
+            return [tuple(open_[4:]) + ("timeout", None)]
+        return []
+
+
+def _key_fields(df: DataFrame, keys: Sequence[str]) -> list[StructField]:
+    return [df.schema[k] for k in keys]
+
+
+def _prepared(df: DataFrame, keys, flag: Column, payload_cols, time_col, seq_col, extra=()):
+    payload = [F.col(c) for c in payload_cols]
+    return df.select(*keys, F.unix_micros(F.col(time_col)).alias("_t"),
+                     F.col(seq_col).cast("bigint").alias("_seq"), flag.alias("_flag"),
+                     *extra, *payload)
+
+
+def _run(df: DataFrame, keys, proc: _Replay, out: StructType) -> DataFrame:
+    return df.groupBy(*keys).transformWithState(proc, out, "Append", "EventTime")
+
+
+def failure_burst_stream(df: DataFrame, keys: Sequence[str], is_failure: Column, delay,
+                         payload_cols: Sequence[str], time_col: str = "et",
+                         seq_col: str = "seq") -> DataFrame:
+    """Stream form of :func:`eventlytics.operators.failure_burst`.
+    Output: keys, payload columns, ``timer_us``."""
+    x = _prepared(df, keys, is_failure, payload_cols, time_col, seq_col)
+    payload = StructType([x.schema[c] for c in payload_cols])
+    out = StructType(_key_fields(df, keys) + list(payload.fields) + [StructField("timer_us", LongType())])
+    proc = FailureBurst(_key_fields(df, keys), payload, to_us(delay), out.names)
+    return _run(x, keys, proc, out)
+
+
+def single_slot_timeout_stream(df: DataFrame, keys: Sequence[str], is_create: Column, delay,
+                               payload_cols: Sequence[str], time_col: str = "et",
+                               seq_col: str = "seq") -> DataFrame:
+    """Stream form of :func:`eventlytics.operators.single_slot_timeout`."""
+    x = _prepared(df, keys, is_create, payload_cols, time_col, seq_col)
+    payload = StructType([x.schema[c] for c in payload_cols])
+    out = StructType(_key_fields(df, keys) + list(payload.fields) + [StructField("timer_us", LongType())])
+    proc = SingleSlotTimeout(_key_fields(df, keys), payload, to_us(delay), out.names)
+    return _run(x, keys, proc, out)
+
+
+def pattern_timeout_stream(df: DataFrame, keys: Sequence[str], start: Column, nxt: Column, within,
+                           payload_cols: Sequence[str], time_col: str = "et",
+                           seq_col: str = "seq") -> DataFrame:
+    """Stream form of :func:`pattern_timeout` and :func:`pattern_matches`:
+    keys, payload of the start event, ``status`` (``timeout`` / ``match``),
+    ``next_us`` (the matching event's time)."""
+    x = _prepared(df, keys, start, payload_cols, time_col, seq_col, extra=[nxt.alias("_next")])
+    payload = StructType([x.schema["_next"]] + [x.schema[c] for c in payload_cols])
+    out = StructType(_key_fields(df, keys) + [x.schema[c] for c in payload_cols]
+                     + [StructField("status", StringType()), StructField("next_us", LongType())])
+    proc = PatternTimeout(_key_fields(df, keys), payload, to_us(within), out.names)
+    return _run(x, keys, proc, out)
