@@ -388,7 +388,51 @@ def order_pay_matches_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.col("next_us") / 1000).cast("bigint").alias("next_ms"))
 
 
+def login_fail_adjacent_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lg = T.logins_from_events(_events_stream(spark, sf_dir)).withWatermark("et", DELAY)
+    fail = F.col("event_type") == "fail"
+    st = S.adjacent_pair_stream(lg, ["user_id"], fail, fail, GAP, ["ip", "event_type", "et"])
+    out = S.stream_result(st, "login_fail_adjacent_stream")
+    return out.select("user_id", "ip", "event_type", F.unix_millis("et").alias("event_ms"),
+                      F.floor(F.col("first_us") / 1000).cast("bigint").alias("first_ms"))
+
+
+def _reconciled_stream(spark, sf_dir, name):
+    ev = _events_stream(spark, sf_dir)
+    day = F.date_format(F.col("et"), "yyyy-MM-dd").alias("day")
+    orders = T.orders_from_events(ev.where(F.col("event_type") == T.VIEW)).select("*", day) \
+        .withWatermark("et", DELAY)
+    pays = T.payments_from_events(ev).select("*", day).withWatermark("et", DELAY)
+    day_end = F.date_add(F.to_date(F.col("et")), 1).cast("timestamp")
+    st = S.reconcile_stream(orders, pays, ["order_id", "day"], ["event_type"], ["event_type"],
+                            close=day_end)
+    return S.stream_result(st, name)
+
+
+def reconcile_matched_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = _reconciled_stream(spark, sf_dir, "reconcile_matched_stream").where(F.col("status") == "matched")
+    return r.select("order_id", "day", F.col("o_event_type").alias("order_type"),
+                    F.floor(F.col("o_us") / 1000).cast("bigint").alias("order_ms"),
+                    F.col("p_event_type").alias("channel"),
+                    F.floor(F.col("p_us") / 1000).cast("bigint").alias("pay_ms"))
+
+
+def reconcile_unmatched_orders_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = _reconciled_stream(spark, sf_dir, "reconcile_unmatched_orders_stream") \
+        .where(F.col("status") == "unmatched_order")
+    return r.select("order_id", "day", F.col("o_event_type").alias("order_type"),
+                    F.floor(F.col("o_us") / 1000).cast("bigint").alias("order_ms"))
+
+
+def reconcile_unmatched_payments_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = _reconciled_stream(spark, sf_dir, "reconcile_unmatched_payments_stream") \
+        .where(F.col("status") == "unmatched_payment")
+    return r.select("order_id", "day", F.col("p_event_type").alias("channel"),
+                    F.floor(F.col("p_us") / 1000).cast("bigint").alias("pay_ms"))
+
+
 _WM = "(SELECT max(epoch_ms(ts)) - 1 FROM events)"
+_DAY_CLOSED = f"epoch_ms(CAST(day AS DATE) + INTERVAL 1 DAY) <= {_WM}"
 
 
 def _closed(sql: str, cond: str) -> str:
@@ -418,6 +462,10 @@ FROM g WHERE other = 0 AND ct IS NOT NULL AND bucket < {_WM} * 1000""",
 SELECT order_id, event_type, t // 1000 AS event_ms FROM x
 WHERE event_type = 'create' AND (nt IS NULL OR nt - t >= {GAP_US})
   AND t + {GAP_US} <= {_WM} * 1000""",
+    "login_fail_adjacent_stream": _closed(ORACLES["login_fail_adjacent"], f"event_ms < {_WM}"),
+    "reconcile_matched_stream": _closed(ORACLES["reconcile_matched"], _DAY_CLOSED),
+    "reconcile_unmatched_orders_stream": _closed(ORACLES["reconcile_unmatched_orders"], _DAY_CLOSED),
+    "reconcile_unmatched_payments_stream": _closed(ORACLES["reconcile_unmatched_payments"], _DAY_CLOSED),
     "order_pay_matches_stream": _closed(ORACLES["order_pay_matches"], f"next_ms * 1000 < {_WM} * 1000"),
 }
 
@@ -430,6 +478,10 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_timeout_slot_stream": order_timeout_slot_stream,
     "order_timeout_pattern_stream": order_timeout_pattern_stream,
     "order_pay_matches_stream": order_pay_matches_stream,
+    "login_fail_adjacent_stream": login_fail_adjacent_stream,
+    "reconcile_matched_stream": reconcile_matched_stream,
+    "reconcile_unmatched_orders_stream": reconcile_unmatched_orders_stream,
+    "reconcile_unmatched_payments_stream": reconcile_unmatched_payments_stream,
 }
 ORACLES.update(STREAM_ORACLES)
 QUERIES.update(STREAM_QUERIES)

@@ -1,11 +1,12 @@
 """Structured Streaming forms: runners, sinks and stateful processors."""
 
 from eventlytics.streaming.processors import (
-    failure_burst_stream, pattern_timeout_stream, single_slot_timeout_stream,
+    adjacent_pair_stream, failure_burst_stream, pattern_timeout_stream, reconcile_stream,
+    single_slot_timeout_stream,
 )
 from eventlytics.streaming.sinks import console, run_available_now, stream_result, top_k_stream
 
 __all__ = [
-    "failure_burst_stream", "pattern_timeout_stream", "single_slot_timeout_stream", "console",
+    "adjacent_pair_stream", "reconcile_stream", "failure_burst_stream", "pattern_timeout_stream", "single_slot_timeout_stream", "console",
     "run_available_now", "stream_result", "top_k_stream",
 ]

@@ -201,6 +201,60 @@ class PatternTimeout(_Replay):
         return []
 
 
+class AdjacentPair(_Replay):
+    """The very next event of a key matches ``second`` within ``d`` of a
+    ``first`` event. The flag marks ``first`` rows; the payload's first
+    column is the ``second`` flag."""
+
+    def state_schema(self):
+        return StructType([StructField("prev", self.row_schema)])
+
+    def step(self, state, row):
+        prev, out = state[0], []
+        if prev is not None and prev[2] and row[3] and row[0] - prev[0] < self.delay_us:
+            out.append(tuple(row[4:]) + (prev[0],))
+        state[0] = row
+        return out, []
+
+    def fire(self, state, at):
+        return []
+
+
+class Reconcile(_Replay):
+    """Latest order and latest payment per key; when the watermark
+    passes the key's close time the pair (or each unmatched side) is
+    emitted. The flag marks order rows; the payload starts with the close
+    time (µs), then the order columns, then the payment columns."""
+
+    def __init__(self, key_fields, payload, wait_us, out_names, n_order: int, n_pay: int):
+        super().__init__(key_fields, payload, wait_us if wait_us is not None else -1, out_names)
+        self.n_order, self.n_pay = n_order, n_pay
+
+    def state_schema(self):
+        return StructType([StructField("o", self.row_schema), StructField("p", self.row_schema)])
+
+    def step(self, state, row):
+        state[0 if row[2] else 1] = row
+        return [], [row[3] - 1]
+
+    def fire(self, state, at):
+        o, p = state
+        state[0] = state[1] = None
+        no, npay = [None] * self.n_order, [None] * self.n_pay
+        ocols = lambda r: list(r[4:4 + self.n_order])
+        pcols = lambda r: list(r[4 + self.n_order:4 + self.n_order + self.n_pay])
+        paired = o is not None and p is not None and (
+            self.delay_us < 0 or 0 <= p[0] - o[0] <= self.delay_us)
+        if paired:
+            return [tuple(["matched"] + ocols(o) + [o[0]] + pcols(p) + [p[0]])]
+        out = []
+        if o is not None:
+            out.append(tuple(["unmatched_order"] + ocols(o) + [o[0]] + npay + [None]))
+        if p is not None:
+            out.append(tuple(["unmatched_payment"] + no + [None] + pcols(p) + [p[0]]))
+        return out
+
+
 def _key_fields(df: DataFrame, keys: Sequence[str]) -> list[StructField]:
     return [df.schema[k] for k in keys]
 
@@ -251,3 +305,45 @@ def pattern_timeout_stream(df: DataFrame, keys: Sequence[str], start: Column, nx
                      + [StructField("status", StringType()), StructField("next_us", LongType())])
     proc = PatternTimeout(_key_fields(df, keys), payload, to_us(within), out.names)
     return _run(x, keys, proc, out)
+
+
+def adjacent_pair_stream(df: DataFrame, keys: Sequence[str], first: Column, second: Column, within,
+                         payload_cols: Sequence[str], time_col: str = "et",
+                         seq_col: str = "seq") -> DataFrame:
+    """Stream form of :func:`adjacent_pair_within`: keys, the second
+    event's payload, ``first_us``."""
+    x = _prepared(df, keys, first, payload_cols, time_col, seq_col, extra=[second.alias("_second")])
+    payload = StructType([x.schema["_second"]] + [x.schema[c] for c in payload_cols])
+    out = StructType(_key_fields(df, keys) + [x.schema[c] for c in payload_cols]
+                     + [StructField("first_us", LongType())])
+    proc = AdjacentPair(_key_fields(df, keys), payload, to_us(within), out.names)
+    return _run(x, keys, proc, out)
+
+
+def reconcile_stream(orders: DataFrame, payments: DataFrame, keys: Sequence[str],
+                     order_cols: Sequence[str], payment_cols: Sequence[str], close: Column,
+                     wait=None, time_col: str = "et", seq_col: str = "seq") -> DataFrame:
+    """Stream form of :func:`eventlytics.operators.reconcile`.
+
+    ``close`` gives, per row, the time after which its key receives no more
+    events (constant per key, e.g. the end of the key's day); the key's
+    outputs are emitted once the watermark reaches it. Both inputs need a
+    watermark. Output: ``*keys, status, o_<cols>, o_us, p_<cols>, p_us``.
+    """
+    o_src = [F.col(c).alias(f"o_{c}") for c in order_cols]
+    p_src = [F.col(c).alias(f"p_{c}") for c in payment_cols]
+    o_null = [F.lit(None).cast(orders.schema[c].dataType).alias(f"o_{c}") for c in order_cols]
+    p_null = [F.lit(None).cast(payments.schema[c].dataType).alias(f"p_{c}") for c in payment_cols]
+    close_us = F.unix_micros(close).alias("_close")
+    base = [*keys, F.col(time_col).alias("_et"), F.col(seq_col).cast("bigint").alias("_sq")]
+    tagged = orders.select(*base, F.lit(True).alias("_is_order"), close_us, *o_src, *p_null) \
+        .unionByName(payments.select(*base, F.lit(False).alias("_is_order"), close_us, *o_null, *p_src))
+    pay_names = ["_close"] + [f"o_{c}" for c in order_cols] + [f"p_{c}" for c in payment_cols]
+    x = _prepared(tagged, keys, F.col("_is_order"), pay_names, "_et", "_sq")
+    payload = StructType([x.schema[c] for c in pay_names])
+    out = StructType(_key_fields(tagged, keys) + [StructField("status", StringType())]
+                     + [x.schema[f"o_{c}"] for c in order_cols] + [StructField("o_us", LongType())]
+                     + [x.schema[f"p_{c}"] for c in payment_cols] + [StructField("p_us", LongType())])
+    proc = Reconcile(_key_fields(tagged, keys), payload, None if wait is None else to_us(wait),
+                     out.names, len(order_cols), len(payment_cols))
+    return _run(x, keys, proc, out)
