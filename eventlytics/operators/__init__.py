@@ -4,12 +4,13 @@ from eventlytics.operators.patterns import adjacent_pair_within, pattern_matches
 from eventlytics.operators.reconcile import reconcile, split_status
 from eventlytics.operators.timers import failure_burst, flush_buckets, single_slot_timeout
 from eventlytics.operators.topk import rank_report, top_k_per_window
+from eventlytics.operators import durations
 from eventlytics.operators.windows import (
     window_count, window_distinct, window_field_sum, windowed_count,
 )
 
 __all__ = [
-    "adjacent_pair_within", "pattern_matches", "pattern_timeout", "reconcile", "split_status",
+    "durations", "adjacent_pair_within", "pattern_matches", "pattern_timeout", "reconcile", "split_status",
     "failure_burst", "flush_buckets", "single_slot_timeout", "rank_report", "top_k_per_window",
     "window_count", "window_distinct", "window_field_sum", "windowed_count",
 ]
