@@ -27,13 +27,12 @@ from collections.abc import Iterator, Sequence
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
-from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    ArrayType, BooleanType, LongType, StringType, StructField, StructType,
+)
 
 from eventlytics.operators.durations import to_us
 
-_T = StructType([StructField("t", LongType())])
-
-
 class _Replay(StatefulProcessor):
     """Base: ordered release of buffered rows and logical timers."""
 
@@ -61,64 +60,63 @@ class _Replay(StatefulProcessor):
 
     # -- Spark callbacks -------------------------------------------------
     def init(self, handle) -> None:
+        # one value per key holding buffer, timers, machine and wake time:
+        # every state access is a round trip to the JVM, so one get and one
+        # update per call
         self.handle = handle
-        self.buf = handle.getListState("buf", self.row_schema)
-        self.timers = handle.getListState("timers", _T)
-        self.machine = handle.getValueState("machine", self.state_schema())
-        self.wake = handle.getValueState("wake", _T)
+        self.st = handle.getValueState("st", StructType([
+            StructField("buf", ArrayType(self.row_schema)),
+            StructField("timers", ArrayType(LongType())),
+            StructField("machine", self.state_schema()),
+            StructField("wake", LongType())]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         new = [tuple(r[f.name] for f in self.row_schema.fields) for r in rows]
         yield from self._advance(key, new, timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.wake.clear()
-        yield from self._advance(key, [], timerValues.getCurrentWatermarkInMs())
+        yield from self._advance(key, [], timerValues.getCurrentWatermarkInMs(),
+                                 fired=expiredTimerInfo.getExpiryTimeInMs())
 
     def close(self) -> None:
         pass
 
     # -- replay ------------------------------------------------------------
-    def _advance(self, key, new: list, wm_ms: int) -> Iterator[Row]:
+    def _advance(self, key, new: list, wm_ms: int, fired: int | None = None) -> Iterator[Row]:
         w_us = wm_ms * 1000
-        rows = (list(self.buf.get()) if self.buf.exists() else []) + new
+        saved = self.st.get()
+        buf, timers, machine, wake = (saved if saved is not None else (None, None, None, None))
+        if fired is not None and wake == fired:
+            wake = None  # that timer is spent
+        rows = [tuple(r) for r in (buf or [])] + new
         ready = sorted((r for r in rows if r[0] < w_us), key=lambda r: (r[0], r[1]))
         rest = [r for r in rows if r[0] >= w_us]
-        pending = sorted({x[0] for x in self.timers.get()} if self.timers.exists() else set())
-        state = list(self.machine.get()) if self.machine.exists() else None
-        state = self.initial_state() if state is None else state
+        pending = sorted(set(timers or []))
+        state = list(machine) if machine is not None else self.initial_state()
         out = []
         for r in ready:
             while pending and pending[0] < r[0]:
                 out += self.fire(state, pending.pop(0))
             emitted, add = self.step(state, r)
             out += emitted
-            pending = sorted(set(pending).union(add))
+            if add:
+                pending = sorted(set(pending).union(add))
         while pending and pending[0] < w_us:
             out += self.fire(state, pending.pop(0))
-        self._save(rest, pending, state)
-        for o in out:
-            yield Row(**dict(zip(self.out_names, tuple(key) + tuple(o))))
-
-    def _save(self, rest, pending, state) -> None:
-        self.buf.clear()
-        if rest:
-            self.buf.put(rest)
-        self.timers.clear()
-        if pending:
-            self.timers.put([(t,) for t in pending])
-        self.machine.update(tuple(state))
+        # wake once the watermark passes the next buffered row or timer
         nxt = min([r[0] for r in rest] + pending, default=None)
-        old = self.wake.get()[0] if self.wake.exists() else None
-        want = None if nxt is None else nxt // 1000 + 1  # wake once watermark > nxt
-        if want != old:
-            if old is not None:
-                self.handle.deleteTimer(old)
+        want = None if nxt is None else nxt // 1000 + 1
+        if want != wake:
+            if wake is not None:
+                self.handle.deleteTimer(wake)
             if want is not None:
                 self.handle.registerTimer(want)
-                self.wake.update((want,))
-            else:
-                self.wake.clear()
+        if rest or pending or state != self.initial_state():
+            self.st.update((rest, pending, tuple(state), want))
+        else:
+            self.st.clear()
+        for o in out:
+            yield Row(**dict(zip(self.out_names, tuple(key) + tuple(o))))
 
     def initial_state(self) -> list:
         return [None] * len(self.state_schema().fields)
