@@ -26,8 +26,15 @@ def default_chunk_us(halo_us: int) -> int:
     return max(4 * halo_us, HOUR_US)
 
 
+def floor_div(a: Column, b: int) -> Column:
+    """Exact integer floor division for |a| < 2**53 (epoch µs: ~285 years):
+    ``a - pmod(a, b)`` is an exact multiple of ``b``, so the double quotient
+    is exact."""
+    return ((a - F.pmod(a, F.lit(b))) / F.lit(b)).cast("bigint")
+
+
 def chunk_of(t_us: Column, chunk_us: int) -> Column:
-    return F.floor(t_us / F.lit(chunk_us)).cast("bigint")
+    return floor_div(t_us, chunk_us)
 
 
 def with_halo(df: DataFrame, t_col: str, halo_us: int, chunk_us: int, side: str) -> DataFrame:

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from eventlytics.functions.time import window_end_ms
 from eventlytics.operators.durations import spark_interval, to_us
+from eventlytics.operators.sequence import floor_div
 
 
 def _window(time_col: str, size, slide=None) -> Column:
@@ -49,11 +50,11 @@ def _pane_counts_batch(df: DataFrame, keys: list[str], size_us: int, slide_us: i
     """Batch sliding counts over panes (see the module notes)."""
     n = size_us // slide_us
     block = 4 * n
-    pane = F.floor(F.unix_micros(F.col(time_col)) / F.lit(slide_us)).cast("bigint")
+    pane = floor_div(F.unix_micros(F.col(time_col)), slide_us)
     panes = df.groupBy(*keys, pane.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
     # window w (end = w * slide) holds panes w-n .. w-1, so pane p feeds w = p+1 .. p+n
     lo, hi = F.col("_p") + 1, F.col("_p") + n
-    blocks = F.sequence(F.floor(lo / block), F.floor(hi / block))
+    blocks = F.sequence(floor_div(lo, block), floor_div(hi, block))
     spread = (panes.select(*keys, "_p", "_n", F.explode(blocks).alias("_b"))
               .repartition(_shuffle_partitions(df), *keys, "_b"))
     first_w = F.greatest(lo, F.col("_b") * block)
