@@ -37,15 +37,55 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], cols: Sequence[str], alia
 
 def reconcile(orders: DataFrame, payments: DataFrame, keys: Sequence[str],
               order_cols: Sequence[str], payment_cols: Sequence[str], wait=None,
-              order_filter=None, time_col: str = "et", seq_col: str = "seq") -> DataFrame:
-    """Columns: ``*keys, status, o_<order_cols>, o_et, p_<payment_cols>, p_et``."""
-    if orders.isStreaming or payments.isStreaming:
-        raise ValueError("use eventlytics.streaming.processors for streams")
+              order_filter=None, time_col: str = "et", seq_col: str = "seq",
+              key_window=None) -> DataFrame:
+    """Columns: ``*keys, status, o_<order_cols>, o_et, p_<payment_cols>, p_et``.
+
+    ``key_window``: for streams whose key is tied to a tumbling event-time
+    window (e.g. a key per day), the window size; see
+    :func:`reconcile_windowed`. Other streams use
+    ``eventlytics.streaming.reconcile_stream``.
+    """
     if order_filter is not None:
         orders = orders.where(order_filter)
+    if key_window is not None:
+        return reconcile_windowed(orders, payments, keys, order_cols, payment_cols, key_window,
+                                  wait, time_col, seq_col)
+    if orders.isStreaming or payments.isStreaming:
+        raise ValueError("streams need key_window, or eventlytics.streaming.reconcile_stream")
     o = latest_per_key(orders, keys, order_cols, "_o", time_col, seq_col)
     p = latest_per_key(payments, keys, payment_cols, "_p", time_col, seq_col)
-    j = o.join(p, list(keys), "full_outer")
+    return _statuses(o.join(p, list(keys), "full_outer"), keys, order_cols, payment_cols, wait)
+
+
+def reconcile_windowed(orders: DataFrame, payments: DataFrame, keys: Sequence[str],
+                       order_cols: Sequence[str], payment_cols: Sequence[str], key_window,
+                       wait=None, time_col: str = "et", seq_col: str = "seq") -> DataFrame:
+    """Reconcile per key and tumbling window of ``key_window``: one
+    aggregation over the tagged union (``max_by`` per side), so it also runs
+    as an append-mode stream -- a key's outputs appear once the watermark
+    closes its window. Equal to :func:`reconcile` when every key lies in one
+    window (a key per day with ``key_window="1 day"``)."""
+    from eventlytics.operators.durations import spark_interval
+
+    def side(df, is_order, cols, null_cols, null_df):
+        own = [F.col(c).alias(f"{'o' if is_order else 'p'}_{c}") for c in cols]
+        other = [F.lit(None).cast(null_df.schema[c].dataType).alias(f"{'p' if is_order else 'o'}_{c}")
+                 for c in null_cols]
+        return df.select(*keys, time_col, seq_col, F.lit(is_order).alias("_is_order"), *own, *other)
+
+    tagged = side(orders, True, order_cols, payment_cols, payments).unionByName(
+        side(payments, False, payment_cols, order_cols, orders))
+    order_key = F.struct(time_col, seq_col)
+    o_payload = F.struct(*[F.col(f"o_{c}").alias(c) for c in order_cols], F.col(time_col).alias("_et"))
+    p_payload = F.struct(*[F.col(f"p_{c}").alias(c) for c in payment_cols], F.col(time_col).alias("_et"))
+    agg = tagged.groupBy(*keys, F.window(time_col, spark_interval(key_window)).alias("_w")).agg(
+        F.max_by(o_payload, F.when(F.col("_is_order"), order_key)).alias("_o"),
+        F.max_by(p_payload, F.when(~F.col("_is_order"), order_key)).alias("_p"))
+    return _statuses(agg, keys, order_cols, payment_cols, wait)
+
+
+def _statuses(j: DataFrame, keys, order_cols, payment_cols, wait) -> DataFrame:
     both = F.col("_o").isNotNull() & F.col("_p").isNotNull()
     if wait is not None:
         gap = F.unix_micros(F.col("_p._et")) - F.unix_micros(F.col("_o._et"))

@@ -407,11 +407,32 @@ def _reconciled_stream(spark, sf_dir, name):
     day = F.date_format(F.col("et"), "yyyy-MM-dd").alias("day")
     orders = T.orders_from_events(ev.where(F.col("event_type") == T.VIEW)).select("*", day) \
         .withWatermark("et", DELAY)
-    pays = T.payments_from_events(ev).select("*", day).withWatermark("et", DELAY)
+    pays = T.payments_from_events(ev.where(F.col("event_type") == T.PURCHASE)).select("*", day) \
+        .withWatermark("et", DELAY)
+    # the key holds its day, so a key closes with its 1-day window
+    st = ops.reconcile(orders, pays, ["order_id", "day"], ["event_type"], ["event_type"],
+                       key_window="1 day")
+    out = S.stream_result(st, name)
+    return out.select("*", F.unix_micros("o_et").alias("o_us"), F.unix_micros("p_et").alias("p_us"))
+
+
+def reconcile_processor_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same reconciliation through the keyed stateful processor (keys
+    close at the end of their day); all three outputs with a status."""
+    ev = _events_stream(spark, sf_dir)
+    day = F.date_format(F.col("et"), "yyyy-MM-dd").alias("day")
+    orders = T.orders_from_events(ev.where(F.col("event_type") == T.VIEW)).select("*", day) \
+        .withWatermark("et", DELAY)
+    pays = T.payments_from_events(ev.where(F.col("event_type") == T.PURCHASE)).select("*", day) \
+        .withWatermark("et", DELAY)
     day_end = F.date_add(F.to_date(F.col("et")), 1).cast("timestamp")
     st = S.reconcile_stream(orders, pays, ["order_id", "day"], ["event_type"], ["event_type"],
                             close=day_end)
-    return S.stream_result(st, name)
+    out = S.stream_result(st, "reconcile_processor_stream")
+    return out.select("order_id", "day", "status", F.col("o_event_type").alias("order_type"),
+                      F.floor(F.col("o_us") / 1000).cast("bigint").alias("order_ms"),
+                      F.col("p_event_type").alias("channel"),
+                      F.floor(F.col("p_us") / 1000).cast("bigint").alias("pay_ms"))
 
 
 def reconcile_matched_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -471,6 +492,15 @@ WHERE event_type = 'create' AND (nt IS NULL OR nt - t >= {GAP_US})
     "reconcile_matched_stream": _closed(ORACLES["reconcile_matched"], _DAY_CLOSED),
     "reconcile_unmatched_orders_stream": _closed(ORACLES["reconcile_unmatched_orders"], _DAY_CLOSED),
     "reconcile_unmatched_payments_stream": _closed(ORACLES["reconcile_unmatched_payments"], _DAY_CLOSED),
+    "reconcile_processor_stream": _closed(f"""
+SELECT order_id, day, 'matched' AS status, order_type, order_ms, channel, pay_ms
+FROM ({ORACLES["reconcile_matched"]}) AS m
+UNION ALL
+SELECT order_id, day, 'unmatched_order' AS status, order_type, order_ms, NULL, NULL
+FROM ({ORACLES["reconcile_unmatched_orders"]}) AS uo
+UNION ALL
+SELECT order_id, day, 'unmatched_payment' AS status, NULL, NULL, channel, pay_ms
+FROM ({ORACLES["reconcile_unmatched_payments"]}) AS up""", _DAY_CLOSED),
     "order_pay_matches_stream": _closed(ORACLES["order_pay_matches"], f"next_ms * 1000 < {_WM} * 1000"),
 }
 
@@ -487,6 +517,7 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reconcile_matched_stream": reconcile_matched_stream,
     "reconcile_unmatched_orders_stream": reconcile_unmatched_orders_stream,
     "reconcile_unmatched_payments_stream": reconcile_unmatched_payments_stream,
+    "reconcile_processor_stream": reconcile_processor_stream,
 }
 ORACLES.update(STREAM_ORACLES)
 QUERIES.update(STREAM_QUERIES)
