@@ -6,10 +6,10 @@ reference's timer functions loses alerts (a ``create`` and its late ``pay``
 in one batch). Each processor here therefore replays the key's events in
 event-time order itself:
 
-* rows are buffered (list state) until the watermark passes them, then
-  released in ``(t, seq)`` order -- out-of-order input within the
-  watermark delay is thereby sorted;
-* logical timers live in list state; before a released row at ``t`` all
+* rows are buffered until the watermark passes them, then released in
+  ``(t, seq)`` order -- out-of-order input within the watermark delay is
+  thereby sorted; rows arriving behind the watermark are dropped;
+* logical timers are kept with the buffer; before a released row at ``t`` all
   logical timers ``< t`` fire, and after the release every timer below the
   watermark fires;
 * one real event-time timer per key wakes the key when the watermark will
@@ -17,7 +17,10 @@ event-time order itself:
 
 The result equals the batch closed forms of :mod:`eventlytics.operators`
 restricted to what the final watermark has closed. State per key holds
-only rows and timers within the delay of the watermark.
+only rows and timers within the delay of the watermark. The reference's
+list state (buffered rows, timers) and value state (slot) are fields of one
+value per key: each state access is a round trip between the Python worker
+and the JVM, so one read and one write per call keeps it cheap.
 """
 
 from __future__ import annotations
@@ -71,8 +74,12 @@ class _Replay(StatefulProcessor):
             StructField("wake", LongType())]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        wm_ms = timerValues.getCurrentWatermarkInMs()
+        # rows already behind the watermark are late and dropped (E4), as
+        # windowed aggregations drop them: the replay has moved past them
         new = [tuple(r[f.name] for f in self.row_schema.fields) for r in rows]
-        yield from self._advance(key, new, timerValues.getCurrentWatermarkInMs())
+        new = [r for r in new if r[0] >= wm_ms * 1000]
+        yield from self._advance(key, new, wm_ms)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         yield from self._advance(key, [], timerValues.getCurrentWatermarkInMs(),

@@ -69,10 +69,15 @@ def top_k_stream(counts: DataFrame, key: str, k: int, name: str, window_col: str
         return spark.createDataFrame([], schema).select(*cols)
 
 
-def console(df: DataFrame, output_mode: str = "append", truncate: bool = False):
+def console(df: DataFrame, output_mode: str = "append", truncate: bool = False,
+            available_now: bool = False):
     """Print a stream to stdout (the reference's ``print``); returns the query."""
-    return (df.writeStream.format("console").outputMode(output_mode)
-            .option("truncate", str(truncate).lower()).start())
+    w = (df.writeStream.format("console").outputMode(output_mode)
+         .option("truncate", str(truncate).lower())
+         .option("checkpointLocation", scratch_path(df.sparkSession, "console-ckpt")))
+    if available_now:
+        w = w.trigger(availableNow=True)
+    return w.start()
 
 
 def with_status_tag(df: DataFrame, status: str) -> DataFrame:

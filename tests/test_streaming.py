@@ -150,3 +150,28 @@ def test_window_stream_parity(spark):
     uv = S.stream_result(ops.window_distinct(_stream(spark, evs, 50), "k", "30 seconds", out_col="n"), "uv_t")
     want = ops.window_distinct(batch, "k", "30 seconds", out_col="n")
     assert rows(uv) == rows(want.where(F.col("window_end") <= cut_ms))
+
+
+def test_late_rows_are_dropped(spark):
+    # key 1: fail at 100 s and 101 s, then a row at 200 s moves the watermark;
+    # a fail at 102 s arriving after that is behind the watermark and dropped
+    lg = [(1, "a", "fail", 100), (1, "b", "fail", 101), (2, "c", "success", 200),
+          (1, "d", "fail", 102), (3, "e", "success", 300)]
+    st, _ = rows_to_stream(spark, lg, schemas.LOGIN, rows_per_file=3)
+    st = with_event_time(st, "ts_s", "s", delay="1 millisecond")
+    out = S.stream_result(S.failure_burst_stream(st, ["user_id"], F.col("event_type") == "fail",
+                                                 "5 seconds", ["ip", "ts_s"]), "late_rows")
+    assert rows(out, "user_id", "ip", "ts_s") == [(1, "a", 100)]
+    adj = S.stream_result(S.adjacent_pair_stream(
+        with_event_time(rows_to_stream(spark, lg, schemas.LOGIN, rows_per_file=3)[0], "ts_s", "s",
+                        delay="1 millisecond"),
+        ["user_id"], F.col("event_type") == "fail", F.col("event_type") == "fail", "5 seconds",
+        ["ip"]), "late_adj")
+    assert rows(adj, "user_id", "ip") == [(1, "b")]
+
+
+def test_console_sink_runs(spark):
+    st, _ = rows_to_stream(spark, [(1, "x", "fail", 1)], schemas.LOGIN)
+    q = S.console(st, available_now=True)
+    q.awaitTermination()
+    assert q.exception() is None
