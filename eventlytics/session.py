@@ -6,6 +6,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -36,9 +37,41 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable by the session's Python workers.
+
+    The stream processors are pickled and run in Python workers, which
+    import ``eventlytics``. A zip of the package is built once per
+    SparkContext and added with ``addPyFile``, which copies it to every
+    executor (as ``--py-files`` would), and put on the workers' PYTHONPATH.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="eventlytics-pyfiles-"), "eventlytics.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    # the driver-side worker of transformWithState does not read addPyFile
+    # includes; it takes PYTHONPATH from the functions' environment
+    paths = [p for p in sc.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    sc.environment["PYTHONPATH"] = os.pathsep.join([out] + paths)
+    _SHIPPED.add(sc.applicationId)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
