@@ -10,11 +10,11 @@ Output: one frame with a ``status`` column -- ``matched``,
 ``unmatched_order`` or ``unmatched_payment`` -- the side outputs of the
 reference as a tag; :func:`split_status` gives the three frames.
 
-Plan: the latest event per key is a ``max_by`` aggregation (partial before
-the shuffle, so a hot key costs one row per map task); both aggregates are
-hash-partitioned on the key, so the full outer join reuses that
-partitioning and moves no further rows. Each side contributes at most one
-row per key to the join: no key can fan out.
+Plan: the two sides are tagged and unioned, and one aggregation per key
+takes the latest event of each side (``max_by`` with the other side's rows
+ordered as NULL). It aggregates partially before its one shuffle, so a hot
+key costs one row per map task, and there is no join: the "full outer"
+pairing is the aggregation itself, and no key can fan out.
 """
 
 from __future__ import annotations
@@ -48,24 +48,21 @@ def reconcile(orders: DataFrame, payments: DataFrame, keys: Sequence[str],
     """
     if order_filter is not None:
         orders = orders.where(order_filter)
-    if key_window is not None:
-        return reconcile_windowed(orders, payments, keys, order_cols, payment_cols, key_window,
-                                  wait, time_col, seq_col)
-    if orders.isStreaming or payments.isStreaming:
+    if key_window is None and (orders.isStreaming or payments.isStreaming):
         raise ValueError("streams need key_window, or eventlytics.streaming.reconcile_stream")
-    o = latest_per_key(orders, keys, order_cols, "_o", time_col, seq_col)
-    p = latest_per_key(payments, keys, payment_cols, "_p", time_col, seq_col)
-    return _statuses(o.join(p, list(keys), "full_outer"), keys, order_cols, payment_cols, wait)
+    return reconcile_windowed(orders, payments, keys, order_cols, payment_cols, key_window,
+                              wait, time_col, seq_col)
 
 
 def reconcile_windowed(orders: DataFrame, payments: DataFrame, keys: Sequence[str],
-                       order_cols: Sequence[str], payment_cols: Sequence[str], key_window,
+                       order_cols: Sequence[str], payment_cols: Sequence[str], key_window=None,
                        wait=None, time_col: str = "et", seq_col: str = "seq") -> DataFrame:
-    """Reconcile per key and tumbling window of ``key_window``: one
-    aggregation over the tagged union (``max_by`` per side), so it also runs
-    as an append-mode stream -- a key's outputs appear once the watermark
-    closes its window. Equal to :func:`reconcile` when every key lies in one
-    window (a key per day with ``key_window="1 day"``)."""
+    """Both sides in one aggregation over their tagged union: ``max_by`` per
+    side and key (and, with ``key_window``, per tumbling window of that
+    size, which lets it run as an append-mode stream: a key's outputs appear
+    once the watermark closes its window; equal to the plain form when every
+    key lies in one window, e.g. a key per day with ``"1 day"``).
+    One shuffle, partial aggregation before it, no join."""
     from eventlytics.operators.durations import spark_interval
 
     def side(df, is_order, cols, null_cols, null_df):
@@ -79,7 +76,10 @@ def reconcile_windowed(orders: DataFrame, payments: DataFrame, keys: Sequence[st
     order_key = F.struct(time_col, seq_col)
     o_payload = F.struct(*[F.col(f"o_{c}").alias(c) for c in order_cols], F.col(time_col).alias("_et"))
     p_payload = F.struct(*[F.col(f"p_{c}").alias(c) for c in payment_cols], F.col(time_col).alias("_et"))
-    agg = tagged.groupBy(*keys, F.window(time_col, spark_interval(key_window)).alias("_w")).agg(
+    group = list(keys)
+    if key_window is not None:
+        group.append(F.window(time_col, spark_interval(key_window)).alias("_w"))
+    agg = tagged.groupBy(*group).agg(
         F.max_by(o_payload, F.when(F.col("_is_order"), order_key)).alias("_o"),
         F.max_by(p_payload, F.when(~F.col("_is_order"), order_key)).alias("_p"))
     return _statuses(agg, keys, order_cols, payment_cols, wait)
