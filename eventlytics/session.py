@@ -51,10 +51,16 @@ def ship_package(spark: SparkSession) -> None:
     import ``eventlytics``. A zip of the package is built once per
     SparkContext and added with ``addPyFile``, which copies it to every
     executor (as ``--py-files`` would), and put on the workers' PYTHONPATH.
+    On a cluster the package is normally submitted with ``--py-files``;
+    then nothing is built here.
     """
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
+    # already shipped by the submitter (spark-submit --py-files eventlytics.zip)
+    if "eventlytics" in sc.getConf().get("spark.submit.pyFiles", ""):
+        _SHIPPED.add(sc.applicationId)
+        return
     pkg = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg)
     out = os.path.join(tempfile.mkdtemp(prefix="eventlytics-pyfiles-"), "eventlytics.zip")
