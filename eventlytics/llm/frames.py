@@ -11,6 +11,7 @@ from eventlytics.session import scratch_path
 
 # White space of the word contract: space and \t \n \v \f \r (fixed value).
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
+NONE_VALUE = "(none)"  # stands for a null source or language
 LEARN_FOLDS = 3
 HELD_OUT_FOLD = 1
 

@@ -32,9 +32,9 @@ from pyspark.sql import functions as F
 
 from eventlytics.llm.frames import constant_array, fresh, only, small_side, words
 
-# Runs of letters/digits, or runs of other characters that are not white space.
-TOKEN_PATTERN = r"[\p{L}\p{M}\p{N}]+|[^\p{L}\p{M}\p{N}\s]+"
-SYMBOLS = r"[#*$%&|<>]+"
+# Runs of letters/digits (anything beyond ASCII counts as a letter), or of marks.
+TOKEN_PATTERN = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+|[!-/:-@\[-`{-~]+"
+NO_SYMBOLS, SYMBOLS = r"[^#*$%&|<>]+", r"[#*$%&|<>]"
 WINDOW = 5           # words in a repeated window
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -57,6 +57,7 @@ def _one(t: Column, buckets: int) -> Column:
 
 
 def _two(t: Column, follow: Column, buckets: int) -> Column:
+    """Bucket of a 2-gram; the last token (``follow`` null) meets the end."""
     return F.xxhash64(t, follow).bitwiseAND(F.lit(buckets - 1).cast("long")) + buckets
 
 
@@ -72,22 +73,18 @@ def fit_ratio(docs: DataFrame, target_ids: DataFrame, buckets: int = 1 << 14) ->
     d = only(docs, "doc_id", "text")
     ids = only(target_ids, "doc_id").where("doc_id IS NOT NULL").distinct().withColumn("trusted", F.lit(1))
     d = d.join(small_side(ids), "doc_id", "left").select("trusted", _tokens(F.col("text")).alias("t"))
-    none = F.lit(2 * buckets).cast("long")  # the last token starts no 2-gram
 
     def both(t, i):  # the 1-gram and the 2-gram that start here, in one long
-        follow = F.get(F.col("t"), i + 1)
-        two = F.when(follow.isNull(), none).otherwise(_two(t, follow, buckets))
-        return _one(t, buckets).bitwiseOR(F.shiftleft(two, 32))
+        return _one(t, buckets).bitwiseOR(F.shiftleft(_two(t, F.get(F.col("t"), i + 1), buckets), 32))
 
-    d = d.where("size(t) > 0").select("trusted", F.explode(F.transform("t", both)).alias("p"))
+    d = d.select("trusted", F.explode(F.transform("t", both)).alias("p"))
     d = d.select("trusted", F.explode(F.array(
         F.col("p").bitwiseAND(F.lit((1 << 32) - 1)), F.shiftright("p", 32))).alias("bucket"))
     counts = (d.groupBy("bucket")
               .agg(F.count(F.lit(1)).alias("raw"), F.count("trusted").alias("target")).collect())
     raw, target = [0] * (2 * buckets), [0] * (2 * buckets)
-    for r in counts:  # at most 2 * buckets + 1 rows
-        if r["bucket"] < 2 * buckets:
-            raw[r["bucket"]], target[r["bucket"]] = r["raw"], r["target"]
+    for r in counts:  # at most 2 * buckets rows
+        raw[r["bucket"]], target[r["bucket"]] = r["raw"], r["target"]
     weights = []
     for k in (0, buckets):
         n_raw, n_target = sum(raw[k:k + buckets]), sum(target[k:k + buckets])
@@ -102,12 +99,11 @@ def _mean_ratio(tokens: str, model: RatioModel) -> Column:
     weights, n, b = constant_array(model.weights), F.size(tokens), model.buckets
 
     def gram(t, i):
-        follow = F.get(F.col(tokens), i + 1)
-        return F.get(weights, _one(t, b).cast("int")) + F.when(follow.isNull(), 0.0).otherwise(
-            F.get(weights, _two(t, follow, b).cast("int")))
+        return F.get(weights, _one(t, b).cast("int")) + F.get(
+            weights, _two(t, F.get(F.col(tokens), i + 1), b).cast("int"))
 
     total = F.aggregate(F.transform(tokens, gram), F.lit(0.0), lambda acc, x: acc + x)
-    return F.when(n == 0, 0.0).otherwise(F.round(total / (2 * n - 1), 6))
+    return F.when(n == 0, 0.0).otherwise(F.round(total / (2 * n), 6))
 
 
 def _covered(pairs: Column) -> Column:
@@ -193,7 +189,8 @@ def _scored(df: DataFrame, text: str, model: RatioModel, threshold: float, names
     df = _with_repeat_words(df, w, names["n_words"], names["n_repeat_words"])
     df = df.withColumns({
         names["word_chars"]: F.length(F.array_join(w, "")).cast("long"),
-        names["n_symbols"]: (F.length(body) - F.length(F.regexp_replace(body, SYMBOLS, ""))).cast("long"),
+        names["n_symbols"]: F.when(F.col(body).rlike(SYMBOLS), F.length(F.regexp_replace(
+            body, NO_SYMBOLS, ""))).otherwise(0).cast("long"),
         names["n_dup_lines"]: (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
         names["score"]: _mean_ratio(t, model),
         names["base_failed"]: (c("n_words") < MIN_WORDS)
