@@ -211,7 +211,10 @@ def score_documents(docs: DataFrame, model: RatioModel, threshold: float = -0.1)
 def filter_documents(docs: DataFrame, model: RatioModel, threshold: float = -0.1) -> DataFrame:
     """The documents that pass, with all their own columns."""
     names = {k: fresh(docs, f"rule_{k}") for k in OUT}
-    return _scored(docs, "text", model, threshold, names).where(F.col(names["kept"])).select(
+    d = _scored(docs, "text", model, threshold, names)
+    # not a filter: that would be moved below the columns it needs and copy their expressions
+    once = F.explode(F.when(F.col(names["kept"]), F.array(F.lit(1))).otherwise(F.array().cast("array<int>")))
+    return d.select(*[F.col(f"`{c}`") for c in docs.columns], once.alias(fresh(docs, "once"))).select(
         *[F.col(f"`{c}`") for c in docs.columns])
 
 
