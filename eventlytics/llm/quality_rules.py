@@ -2,9 +2,10 @@
 
 Every document gets the base counts of the word contract and a score: the
 mean, over its hashed 1-grams and 2-grams, of ``ln p_target / p_raw``. Both
-are add-one-smoothed multinomials over ``buckets`` hash buckets per order:
-``target`` counts the n-grams of the trusted documents, ``raw`` those of all
-documents. Dividing by the number of n-grams makes texts of any length
+are multinomials over ``buckets`` hash buckets per order: ``target`` counts
+the n-grams of the trusted documents, ``raw`` those of all documents. Both
+are smoothed by pseudo-counts in proportion to their sizes, so that a bucket
+with too few n-grams to tell is neutral. Dividing by the number of n-grams makes texts of any length
 comparable; a document is kept if it passes the base rules and its score is
 at least ``threshold`` (same data, same verdicts: nothing is sampled).
 
@@ -61,12 +62,13 @@ def _two(t: Column, follow: Column, buckets: int) -> Column:
     return F.xxhash64(t, follow).bitwiseAND(F.lit(buckets - 1).cast("long")) + buckets
 
 
-def fit_ratio(docs: DataFrame, target_ids: DataFrame, buckets: int = 1 << 14) -> RatioModel:
+def fit_ratio(docs: DataFrame, target_ids: DataFrame, buckets: int = 1 << 14, prior: float = 5.0) -> RatioModel:
     """Count hashed n-grams of all documents and of the trusted ones.
 
     ``docs`` (doc_id, text); ``target_ids`` (doc_id): trusted documents. Ids
     that are null or unknown are ignored, repeated ids count once.
-    ``buckets``, a power of two, is the number of hash buckets per order.
+    ``buckets``, a power of two, is the number of hash buckets per order;
+    ``prior`` the pseudo-count of each bucket in the target.
     """
     if buckets < 2 or buckets & (buckets - 1):
         raise ValueError("buckets must be a power of two")
@@ -89,8 +91,8 @@ def fit_ratio(docs: DataFrame, target_ids: DataFrame, buckets: int = 1 << 14) ->
     for k in (0, buckets):
         n_raw, n_target = sum(raw[k:k + buckets]), sum(target[k:k + buckets])
         for i in range(k, k + buckets):
-            weights.append(round(math.log((target[i] + 1) / (n_target + buckets))
-                                 - math.log((raw[i] + 1) / (n_raw + buckets)), 6) if n_target else 0.0)
+            expected = raw[i] * n_target / max(n_raw, 1)
+            weights.append(round(math.log((target[i] + prior) / (expected + prior)), 6))
     return RatioModel(buckets, tuple(weights))
 
 
@@ -202,13 +204,13 @@ def _scored(df: DataFrame, text: str, model: RatioModel, threshold: float, names
 OUT = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "score", "base_failed", "kept")
 
 
-def score_documents(docs: DataFrame, model: RatioModel, threshold: float = -0.1) -> DataFrame:
+def score_documents(docs: DataFrame, model: RatioModel, threshold: float = -0.25) -> DataFrame:
     """One row per document: doc_id, the base counts, score and verdicts."""
     d = only(docs, "doc_id", "text")
     return _scored(d, "text", model, threshold, {k: k for k in OUT}).select("doc_id", *OUT)
 
 
-def filter_documents(docs: DataFrame, model: RatioModel, threshold: float = -0.1) -> DataFrame:
+def filter_documents(docs: DataFrame, model: RatioModel, threshold: float = -0.25) -> DataFrame:
     """The documents that pass, with all their own columns."""
     names = {k: fresh(docs, f"rule_{k}") for k in OUT}
     d = _scored(docs, "text", model, threshold, names)
