@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The report layout of the reference's console output.
-RULER = "===================================="
+# The report layouts of the reference's console output. The
+# item report's ruler has 36 characters, the URL report's 35.
+ITEM_RULER = "===================================="
+URL_RULER = "==================================="
 TIME_LABEL = "时间: "
 ITEM_LABEL = " 商品ID="
 ITEM_COUNT_LABEL = " 浏览量="
@@ -14,10 +16,6 @@ URL_LABEL = " URL="
 URL_COUNT_LABEL = " 流量="
 
 
-def ruler() -> Column:
-    return F.lit(RULER)
-
-
 def rank_line(rank: Column, key: Column, cnt: Column,
               key_label: str = ITEM_LABEL, count_label: str = ITEM_COUNT_LABEL) -> Column:
     """``No<rank>: <key_label><key><count_label><cnt>``."""

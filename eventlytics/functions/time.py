@@ -49,15 +49,6 @@ def epoch_ms(col: str | Column = "et") -> Column:
     return F.unix_millis(c)
 
 
-def epoch_us(col: str | Column = "et") -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return F.unix_micros(c)
-
-
 def window_end_ms(window_col: str = "window") -> Column:
     """Exclusive window end as epoch ms (the reference's ``windowEnd``)."""
     return F.unix_millis(F.col(f"{window_col}.end"))
-
-
-def window_start_ms(window_col: str = "window") -> Column:
-    return F.unix_millis(F.col(f"{window_col}.start"))

@@ -1,6 +1,6 @@
 """Operators: each a function from DataFrame(s) to DataFrame."""
 
-from eventlytics.operators.patterns import adjacent_pair_within, pattern_matches, pattern_timeout
+from eventlytics.operators.patterns import adjacent_pair_within, pattern_matches, pattern_outcomes, pattern_timeout
 from eventlytics.operators.reconcile import reconcile, split_status
 from eventlytics.operators.timers import failure_burst, flush_buckets, single_slot_timeout
 from eventlytics.operators.topk import rank_report, top_k_per_window
@@ -10,7 +10,8 @@ from eventlytics.operators.windows import (
 )
 
 __all__ = [
-    "durations", "adjacent_pair_within", "pattern_matches", "pattern_timeout", "reconcile", "split_status",
+    "durations", "adjacent_pair_within", "pattern_matches", "pattern_outcomes",
+    "pattern_timeout", "reconcile", "split_status",
     "failure_burst", "flush_buckets", "single_slot_timeout", "rank_report", "top_k_per_window",
     "window_count", "window_distinct", "window_field_sum", "windowed_count",
 ]

@@ -19,10 +19,6 @@ def to_us(d: int | str) -> int:
     return int(float(n) * _UNIT_US[unit])
 
 
-def to_ms(d: int | str) -> int:
-    return to_us(d) // 1_000
-
-
 def spark_interval(d: int | str) -> str:
     """Interval text Spark's ``window`` / ``withWatermark`` accept."""
     return f"{to_us(d)} microseconds"

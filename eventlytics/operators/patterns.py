@@ -50,7 +50,7 @@ def adjacent_pair_within(df: DataFrame, keys: Sequence[str], first: Column, seco
     ``first`` less than ``within`` earlier. Output: the second event's
     columns plus ``first_et`` and ``first_seq``."""
     if df.isStreaming:
-        raise ValueError("use eventlytics.streaming.processors for streams")
+        raise ValueError("use eventlytics.streaming.staged_stream for streams")
     d = to_us(within)
     rows = _prepared(df, keys, first, second, d, "before", chunk_us, time_col)
     w = _window(keys, seq_col)
@@ -75,7 +75,7 @@ def pattern_timeout(df: DataFrame, keys: Sequence[str], start: Column, nxt: Colu
                     chunk_us: int | None = None) -> DataFrame:
     """``start`` events of timed-out partial matches (C2). Output: their columns."""
     if df.isStreaming:
-        raise ValueError("use eventlytics.streaming.processors for streams")
+        raise ValueError("use eventlytics.streaming.staged_stream for streams")
     rows, d = _with_next(df, keys, start, nxt, within, time_col, seq_col, chunk_us)
     late = F.col("_nt").isNull() | ((F.col("_nt") - F.col("_t")) >= d)
     return rows.where(late).select(*df.columns)
@@ -87,8 +87,25 @@ def pattern_matches(df: DataFrame, keys: Sequence[str], start: Column, nxt: Colu
     """Completed matches (C3): the start event's columns plus ``next_et``
     and ``next_seq`` of the matching event."""
     if df.isStreaming:
-        raise ValueError("use eventlytics.streaming.processors for streams")
+        raise ValueError("use eventlytics.streaming.staged_stream for streams")
     rows, d = _with_next(df, keys, start, nxt, within, time_col, seq_col, chunk_us)
     done = F.col("_np2") & ((F.col("_nt") - F.col("_t")) < d)
     return rows.where(done).select(*df.columns, F.timestamp_micros("_nt").alias("next_et"),
                                    "next_seq")
+
+
+def pattern_outcomes(df: DataFrame, keys: Sequence[str], start: Column, nxt: Column, within,
+                     time_col: str = "et", seq_col: str = "seq",
+                     chunk_us: int | None = None) -> DataFrame:
+    """Matches and timeouts in one pass: the start event's columns,
+    ``status`` (``match`` | ``timeout``), and ``next_et`` and ``next_seq`` of
+    a match. A start event that some other event follows in time has none."""
+    if df.isStreaming:
+        raise ValueError("use eventlytics.streaming.staged_stream for streams")
+    rows, d = _with_next(df, keys, start, nxt, within, time_col, seq_col, chunk_us)
+    late = F.col("_nt").isNull() | ((F.col("_nt") - F.col("_t")) >= d)
+    status = F.when(late, "timeout").when(F.col("_np2"), "match")
+    matched = F.col("status") == "match"
+    return rows.withColumn("status", status).where(F.col("status").isNotNull()).select(
+        *df.columns, "status", F.when(matched, F.timestamp_micros("_nt")).alias("next_et"),
+        F.when(matched, F.col("next_seq")).alias("next_seq"))

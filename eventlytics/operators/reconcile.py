@@ -29,34 +29,28 @@ from eventlytics.operators.durations import to_us
 MATCHED, UNMATCHED_ORDER, UNMATCHED_PAYMENT = "matched", "unmatched_order", "unmatched_payment"
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], cols: Sequence[str], alias: str,
-                   time_col: str = "et", seq_col: str = "seq") -> DataFrame:
-    payload = F.struct(*cols, F.col(time_col).alias("_et"))
-    return df.groupBy(*keys).agg(F.max_by(payload, F.struct(time_col, seq_col)).alias(alias))
-
-
 def reconcile(orders: DataFrame, payments: DataFrame, keys: Sequence[str],
               order_cols: Sequence[str], payment_cols: Sequence[str], wait=None,
               order_filter=None, time_col: str = "et", seq_col: str = "seq",
-              key_window=None) -> DataFrame:
+              key_window=None, key_gap=None) -> DataFrame:
     """Columns: ``*keys, status, o_<order_cols>, o_et, p_<payment_cols>, p_et``.
 
     ``key_window``: for streams whose key is tied to a tumbling event-time
-    window (e.g. a key per day), the window size; see
-    :func:`reconcile_windowed`. Other streams use
-    ``eventlytics.streaming.reconcile_stream``.
+    window (e.g. a key per day), the window size. ``key_gap``: for other
+    streams, how long a key must be silent before it is closed (a session
+    window). See :func:`reconcile_windowed`.
     """
     if order_filter is not None:
         orders = orders.where(order_filter)
-    if key_window is None and (orders.isStreaming or payments.isStreaming):
-        raise ValueError("streams need key_window, or eventlytics.streaming.reconcile_stream")
+    if key_window is None and key_gap is None and (orders.isStreaming or payments.isStreaming):
+        raise ValueError("streams need key_window or key_gap")
     return reconcile_windowed(orders, payments, keys, order_cols, payment_cols, key_window,
-                              wait, time_col, seq_col)
+                              wait, time_col, seq_col, key_gap)
 
 
 def reconcile_windowed(orders: DataFrame, payments: DataFrame, keys: Sequence[str],
                        order_cols: Sequence[str], payment_cols: Sequence[str], key_window=None,
-                       wait=None, time_col: str = "et", seq_col: str = "seq") -> DataFrame:
+                       wait=None, time_col: str = "et", seq_col: str = "seq", key_gap=None) -> DataFrame:
     """Both sides in one aggregation over their tagged union: ``max_by`` per
     side and key (and, with ``key_window``, per tumbling window of that
     size, which lets it run as an append-mode stream: a key's outputs appear
@@ -79,6 +73,8 @@ def reconcile_windowed(orders: DataFrame, payments: DataFrame, keys: Sequence[st
     group = list(keys)
     if key_window is not None:
         group.append(F.window(time_col, spark_interval(key_window)).alias("_w"))
+    elif key_gap is not None:
+        group.append(F.session_window(time_col, spark_interval(key_gap)).alias("_w"))
     agg = tagged.groupBy(*group).agg(
         F.max_by(o_payload, F.when(F.col("_is_order"), order_key)).alias("_o"),
         F.max_by(p_payload, F.when(~F.col("_is_order"), order_key)).alias("_p"))

@@ -36,6 +36,12 @@ from eventlytics.operators.durations import to_us
 from eventlytics.operators.sequence import chunk_of, default_chunk_us
 
 
+def _paired(base: DataFrame, keys: Sequence[str], nothing: list[Column]):
+    """Each field of ``base`` with its stand-in on a marker."""
+    left = iter(nothing)
+    return [(f, None if f.name in keys else next(left)) for f in base.schema.fields]
+
+
 def flush_buckets(df: DataFrame, keys: Sequence[str], delay, time_col: str = "et",
                   chunk_us: int | None = None) -> DataFrame:
     """Every row plus ``_t`` (event µs) and ``_bucket`` (µs of the timer that
@@ -55,8 +61,13 @@ def flush_buckets(df: DataFrame, keys: Sequence[str], delay, time_col: str = "et
     probe, marker = item(c_probe, 1, F.col("_t")), item(c_marker, 0, tt)
     marker_copy = item(c_marker - 1, 0, tt)
     early = (tt - c_marker * F.lit(w_us)) < F.lit(d)
-    items = F.when(early, F.array(probe, marker, marker_copy)).otherwise(F.array(probe, marker))
-    x = base.select("*", F.inline(items))
+    # markers carry key, chunk and time only: the payload crosses the shuffle once
+    marks = F.when(early, F.array(marker, marker_copy)).otherwise(F.array(marker))
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in base.schema.fields if f.name not in keys]
+    x = base.select("*", F.inline(F.array(probe))).union(
+        base.select(*keys, F.inline(marks)).select(*[
+            F.col(f.name) if f.name in keys else n for f, n in _paired(base, keys, nothing)],
+            "_chunk", "_kind", "_at"))
     w = (Window.partitionBy(*keys, "_chunk").orderBy(F.col("_at").desc(), F.col("_kind").asc())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     bucket = F.last(F.when(F.col("_kind") == 0, F.col("_at")), ignorenulls=True).over(w)
@@ -70,7 +81,7 @@ def failure_burst(df: DataFrame, keys: Sequence[str], is_failure: Column, delay,
     """First failure of every flush group holding more than one failure.
     Output: that failure's columns plus ``timer_et`` (when it is reported)."""
     if df.isStreaming:
-        raise ValueError("use eventlytics.streaming.processors for streams")
+        raise ValueError("use eventlytics.streaming.staged_stream for streams")
     cols = df.columns
     b = flush_buckets(df.withColumn("_f", is_failure), keys, delay, time_col, chunk_us)
     groups = (b.where(F.col("_f")).groupBy(*keys, "_bucket")
@@ -87,7 +98,7 @@ def single_slot_timeout(df: DataFrame, keys: Sequence[str], is_create: Column, d
     """First ``create`` of every flush group without any other event.
     Output: that event's columns plus ``timer_et``."""
     if df.isStreaming:
-        raise ValueError("use eventlytics.streaming.processors for streams")
+        raise ValueError("use eventlytics.streaming.staged_stream for streams")
     cols = df.columns
     b = flush_buckets(df.withColumn("_c", is_create), keys, delay, time_col, chunk_us)
     first_create = F.min_by(F.struct(*cols), F.when(F.col("_c"), F.struct("_t", seq_col)))

@@ -3,20 +3,23 @@
 Each job reads its source (a path for the text sources, a DataFrame for
 in-memory or already-read events), assigns event time, and runs its
 operators. ``stream=True`` reads the path as a file stream; DataFrame
-inputs follow their own ``isStreaming``. Stream results that need a
-per-batch sink (top-k) are run with ``availableNow`` into the checkpoint
-folder and returned as a table; the keyed detectors return the unstarted
+inputs follow their own ``isStreaming``. Streams that are ranked per batch
+(top-k), detected over stretches of time (J5-J8) or reconciled (J9) are run
+over all available input, to its end, below the checkpoint folder and
+returned as a table; page views and distinct counts return the unstarted
 streaming frame, for the caller's ``writeStream``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlytics import operators as ops
 from eventlytics import streaming as S
-from eventlytics.functions.text import URL_COUNT_LABEL, URL_LABEL
+from eventlytics.functions.text import URL_COUNT_LABEL, URL_LABEL, URL_RULER
 from eventlytics.functions.time import with_event_time
 from eventlytics.sources.files import read_access_log, read_behavior
 
@@ -24,28 +27,32 @@ ASCENDING = "1 millisecond"  # watermark delay for ascending timestamps
 
 
 def _seq(df: DataFrame) -> DataFrame:
-    # ties in event time fall back to arrival order where the source has it
+    """The tie order of equal times: the source's ``seq``; in batch, else,
+    the rows' position; on a stream, which keeps no position through a
+    shuffle, a hash of the row (the same in any split and run)."""
     if "seq" in df.columns:
         return df
     if df.isStreaming:
-        # the processors' sort is stable: equal times keep their arrival order
-        return df.withColumn("seq", F.lit(0).cast("bigint"))
+        return df.withColumn("seq", F.xxhash64(*df.columns))
     return df.withColumn("seq", F.monotonically_increasing_id())
 
 
-def _page_views(spark: SparkSession, path: str, stream: bool, mode: str) -> DataFrame:
+def _page_views(spark: SparkSession, path: str, stream: bool, mode: str, end: S.End | None = None) -> DataFrame:
     df = read_behavior(spark, path, mode=mode, stream=stream)
     if mode == "quarantine":
         df = df.where(~F.col("_bad")).drop("_bad", "_line")
-    df = with_event_time(_seq(df), "ts_s", "s", delay=ASCENDING)
-    return df.where(F.col("behavior") == "pv")
+    df = with_event_time(_seq(df.where(F.col("behavior") == "pv")), "ts_s", "s")
+    if end is not None:
+        df = end.ending(df)
+    return df.withWatermark("et", ASCENDING) if stream else df
 
 
 def hot_items(spark: SparkSession, path: str, k: int = 5, size="60 minutes", slide="5 minutes",
               stream: bool = False, mode: str = "failfast", report: bool = False) -> DataFrame:
     """Top ``k`` items by page views per sliding window."""
-    counts = ops.windowed_count(_page_views(spark, path, stream, mode), ["item_id"], size, slide)
-    top = (S.top_k_stream(counts, "item_id", k, "hot_items") if stream
+    end = S.End(spark) if stream else None
+    counts = ops.windowed_count(_page_views(spark, path, stream, mode, end), ["item_id"], size, slide)
+    top = (S.top_k_stream(counts, "item_id", k, "hot_items", end=end) if stream
            else ops.top_k_per_window(counts, "item_id", k))
     return ops.rank_report(top, "item_id") if report else top
 
@@ -58,13 +65,15 @@ def traffic(spark: SparkSession, path: str, k: int = 5, size="10 minutes", slide
     log = read_access_log(spark, path, mode=mode, stream=stream)
     if mode == "quarantine":
         log = log.where(~F.col("_bad")).drop("_bad", "_line")
-    if log.isStreaming:
-        log = log.withWatermark("et", delay)
+    end = S.End(spark) if stream else None
+    if stream:
+        log = end.ending(log).withWatermark("et", delay)
     counts = ops.windowed_count(log, [key], size, slide)
-    top = S.top_k_stream(counts, key, k, "traffic") if stream else ops.top_k_per_window(counts, key, k)
+    top = (S.top_k_stream(counts, key, k, "traffic", end=end) if stream
+           else ops.top_k_per_window(counts, key, k))
     if report:
         return ops.rank_report(top, key, key_label=URL_LABEL, count_label=URL_COUNT_LABEL,
-                               trailer="\n\n")
+                               trailer="\n\n", ruler=URL_RULER)
     return top
 
 
@@ -86,72 +95,61 @@ def unique_visitors(spark: SparkSession, path: str, size="1 hour", col: str = "u
                                out_col="uv")
 
 
-def _logins(logins: DataFrame) -> DataFrame:
-    return with_event_time(_seq(logins), "ts_s", "s", delay=ASCENDING)
+def _detected(df: DataFrame, op: Callable[[DataFrame], DataFrame], reach, emit_col: str, name: str) -> DataFrame:
+    """``op`` over a batch frame, or over a stream to its end."""
+    return S.staged_stream(df, op, reach, emit_col, name=name) if df.isStreaming else op(df)
 
 
 def login_fail_timer(logins: DataFrame, delay="2 seconds") -> DataFrame:
     """First failure of every timer group with more than one failure."""
-    lg = _logins(logins)
     fail = F.col("event_type") == "fail"
-    if lg.isStreaming:
-        return S.failure_burst_stream(lg, ["user_id"], fail, delay, ["ip", "event_type", "ts_s"])
-    return ops.failure_burst(lg, ["user_id"], fail, delay)
+    return _detected(with_event_time(_seq(logins), "ts_s", "s"),
+                     lambda lg: ops.failure_burst(lg, ["user_id"], fail, delay), delay, "timer_et", "login-timer")
 
 
 def login_fail_pattern(logins: DataFrame, within="2 seconds") -> DataFrame:
     """Two adjacent failures within ``within``; (user_id, ip, event_type)
     of the second (P3)."""
-    lg = _logins(logins)
     fail = F.col("event_type") == "fail"
-    if lg.isStreaming:
-        return S.adjacent_pair_stream(lg, ["user_id"], fail, fail, within,
-                                      ["ip", "event_type"]).select("user_id", "ip", "event_type")
-    return ops.adjacent_pair_within(lg, ["user_id"], fail, fail, within) \
-        .select("user_id", "ip", "event_type")
+    hits = _detected(with_event_time(_seq(logins), "ts_s", "s"), lambda lg: ops.adjacent_pair_within(
+        lg, ["user_id"], fail, fail, within), within, "et", "login-pattern")
+    return hits.select("user_id", "ip", "event_type")
 
 
 def _orders(orders: DataFrame) -> DataFrame:
-    return with_event_time(_seq(orders), "event_time", "s", delay=ASCENDING)
+    return with_event_time(_seq(orders), "event_time", "s")
 
 
 def order_timeout_pattern(orders: DataFrame, within="5 seconds") -> dict[str, DataFrame]:
-    """``{"timeout": side output, "matched": completed create -> pay}``."""
-    od = _orders(orders)
+    """``{"timeout": side output, "matched": completed create -> pay}``,
+    both from one pass."""
     create, pay = F.col("event_type") == "create", F.col("event_type") == "pay"
-    if od.isStreaming:
-        both = S.pattern_timeout_stream(od, ["order_id"], create, pay, within,
-                                        ["event_type", "event_time"])
-        return {"timeout": both.where(F.col("status") == "timeout"),
-                "matched": both.where(F.col("status") == "match")}
-    return {"timeout": ops.pattern_timeout(od, ["order_id"], create, pay, within),
-            "matched": ops.pattern_matches(od, ["order_id"], create, pay, within)}
+    both = _detected(_orders(orders), lambda od: ops.pattern_outcomes(
+        od, ["order_id"], create, pay, within), within, "et", "order-pattern")
+    timeout = both.where(F.col("status") == "timeout").drop("status", "next_et", "next_seq")
+    return {"timeout": timeout, "matched": both.where(F.col("status") == "match").drop("status")}
 
 
 def order_timeout_timer(orders: DataFrame, delay="5 seconds") -> DataFrame:
     """The single-slot order timer."""
-    od = _orders(orders)
     create = F.col("event_type") == "create"
-    if od.isStreaming:
-        return S.single_slot_timeout_stream(od, ["order_id"], create, delay,
-                                            ["event_type", "event_time"])
-    return ops.single_slot_timeout(od, ["order_id"], create, delay)
+    return _detected(_orders(orders), lambda od: ops.single_slot_timeout(od, ["order_id"], create, delay),
+                     delay, "timer_et", "order-timer")
 
 
 def two_stream_join(orders: DataFrame, payments: DataFrame, wait=None,
-                    close=None) -> dict[str, DataFrame]:
+                    gap="1 hour") -> dict[str, DataFrame]:
     """Matched pairs and the unmatched of both sides.
 
-    For streams, ``close`` (a column) tells when a key can receive no more
-    events; without it a key closes ``wait`` (default 1 hour) after its
-    event.
+    On streams a key is closed once it has been silent for ``gap``; the
+    result equals the batch one if no two neighbouring events of a key are
+    that far apart.
     """
-    o, p = _orders(orders), with_event_time(_seq(payments), "event_time", "s", delay=ASCENDING)
+    o, p = _orders(orders), with_event_time(_seq(payments), "event_time", "s")
     cols = ["event_type", "event_time"]
-    if o.isStreaming:
-        close = close if close is not None else (
-            F.col("et") + F.expr(f"INTERVAL {ops.durations.to_us(wait or '1 hour')} MICROSECONDS"))
-        res = S.reconcile_stream(o, p, ["order_id"], cols, cols, close=close, wait=wait)
-    else:
-        res = ops.reconcile(o, p, ["order_id"], cols, cols, wait=wait)
-    return ops.split_status(res)
+    if not o.isStreaming:
+        return ops.split_status(ops.reconcile(o, p, ["order_id"], cols, cols, wait=wait))
+    end = S.End(o.sparkSession)
+    o, p = (end.ending(x).withWatermark("et", ASCENDING) for x in (o, p))
+    res = ops.reconcile(o, p, ["order_id"], cols, cols, wait=wait, key_gap=gap)
+    return ops.split_status(S.stream_result(res, "two-stream-join", end=end))

@@ -14,8 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlytics import operators as ops
-from eventlytics.functions.text import URL_COUNT_LABEL, URL_LABEL
+from eventlytics.functions.text import URL_COUNT_LABEL, URL_LABEL, URL_RULER
+from eventlytics.functions.time import with_event_time
 from eventlytics.sources import tables as T
+from eventlytics.sources.files import parse_behavior
 
 # Parameters of the registered queries. The reference's 2 s / 5 s gaps
 # match almost nothing on ``events`` (a user's events are hours apart), so
@@ -44,40 +46,20 @@ def hot_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.top_k_per_window(counts, "item_id", TOP_K).select("window_end", "rank", "item_id", "cnt")
 
 
-def hot_items_direct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pv = _views(spark, sf_dir)
-    counts = ops.windowed_count(pv, ["item_id"], ITEM_WINDOW, ITEM_SLIDE, method="direct")
-    return ops.top_k_per_window(counts, "item_id", TOP_K).select("window_end", "rank", "item_id", "cnt")
-
-
-def hot_items_pane(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pv = _views(spark, sf_dir)
-    counts = ops.windowed_count(pv, ["item_id"], ITEM_WINDOW, ITEM_SLIDE, method="pane")
-    return ops.top_k_per_window(counts, "item_id", TOP_K).select("window_end", "rank", "item_id", "cnt")
-
-
 def hot_items_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.rank_report(hot_items(spark, sf_dir), "item_id")
 
 
 # --------------------------------------------------------------------- J2
-def _urls(spark, sf_dir, method):
+def hot_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = T.access_log_from_events(_events(spark, sf_dir))
-    counts = ops.windowed_count(log, ["url"], URL_WINDOW, URL_SLIDE, method=method)
+    counts = ops.windowed_count(log, ["url"], URL_WINDOW, URL_SLIDE)
     return ops.top_k_per_window(counts, "url", TOP_K).select("window_end", "rank", "url", "cnt")
 
 
-def hot_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _urls(spark, sf_dir, "pane")
-
-
-def hot_urls_direct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _urls(spark, sf_dir, "direct")
-
-
 def hot_urls_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.rank_report(hot_urls(spark, sf_dir), "url", key_label=URL_LABEL,
-                           count_label=URL_COUNT_LABEL, trailer="\n\n")
+                           count_label=URL_COUNT_LABEL, trailer="\n\n", ruler=URL_RULER)
 
 
 # ------------------------------------------------------------------ J3, J4
@@ -94,6 +76,27 @@ def field_sum_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 ["item_id", "category_id", "behavior", "ts_s"])
 
 
+def _csv_lines(spark, sf_dir):
+    return T.behavior_lines_from_events(_events(spark, sf_dir))
+
+
+def pv_hourly_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page views from behaviour CSV lines with epoch seconds."""
+    pv = with_event_time(parse_behavior(_csv_lines(spark, sf_dir)), "ts_s", "s")
+    return ops.window_count(pv.where(F.col("behavior") == "pv"), HOUR, count_col="pv")
+
+
+def behavior_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good and bad CSV lines per behaviour; lines of items divisible by 7
+    lose their category, those of items divisible by 11 their last field."""
+    item = F.split("value", ",")[1].cast("bigint")
+    broken = F.when(item % 7 == 0, F.regexp_replace("value", r"^(\d+,\d+),\d+,", "$1,x,")).when(
+        item % 11 == 0, F.regexp_replace("value", r",\d+$", "")).otherwise(F.col("value"))
+    rows = parse_behavior(_csv_lines(spark, sf_dir).select(broken.alias("value")), "quarantine")
+    return rows.groupBy("behavior").agg(F.count_if(~F.col("_bad")).alias("good"),
+                                        F.count_if(F.col("_bad")).alias("bad"))
+
+
 def uv_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.window_distinct(_pv(spark, sf_dir), "user_id", HOUR, out_col="uv")
 
@@ -196,8 +199,7 @@ _HOT_URLS_SQL = "WITH " + _EV + """
   FROM ev, range(0, 120) AS r(j) GROUP BY 1, 2)""" + _TOPK.format(key="url")
 
 
-def _report_sql(topk_sql: str, key: str, key_label: str, count_label: str, trailer: str) -> str:
-    ruler = "===================================="
+def _report_sql(topk_sql: str, key: str, key_label: str, count_label: str, trailer: str, ruler: str) -> str:
     nl = "chr(10)"
     return f"""
 WITH topk AS ({topk_sql})
@@ -240,13 +242,18 @@ _BUCKETS = """
 
 ORACLES: dict[str, str] = {
     "hot_items": _HOT_ITEMS_SQL,
-    "hot_items_pane": _HOT_ITEMS_SQL,
-    "hot_items_direct": _HOT_ITEMS_SQL,
-    "hot_items_report": _report_sql(_HOT_ITEMS_SQL, "item_id", " 商品ID=", " 浏览量=", "chr(10)"),
+    "hot_items_report": _report_sql(_HOT_ITEMS_SQL, "item_id", " 商品ID=", " 浏览量=", "chr(10)",
+                                    "===================================="),
     "hot_urls": _HOT_URLS_SQL,
-    "hot_urls_direct": _HOT_URLS_SQL,
-    "hot_urls_report": _report_sql(_HOT_URLS_SQL, "url", " URL=", " 流量=", "chr(10) || chr(10)"),
+    "hot_urls_report": _report_sql(_HOT_URLS_SQL, "url", " URL=", " 流量=", "chr(10) || chr(10)",
+                                   "==================================="),
     "pv_hourly": _PV + "\nSELECT window_end, count(*) AS pv FROM pv GROUP BY 1",
+    "pv_hourly_csv": _PV + "\nSELECT window_end, count(*) AS pv FROM pv GROUP BY 1",
+    "behavior_quarantine": "WITH " + _EV + """
+SELECT CASE event_type WHEN 'view' THEN 'pv' WHEN 'purchase' THEN 'buy' ELSE event_type END AS behavior,
+       count(*) FILTER (WHERE k % 7 <> 0 AND k % 11 <> 0) AS good,
+       count(*) FILTER (WHERE k % 7 = 0 OR k % 11 = 0) AS bad
+FROM ev GROUP BY 1""",
     "field_sum_hourly": _PV + """
 SELECT window_end, CAST(sum(user_id) AS BIGINT) AS user_id, arg_min(k, (t, seq)) AS item_id,
        CAST(arg_min(k // 10, (t, seq)) AS INTEGER) AS category_id, 'pv' AS behavior,
@@ -291,13 +298,12 @@ SELECT order_id, day, channel, pt // 1000 AS pay_ms FROM p ANTI JOIN o USING (or
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hot_items": hot_items,
-    "hot_items_pane": hot_items_pane,
-    "hot_items_direct": hot_items_direct,
     "hot_items_report": hot_items_report,
     "hot_urls": hot_urls,
-    "hot_urls_direct": hot_urls_direct,
     "hot_urls_report": hot_urls_report,
     "pv_hourly": pv_hourly,
+    "pv_hourly_csv": pv_hourly_csv,
+    "behavior_quarantine": behavior_quarantine,
     "field_sum_hourly": field_sum_hourly,
     "uv_hourly": uv_hourly,
     "distinct_items_hourly": distinct_items_hourly,
@@ -313,189 +319,148 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 # ------------------------------------------------------------ stream twins
-# The same jobs as Structured Streaming queries over the events file
-# (availableNow, watermark delay 1 ms as for ascending input). A stream
-# emits what its final watermark has closed; the oracles apply the same
-# cut: windows with end <= watermark, timers below the watermark.
+# The same jobs as Structured Streaming queries over the events table, read
+# to its end: every twin gives the batch result, and has its oracle.
 from eventlytics import streaming as S  # noqa: E402
 
-DELAY = "1 millisecond"
-# A backlog is read in micro-batches of at most this many files, so a large
-# table is consumed in bounded steps; results do not depend on the split.
-FILES_PER_TRIGGER = 1024
+DELAY, LOG_DELAY = "1 millisecond", "1 second"  # ascending input; access logs
 
 
 def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.stream_table(spark, sf_dir, "events", T.EVENTS_SCHEMA, FILES_PER_TRIGGER)
+    return T.stream_table(spark, sf_dir, "events", T.EVENTS_SCHEMA)
 
 
-def _pv_stream(spark, sf_dir):
+def _pv_stream(spark, sf_dir, end):
     ev = _events_stream(spark, sf_dir).where(F.col("event_type") == T.VIEW)
-    return T.behavior_from_events(ev).withWatermark("et", DELAY)
+    return end.ending(T.behavior_from_events(ev)).withWatermark("et", DELAY)
 
 
 def hot_items_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = ops.windowed_count(_pv_stream(spark, sf_dir), ["item_id"], ITEM_WINDOW, ITEM_SLIDE,
-                                method="direct")
-    top = S.top_k_stream(counts, "item_id", TOP_K, "hot_items_stream")
+    end = S.End(spark)
+    counts = ops.windowed_count(_pv_stream(spark, sf_dir, end), ["item_id"], ITEM_WINDOW, ITEM_SLIDE)
+    top = S.top_k_stream(counts, "item_id", TOP_K, "hot_items_stream", end=end)
     return top.select("window_end", "rank", "item_id", "cnt")
 
 
+def hot_urls_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    end = S.End(spark)
+    log = end.ending(T.access_log_from_events(_events_stream(spark, sf_dir))).withWatermark("et", LOG_DELAY)
+    counts = ops.windowed_count(log, ["url"], URL_WINDOW, URL_SLIDE)
+    return S.top_k_stream(counts, "url", TOP_K, "hot_urls_stream", end=end).select(
+        "window_end", "rank", "url", "cnt")
+
+
 def pv_hourly_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.stream_result(ops.window_count(_pv_stream(spark, sf_dir), HOUR, count_col="pv"),
-                           "pv_hourly_stream")
+    end = S.End(spark)
+    return S.stream_result(ops.window_count(_pv_stream(spark, sf_dir, end), HOUR, count_col="pv"),
+                           "pv_hourly_stream", end)
 
 
 def uv_hourly_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.stream_result(ops.window_distinct(_pv_stream(spark, sf_dir), "user_id", HOUR,
-                                               out_col="uv"), "uv_hourly_stream")
+    end = S.End(spark)
+    return S.stream_result(ops.window_distinct(_pv_stream(spark, sf_dir, end), "user_id", HOUR,
+                                               out_col="uv"), "uv_hourly_stream", end)
+
+
+def distinct_items_hourly_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    end = S.End(spark)
+    return S.stream_result(ops.window_distinct(_pv_stream(spark, sf_dir, end), "item_id", HOUR,
+                                               out_col="items"), "distinct_items_hourly_stream", end)
 
 
 def field_sum_hourly_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fs = ops.window_field_sum(_pv_stream(spark, sf_dir), "user_id", HOUR,
+    end = S.End(spark)
+    fs = ops.window_field_sum(_pv_stream(spark, sf_dir, end), "user_id", HOUR,
                               ["item_id", "category_id", "behavior", "ts_s"])
-    return S.stream_result(fs, "field_sum_hourly_stream")
+    return S.stream_result(fs, "field_sum_hourly_stream", end)
 
 
 def login_fail_burst_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lg = T.logins_from_events(_events_stream(spark, sf_dir)).withWatermark("et", DELAY)
-    st = S.failure_burst_stream(lg, ["user_id"], F.col("event_type") == "fail", GAP,
-                                ["ip", "event_type", "et"])
-    out = S.stream_result(st, "login_fail_burst_stream")
+    fail = F.col("event_type") == "fail"
+    out = S.staged_stream(T.logins_from_events(_events_stream(spark, sf_dir)), lambda lg: ops.failure_burst(
+        lg, ["user_id"], fail, GAP), GAP, "timer_et", delay=DELAY, name="login_fail_burst_stream")
+    return out.select("user_id", "ip", "event_type", F.unix_millis("et").alias("event_ms"),
+                      F.unix_millis("timer_et").alias("timer_ms"))
+
+
+def login_fail_adjacent_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fail = F.col("event_type") == "fail"
+    out = S.staged_stream(T.logins_from_events(_events_stream(spark, sf_dir)), lambda lg: ops.adjacent_pair_within(
+        lg, ["user_id"], fail, fail, GAP), GAP, "et", delay=DELAY, name="login_fail_adjacent_stream")
     return out.select("user_id", "ip", "event_type", F.unix_millis("et").alias("event_ms"),
-                      F.floor(F.col("timer_us") / 1000).cast("bigint").alias("timer_ms"))
+                      F.unix_millis("first_et").alias("first_ms"))
 
 
 def order_timeout_slot_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    od = T.orders_from_events(_events_stream(spark, sf_dir), only_orders_and_payments=True) \
-        .withWatermark("et", DELAY)
-    st = S.single_slot_timeout_stream(od, ["order_id"], F.col("event_type") == "create", GAP,
-                                      ["event_type", "et"])
-    out = S.stream_result(st, "order_timeout_slot_stream")
+    od = T.orders_from_events(_events_stream(spark, sf_dir), only_orders_and_payments=True)
+    out = S.staged_stream(od, lambda x: ops.single_slot_timeout(
+        x, ["order_id"], F.col("event_type") == "create", GAP), GAP, "timer_et", delay=DELAY,
+        name="order_timeout_slot_stream")
     return out.select("order_id", "event_type", F.unix_millis("et").alias("event_ms"),
-                      F.floor(F.col("timer_us") / 1000).cast("bigint").alias("timer_ms"))
+                      F.unix_millis("timer_et").alias("timer_ms"))
 
 
-def _pattern_stream(spark, sf_dir, name):
-    od = T.orders_from_events(_events_stream(spark, sf_dir)).withWatermark("et", DELAY)
-    st = S.pattern_timeout_stream(od, ["order_id"], F.col("event_type") == "create",
-                                  F.col("event_type") == "pay", GAP, ["event_type", "et"])
-    return S.stream_result(st, name)
+def order_outcomes_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Timeouts and matches of the order pattern from one stream run."""
+    od = T.orders_from_events(_events_stream(spark, sf_dir))
+    out = S.staged_stream(od, lambda x: ops.pattern_outcomes(
+        x, ["order_id"], F.col("event_type") == "create", F.col("event_type") == "pay", GAP), GAP, "et",
+        delay=DELAY, name="order_outcomes_stream")
+    return out.select("order_id", "status", F.unix_millis("et").alias("event_ms"),
+                      F.unix_millis("next_et").alias("next_ms"))
 
 
 def order_timeout_pattern_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = _pattern_stream(spark, sf_dir, "order_timeout_pattern_stream")
-    return out.where(F.col("status") == "timeout").select(
-        "order_id", "event_type", F.unix_millis("et").alias("event_ms"))
+    out = order_outcomes_stream(spark, sf_dir).where(F.col("status") == "timeout")
+    return out.select("order_id", F.lit("create").alias("event_type"), "event_ms")
 
 
 def order_pay_matches_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = _pattern_stream(spark, sf_dir, "order_pay_matches_stream")
-    return out.where(F.col("status") == "match").select(
-        "order_id", F.unix_millis("et").alias("event_ms"),
-        F.floor(F.col("next_us") / 1000).cast("bigint").alias("next_ms"))
-
-
-def login_fail_adjacent_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lg = T.logins_from_events(_events_stream(spark, sf_dir)).withWatermark("et", DELAY)
-    fail = F.col("event_type") == "fail"
-    st = S.adjacent_pair_stream(lg, ["user_id"], fail, fail, GAP, ["ip", "event_type", "et"])
-    out = S.stream_result(st, "login_fail_adjacent_stream")
-    return out.select("user_id", "ip", "event_type", F.unix_millis("et").alias("event_ms"),
-                      F.floor(F.col("first_us") / 1000).cast("bigint").alias("first_ms"))
+    out = order_outcomes_stream(spark, sf_dir).where(F.col("status") == "match")
+    return out.select("order_id", "event_ms", "next_ms")
 
 
-def _reconciled_stream(spark, sf_dir, name):
-    ev = _events_stream(spark, sf_dir)
+def reconcile_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All three outputs of the reconciliation, tagged, from one stream run."""
+    ev, end = _events_stream(spark, sf_dir), S.End(spark)
     day = F.date_format(F.col("et"), "yyyy-MM-dd").alias("day")
-    orders = T.orders_from_events(ev.where(F.col("event_type") == T.VIEW)).select("*", day) \
-        .withWatermark("et", DELAY)
-    pays = T.payments_from_events(ev.where(F.col("event_type") == T.PURCHASE)).select("*", day) \
-        .withWatermark("et", DELAY)
+    orders = T.orders_from_events(ev.where(F.col("event_type") == T.VIEW)).select("*", day)
+    pays = T.payments_from_events(ev.where(F.col("event_type") == T.PURCHASE)).select("*", day)
     # the key holds its day, so a key closes with its 1-day window
-    st = ops.reconcile(orders, pays, ["order_id", "day"], ["event_type"], ["event_type"],
-                       key_window="1 day")
-    out = S.stream_result(st, name)
-    return out.select("*", F.unix_micros("o_et").alias("o_us"), F.unix_micros("p_et").alias("p_us"))
-
-
-def reconcile_processor_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same reconciliation through the keyed stateful processor (keys
-    close at the end of their day); all three outputs with a status."""
-    ev = _events_stream(spark, sf_dir)
-    day = F.date_format(F.col("et"), "yyyy-MM-dd").alias("day")
-    orders = T.orders_from_events(ev.where(F.col("event_type") == T.VIEW)).select("*", day) \
-        .withWatermark("et", DELAY)
-    pays = T.payments_from_events(ev.where(F.col("event_type") == T.PURCHASE)).select("*", day) \
-        .withWatermark("et", DELAY)
-    day_end = F.date_add(F.to_date(F.col("et")), 1).cast("timestamp")
-    st = S.reconcile_stream(orders, pays, ["order_id", "day"], ["event_type"], ["event_type"],
-                            close=day_end)
-    out = S.stream_result(st, "reconcile_processor_stream")
+    st = ops.reconcile(end.ending(orders).withWatermark("et", DELAY), end.ending(pays).withWatermark("et", DELAY),
+                       ["order_id", "day"], ["event_type"], ["event_type"], key_window="1 day")
+    out = S.stream_result(st, "reconcile_stream", end)
     return out.select("order_id", "day", "status", F.col("o_event_type").alias("order_type"),
-                      F.floor(F.col("o_us") / 1000).cast("bigint").alias("order_ms"),
-                      F.col("p_event_type").alias("channel"),
-                      F.floor(F.col("p_us") / 1000).cast("bigint").alias("pay_ms"))
+                      F.unix_millis("o_et").alias("order_ms"), F.col("p_event_type").alias("channel"),
+                      F.unix_millis("p_et").alias("pay_ms"))
 
 
 def reconcile_matched_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = _reconciled_stream(spark, sf_dir, "reconcile_matched_stream").where(F.col("status") == "matched")
-    return r.select("order_id", "day", F.col("o_event_type").alias("order_type"),
-                    F.floor(F.col("o_us") / 1000).cast("bigint").alias("order_ms"),
-                    F.col("p_event_type").alias("channel"),
-                    F.floor(F.col("p_us") / 1000).cast("bigint").alias("pay_ms"))
+    r = reconcile_stream(spark, sf_dir).where(F.col("status") == "matched")
+    return r.select("order_id", "day", "order_type", "order_ms", "channel", "pay_ms")
 
 
 def reconcile_unmatched_orders_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = _reconciled_stream(spark, sf_dir, "reconcile_unmatched_orders_stream") \
-        .where(F.col("status") == "unmatched_order")
-    return r.select("order_id", "day", F.col("o_event_type").alias("order_type"),
-                    F.floor(F.col("o_us") / 1000).cast("bigint").alias("order_ms"))
+    r = reconcile_stream(spark, sf_dir).where(F.col("status") == "unmatched_order")
+    return r.select("order_id", "day", "order_type", "order_ms")
 
 
 def reconcile_unmatched_payments_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = _reconciled_stream(spark, sf_dir, "reconcile_unmatched_payments_stream") \
-        .where(F.col("status") == "unmatched_payment")
-    return r.select("order_id", "day", F.col("p_event_type").alias("channel"),
-                    F.floor(F.col("p_us") / 1000).cast("bigint").alias("pay_ms"))
-
+    r = reconcile_stream(spark, sf_dir).where(F.col("status") == "unmatched_payment")
+    return r.select("order_id", "day", "channel", "pay_ms")
 
-_WM = "(SELECT max(epoch_ms(ts)) - 1 FROM events)"
-_DAY_CLOSED = f"epoch_ms(CAST(day AS DATE) + INTERVAL 1 DAY) <= {_WM}"
 
+STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    hot_items_stream, hot_urls_stream, pv_hourly_stream, uv_hourly_stream, distinct_items_hourly_stream,
+    field_sum_hourly_stream, login_fail_burst_stream, login_fail_adjacent_stream, order_timeout_slot_stream,
+    order_timeout_pattern_stream, order_pay_matches_stream, order_outcomes_stream, reconcile_stream,
+    reconcile_matched_stream, reconcile_unmatched_orders_stream, reconcile_unmatched_payments_stream)}
 
-def _closed(sql: str, cond: str) -> str:
-    return f"SELECT * FROM ({sql}) AS q WHERE {cond}"
-
-
-STREAM_ORACLES: dict[str, str] = {
-    "hot_items_stream": _closed(_HOT_ITEMS_SQL, f"window_end <= {_WM}"),
-    "pv_hourly_stream": _closed(ORACLES["pv_hourly"], f"window_end <= {_WM}"),
-    "uv_hourly_stream": _closed(ORACLES["uv_hourly"], f"window_end <= {_WM}"),
-    "field_sum_hourly_stream": _closed(ORACLES["field_sum_hourly"], f"window_end <= {_WM}"),
-    "login_fail_burst_stream": _LOGINS + _BUCKETS.format(d=GAP_US, key="user_id", src="lg") + f"""
-, g AS (SELECT user_id, bucket, count(*) AS n, arg_min((ip, event_type, t), (t, seq)) AS f
-        FROM b WHERE event_type = 'fail' GROUP BY 1, 2)
-SELECT user_id, f[1] AS ip, f[2] AS event_type, f[3] // 1000 AS event_ms, bucket // 1000 AS timer_ms
-FROM g WHERE n > 1 AND bucket < {_WM} * 1000""",
-    "order_timeout_slot_stream": _ORDERS
-    + ", od2 AS (SELECT * FROM od WHERE event_type IN ('create', 'pay'))"
-    + _BUCKETS.format(d=GAP_US, key="order_id", src="od2") + f"""
-, g AS (SELECT order_id, bucket, count(*) FILTER (WHERE event_type <> 'create') AS other,
-               arg_min(t, (t, seq)) FILTER (WHERE event_type = 'create') AS ct
-        FROM b GROUP BY 1, 2)
-SELECT order_id, 'create' AS event_type, ct // 1000 AS event_ms, bucket // 1000 AS timer_ms
-FROM g WHERE other = 0 AND ct IS NOT NULL AND bucket < {_WM} * 1000""",
-    "order_timeout_pattern_stream": _ORDERS + f"""
-, x AS (SELECT *, lead(t) OVER (PARTITION BY order_id ORDER BY t, seq) AS nt FROM od)
-SELECT order_id, event_type, t // 1000 AS event_ms FROM x
-WHERE event_type = 'create' AND (nt IS NULL OR nt - t >= {GAP_US})
-  AND t + {GAP_US} <= {_WM} * 1000""",
-    "login_fail_adjacent_stream": _closed(ORACLES["login_fail_adjacent"], f"event_ms < {_WM}"),
-    "reconcile_matched_stream": _closed(ORACLES["reconcile_matched"], _DAY_CLOSED),
-    "reconcile_unmatched_orders_stream": _closed(ORACLES["reconcile_unmatched_orders"], _DAY_CLOSED),
-    "reconcile_unmatched_payments_stream": _closed(ORACLES["reconcile_unmatched_payments"], _DAY_CLOSED),
-    "reconcile_processor_stream": _closed(f"""
+ORACLES["order_outcomes_stream"] = f"""
+SELECT order_id, 'timeout' AS status, event_ms, NULL AS next_ms FROM ({ORACLES["order_timeout_pattern"]}) AS a
+UNION ALL
+SELECT order_id, 'match' AS status, event_ms, next_ms FROM ({ORACLES["order_pay_matches"]}) AS b"""
+ORACLES["reconcile_stream"] = f"""
 SELECT order_id, day, 'matched' AS status, order_type, order_ms, channel, pay_ms
 FROM ({ORACLES["reconcile_matched"]}) AS m
 UNION ALL
@@ -503,24 +468,6 @@ SELECT order_id, day, 'unmatched_order' AS status, order_type, order_ms, NULL, N
 FROM ({ORACLES["reconcile_unmatched_orders"]}) AS uo
 UNION ALL
 SELECT order_id, day, 'unmatched_payment' AS status, NULL, NULL, channel, pay_ms
-FROM ({ORACLES["reconcile_unmatched_payments"]}) AS up""", _DAY_CLOSED),
-    "order_pay_matches_stream": _closed(ORACLES["order_pay_matches"], f"next_ms * 1000 < {_WM} * 1000"),
-}
-
-STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "hot_items_stream": hot_items_stream,
-    "pv_hourly_stream": pv_hourly_stream,
-    "uv_hourly_stream": uv_hourly_stream,
-    "field_sum_hourly_stream": field_sum_hourly_stream,
-    "login_fail_burst_stream": login_fail_burst_stream,
-    "order_timeout_slot_stream": order_timeout_slot_stream,
-    "order_timeout_pattern_stream": order_timeout_pattern_stream,
-    "order_pay_matches_stream": order_pay_matches_stream,
-    "login_fail_adjacent_stream": login_fail_adjacent_stream,
-    "reconcile_matched_stream": reconcile_matched_stream,
-    "reconcile_unmatched_orders_stream": reconcile_unmatched_orders_stream,
-    "reconcile_unmatched_payments_stream": reconcile_unmatched_payments_stream,
-    "reconcile_processor_stream": reconcile_processor_stream,
-}
-ORACLES.update(STREAM_ORACLES)
+FROM ({ORACLES["reconcile_unmatched_payments"]}) AS up"""
+ORACLES.update({name: ORACLES[name.removesuffix("_stream")] for name in STREAM_QUERIES if name not in ORACLES})
 QUERIES.update(STREAM_QUERIES)

@@ -4,6 +4,7 @@ the shared scratch folder for checkpoints and written intermediate tables."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -47,12 +48,11 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable by the session's Python workers.
 
-    The stream processors are pickled and run in Python workers, which
+    Functions that run in Python workers are pickled by name, so workers
     import ``eventlytics``. A zip of the package is built once per
-    SparkContext and added with ``addPyFile``, which copies it to every
-    executor (as ``--py-files`` would), and put on the workers' PYTHONPATH.
-    On a cluster the package is normally submitted with ``--py-files``;
-    then nothing is built here.
+    SparkContext and added with ``addPyFile``, which the driver serves to
+    every executor (as ``--py-files`` would). On a cluster the package is
+    normally submitted with ``--py-files``; then nothing is built here.
     """
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
@@ -71,30 +71,34 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(d, f)
                     z.write(full, os.path.relpath(full, root))
     sc.addPyFile(out)
-    # the driver-side worker of transformWithState does not read addPyFile
-    # includes; it takes PYTHONPATH from the functions' environment
-    paths = [p for p in sc.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
-    sc.environment["PYTHONPATH"] = os.pathsep.join([out] + paths)
     _SHIPPED.add(sc.applicationId)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is read as is.
-    Only when it is unset (local tests) a fresh local folder is created and
-    registered, so that checkpoints and intermediate tables have a home.
+    On a cluster this setting must name shared storage; without it this
+    fails, as other executors could not read a local folder. Only on a local
+    master (tests) a fresh local folder is created and registered.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="eventlytics-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir() or root
     return root.rstrip("/")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in the file system it names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path below the checkpoint root (never reused)."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"

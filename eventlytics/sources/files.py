@@ -14,8 +14,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlytics import schemas
-
 # Access-log token positions and time format of the reference.
 LOG_SEPARATOR = " "
 LOG_IP, LOG_USER, LOG_TIME, LOG_ZONE, LOG_METHOD, LOG_URL = 0, 2, 3, 4, 5, 6
@@ -41,37 +39,28 @@ def read_lines(spark: SparkSession, path: str, stream: bool = False,
 def parse_behavior(lines: DataFrame, mode: str = "failfast") -> DataFrame:
     """Split ``value`` on commas into the behaviour record.
 
-    failfast uses ANSI casts (a bad field raises); quarantine uses
-    ``try_cast`` and flags the row.
+    failfast fails on the first line with a missing or bad field, used or
+    not; quarantine uses ``try_cast`` and flags the row.
     """
     if mode not in _MODES:
         raise ValueError(f"mode must be one of {_MODES}")
     parts = F.split(F.col("value"), BEHAVIOR_SEPARATOR)
     names = ["user_id", "item_id", "category_id", "behavior", "ts_s"]
     types = ["bigint", "bigint", "int", "string", "bigint"]
-    cols = []
-    for i, (n, t) in enumerate(zip(names, types)):
-        if mode == "failfast":
-            cols.append(F.element_at(parts, i + 1).cast(t).alias(n))
-        else:
-            cols.append(F.try_element_at(parts, F.lit(i + 1)).try_cast(t).alias(n))
+    cols = [F.try_element_at(parts, F.lit(i + 1)).try_cast(t).alias(n) for i, (n, t) in enumerate(zip(names, types))]
+    good = F.lit(True)
+    for c in cols:
+        good = good & c.isNotNull()
     if mode == "failfast":
-        return lines.select(*cols)
-    out = lines.select(*cols, F.col("value").alias("_line"))
-    bad = F.lit(False)
-    for n in names:
-        bad = bad | F.col(n).isNull()
-    return out.withColumn("_bad", bad)
+        # a filter: it stays when unused columns are pruned
+        checked = F.when(good, True).otherwise(F.raise_error(F.concat(F.lit("bad behaviour line: "), F.col("value"))))
+        return lines.where(checked).select(*cols)
+    return lines.select(*cols, F.col("value").alias("_line"), (~good).alias("_bad"))
 
 
 def read_behavior(spark: SparkSession, path: str, mode: str = "failfast",
                   stream: bool = False, max_files_per_trigger: int | None = None) -> DataFrame:
     """Behaviour CSV without header (S1 + P1)."""
-    if mode == "failfast":
-        r = _reader(spark, stream).schema(schemas.BEHAVIOR).option("mode", "FAILFAST")
-        if stream and max_files_per_trigger:
-            r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-        return r.csv(path)
     return parse_behavior(read_lines(spark, path, stream, max_files_per_trigger), mode)
 
 

@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from eventlytics.session import scratch_path
@@ -45,16 +44,3 @@ def rows_to_stream(spark: SparkSession, rows: Sequence[Sequence], schema: str |
     stream = (spark.readStream.schema(st).option("maxFilesPerTrigger", 1)
               .option("recursiveFileLookup", "true").parquet(folder))
     return stream, folder
-
-
-def ordered_files_stream(spark: SparkSession, folder: str, schema: str | StructType,
-                         max_files_per_trigger: int = 1) -> DataFrame:
-    """Parquet files below ``folder`` as a stream, oldest file first."""
-    st = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
-    return (spark.readStream.schema(st).option("maxFilesPerTrigger", max_files_per_trigger)
-            .option("recursiveFileLookup", "true").parquet(folder))
-
-
-def seq_from(col: str) -> F.Column:
-    """A ``seq`` tie-break taken from an existing unique, ordered column."""
-    return F.col(col).cast("bigint").alias("seq")

@@ -34,11 +34,18 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str, schema: str,
                  max_files_per_trigger: int | None = None) -> DataFrame:
-    """The same table as a file stream (files named ``<name>.parquet``)."""
-    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    """The same table as a file stream, whether ``<name>.parquet`` is one
+    file or a directory of part files.
+
+    Without ``max_files_per_trigger`` a backlog is one micro-batch. With it,
+    files may arrive in any order, and rows that overtake others by more
+    than the watermark delay make those late: choose the delay accordingly.
+    """
+    r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(sf_dir)
+    # a pattern, as a file stream takes a plain path for a directory
+    return r.parquet(f"{sf_dir.rstrip('/')}/{name}.parque[t]")
 
 
 EVENTS_SCHEMA = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
@@ -90,6 +97,13 @@ def payments_from_events(events: DataFrame) -> DataFrame:
         _et().alias("et"), F.col("event_id").alias("seq"))
 
 
+def behavior_lines_from_events(events: DataFrame) -> DataFrame:
+    """Render each event as a behaviour CSV line (column ``value``)."""
+    b = behavior_from_events(events)
+    return b.select(F.concat_ws(",", *[F.col(c).cast("string") for c in (
+        "user_id", "item_id", "category_id", "behavior", "ts_s")]).alias("value"))
+
+
 def access_lines_from_events(events: DataFrame) -> DataFrame:
     """Render each event as an access-log line (column ``value``)."""
     ip = F.concat(F.lit("10.0."), (F.col("user_id") % 256).cast("string"), F.lit("."),

@@ -1,12 +1,7 @@
-"""Structured Streaming forms: runners, sinks and stateful processors."""
+"""Structured Streaming forms: runners, sinks and staged sequence operators."""
 
-from eventlytics.streaming.processors import (
-    adjacent_pair_stream, failure_burst_stream, pattern_timeout_stream, reconcile_stream,
-    single_slot_timeout_stream,
-)
-from eventlytics.streaming.sinks import console, run_available_now, stream_result, top_k_stream
+from eventlytics.streaming.sinks import End, console, run_available_now, stream_result, top_k_stream, write_sides
+from eventlytics.streaming.staged import StagedStream, staged_stream
 
-__all__ = [
-    "adjacent_pair_stream", "reconcile_stream", "failure_burst_stream", "pattern_timeout_stream", "single_slot_timeout_stream", "console",
-    "run_available_now", "stream_result", "top_k_stream",
-]
+__all__ = ["End", "StagedStream", "console", "run_available_now", "staged_stream", "stream_result", "top_k_stream",
+           "write_sides"]

@@ -1,72 +1,116 @@
 """Running streams: parquet tables in the shared checkpoint folder, the
 per-batch top-k sink, and the console sink (S5).
 
-Every run gets a fresh output and checkpoint path below
-``spark.checkpoint.dir``; a restarted query resumes from its checkpoint,
-and the per-batch writers overwrite their own batch folder, so a batch
-replayed after a lost executor or driver writes the same rows once.
+A run gets a fresh output and checkpoint path below ``spark.checkpoint.dir``
+unless the caller gives both; given the paths of an earlier run it goes on
+where that one stopped. The per-batch writers overwrite their own batch
+folder, so a replayed batch writes the same rows once.
+
+A bounded stream ends: :func:`ending` adds a source that stays empty until
+:func:`stream_result` or :func:`top_k_stream` has read everything else, and
+then delivers one row far in the future. It moves the watermark past every
+real window; its own windows never close, so it appears in no result.
 """
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from eventlytics.operators.topk import top_k_per_window
-from eventlytics.session import scratch_path
+from eventlytics.session import path_exists, scratch_path
+
+# The time of the row that ends a stream, beyond any real one.
+END = datetime.datetime(9000, 1, 1)
+
+
+class End:
+    """The end marks of a run's streams: one folder each."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.marks = spark, []
+
+    def ending(self, df: DataFrame, time_col: str = "et") -> DataFrame:
+        """``df`` and, once :meth:`reach` is called, its last row. Call it
+        before the watermark is set."""
+        folder = scratch_path(self.spark, "end")
+        schema = StructType([StructField(f.name, f.dataType, True) for f in df.schema.fields])
+        self.spark.createDataFrame([], schema).write.parquet(folder)
+        self.marks.append((folder, schema, time_col))
+        return df.unionByName(self.spark.readStream.schema(schema).parquet(folder))
+
+    def reach(self) -> None:
+        for folder, schema, time_col in self.marks:
+            row = [END if f.name == time_col else None for f in schema.fields]
+            self.spark.createDataFrame([tuple(row)], schema).coalesce(1).write.mode("append").parquet(folder)
 
 
-def run_available_now(df: DataFrame, name: str, output_mode: str = "append",
-                      path: str | None = None, checkpoint: str | None = None) -> str:
+def run_available_now(df: DataFrame, name: str, output_mode: str = "append", path: str | None = None,
+                      checkpoint: str | None = None, end: End | None = None) -> str:
     """Run a streaming frame over all available input into a parquet table;
-    return the table path."""
+    return the table path. With ``end`` the stream is then brought to its
+    end, so that every window is emitted."""
     spark = df.sparkSession
     path = path or scratch_path(spark, f"{name}-out")
     checkpoint = checkpoint or scratch_path(spark, f"{name}-ckpt")
-    q = (df.writeStream.format("parquet").option("path", path)
-         .option("checkpointLocation", checkpoint).outputMode(output_mode)
-         .trigger(availableNow=True).queryName(f"{name}_{abs(hash(path)) % 10**8}").start())
-    q.awaitTermination()
-    return path
 
+    def once() -> None:
+        (df.writeStream.format("parquet").option("path", path)
+         .option("checkpointLocation", checkpoint).outputMode(output_mode)
+         .trigger(availableNow=True).start().awaitTermination())
 
-def read_result(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+    once()
+    if end is not None:
+        end.reach()
+        once()
+    return path
 
 
-def stream_result(df: DataFrame, name: str) -> DataFrame:
-    """Run ``df`` (a stream) to completion and return its rows as a table."""
+def stream_result(df: DataFrame, name: str, end: End | None = None, path: str | None = None,
+                  checkpoint: str | None = None) -> DataFrame:
+    """Run ``df`` (a stream) over all available input and return its rows."""
     schema = df.schema
-    return read_result(df.sparkSession, run_available_now(df, name), schema)
+    return df.sparkSession.read.schema(schema).parquet(
+        run_available_now(df, name, path=path, checkpoint=checkpoint, end=end))
 
 
 def top_k_stream(counts: DataFrame, key: str, k: int, name: str, window_col: str = "window_end",
-                 count_col: str = "cnt", path: str | None = None) -> DataFrame:
+                 count_col: str = "cnt", path: str | None = None, checkpoint: str | None = None,
+                 end: End | None = None) -> DataFrame:
     """Top-k per window of an append-mode windowed count stream.
 
     Append mode emits every window once, complete, when the watermark closes
     it, so each micro-batch is ranked with the batch operator (partial
     ``WindowGroupLimit`` and all) and written to its own batch folder.
+    ``path`` and ``checkpoint`` belong together: both of one earlier run, or
+    neither.
     """
+    if (path is None) != (checkpoint is None):
+        raise ValueError("give path and checkpoint of one run, or neither")
     spark = counts.sparkSession
     path = path or scratch_path(spark, f"{name}-out")
-    checkpoint = scratch_path(spark, f"{name}-ckpt")
+    checkpoint = checkpoint or scratch_path(spark, f"{name}-ckpt")
     cols = list(counts.columns) + ["rank"]
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         ranked = top_k_per_window(batch, key, k, window_col, count_col).select(*cols)
-        ranked.write.mode("overwrite").parquet(f"{path}/batch={batch_id:012d}")
+        ranked.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    def once() -> None:
+        (counts.writeStream.foreachBatch(write_batch).outputMode("append")
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
 
-    q = (counts.writeStream.foreachBatch(write_batch).outputMode("append")
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
+    once()
+    if end is not None:
+        end.reach()
+        once()
     schema = StructType(counts.schema.fields + [StructField("rank", LongType())])
-    # an empty run writes no batch folder
-    try:
-        return spark.read.schema(schema).parquet(path).select(*cols)
-    except Exception:  # noqa: BLE001 - no batch produced any file
+    if not path_exists(spark, path):  # no batch has run
         return spark.createDataFrame([], schema).select(*cols)
+    return spark.read.schema(schema).parquet(path).select(*cols)
 
 
 def console(df: DataFrame, output_mode: str = "append", truncate: bool = False,
@@ -80,6 +124,13 @@ def console(df: DataFrame, output_mode: str = "append", truncate: bool = False,
     return w.start()
 
 
-def with_status_tag(df: DataFrame, status: str) -> DataFrame:
-    """Tag rows for a shared side-output sink."""
-    return df.withColumn("status", F.lit(status))
+def write_sides(df: DataFrame, paths: dict[str, str], column: str = "status") -> None:
+    """Several outputs of one result (S6): its rows by the value of
+    ``column``, each to its own table, from one run of ``df``."""
+    spark = df.sparkSession
+    whole = scratch_path(spark, "sides")
+    df.write.partitionBy(column).parquet(whole)
+    rows = spark.read.schema(StructType([f for f in df.schema.fields if f.name != column]).add(
+        df.schema[column])).parquet(whole)
+    for value, path in paths.items():
+        rows.where(F.col(column) == value).write.mode("overwrite").parquet(path)

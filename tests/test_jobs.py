@@ -1,5 +1,6 @@
 """The reference jobs end to end on the fixture rows, batch and stream."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from eventlytics import schemas
@@ -7,7 +8,6 @@ from eventlytics.plans import jobs
 from eventlytics.session import scratch_path
 from eventlytics.sources import kafka
 from eventlytics.sources.memory import rows_to_frame, rows_to_stream
-from eventlytics import streaming as S
 
 from conftest import rows
 from test_fixtures import BEHAVIOR_LINE, LOG_LINE, LOGINS, ORDERS, TWO_ORDERS, TWO_PAYS
@@ -23,9 +23,7 @@ def test_hot_items_job_batch_and_stream(spark):
     path = _text_file(spark, [BEHAVIOR_LINE, "1,99,1,buy,1511658001"], "behavior")
     want = [(1511658300000 + 300000 * i, 1, 1715, 1) for i in range(12)]
     assert rows(jobs.hot_items(spark, path), "window_end", "rank", "item_id", "cnt") == want
-    # a stream closes only windows its watermark has passed (max ts - 1 ms)
-    got = rows(jobs.hot_items(spark, path, stream=True), "window_end", "rank", "item_id", "cnt")
-    assert got == [w for w in want if w[0] <= 1511658001000 - 1]
+    assert rows(jobs.hot_items(spark, path, stream=True), "window_end", "rank", "item_id", "cnt") == want
     rep = jobs.hot_items(spark, path, report=True).collect()
     assert len(rep) == 12 and all("No1: 商品ID=1715 浏览量=1" in r.report for r in rep)
 
@@ -35,6 +33,11 @@ def test_traffic_job(spark):
     path = _text_file(spark, [LOG_LINE, second, "junk"], "log")
     top = jobs.traffic(spark, path, mode="quarantine")
     assert top.count() == 120 and top.agg(F.max("cnt")).first()[0] == 2
+    cols = ("window_end", "rank", "url", "cnt")
+    assert rows(jobs.traffic(spark, path, mode="quarantine", stream=True), *cols) == rows(top, *cols)
+    rep = jobs.traffic(spark, path, mode="quarantine", report=True).first().report
+    bar = "=" * 35
+    assert rep.startswith(f"{bar}\n时间: ") and rep.endswith(f"\n{bar}\n\n") and ".0\nNo1: URL=" in rep
     by_ip = jobs.traffic(spark, path, key="ip", mode="quarantine")
     assert by_ip.where("rank = 2").count() > 0
 
@@ -69,14 +72,46 @@ def test_two_stream_join_job(spark):
 
 def test_stream_jobs_on_fixture_rows(spark):
     st, _ = rows_to_stream(spark, LOGINS, schemas.LOGIN, rows_per_file=2)
-    got = S.stream_result(jobs.login_fail_timer(st), "j5")
-    assert rows(got, "user_id", "ts_s") == [(1, 1558430842)]
+    assert rows(jobs.login_fail_timer(st), "user_id", "ts_s") == [(1, 1558430842)]
     st, _ = rows_to_stream(spark, LOGINS, schemas.LOGIN, rows_per_file=1)
-    got = S.stream_result(jobs.login_fail_pattern(st), "j6")
-    assert rows(got) == [(1, "192.168.0.2", "fail"), (1, "192.168.0.3", "fail")]
+    assert rows(jobs.login_fail_pattern(st)) == [(1, "192.168.0.2", "fail"), (1, "192.168.0.3", "fail")]
     st, _ = rows_to_stream(spark, ORDERS, schemas.ORDER, rows_per_file=2)
-    got = S.stream_result(jobs.order_timeout_timer(st), "j8")
-    assert rows(got, "order_id") == [("1",)]
+    assert rows(jobs.order_timeout_timer(st), "order_id") == [("1",)]
+    st, _ = rows_to_stream(spark, ORDERS, schemas.ORDER, rows_per_file=2)
+    out = jobs.order_timeout_pattern(st)
+    assert rows(out["timeout"], "order_id") == [("1",)] and rows(out["matched"], "order_id") == [("2",)]
+
+
+def test_two_stream_join_as_a_stream(spark):
+    # the first order is followed within the key by a later one and a payment
+    orders = [("a", "create", "1000"), ("a", "create", "1004"), ("b", "create", "2000"), ("c", "create", "9000")]
+    pays = [("a", "weixin", "1005"), ("d", "zhifubao", "3000")]
+    batch = jobs.two_stream_join(rows_to_frame(spark, orders, schemas.ORDER),
+                                 rows_to_frame(spark, pays, schemas.PAYMENT), wait="5 seconds")
+    o, _ = rows_to_stream(spark, orders, schemas.ORDER, rows_per_file=4)
+    p, _ = rows_to_stream(spark, pays, schemas.PAYMENT, rows_per_file=2)
+    stream = jobs.two_stream_join(o, p, wait="5 seconds")
+    for side in batch:
+        assert rows(stream[side], "order_id", "o_event_time", "p_event_time") == rows(
+            batch[side], "order_id", "o_event_time", "p_event_time")
+    assert rows(stream["matched"], "order_id") == [("a",)]
+
+
+def test_failfast_fails_on_an_empty_number(spark):
+    path = _text_file(spark, ["1,,3,pv,5"], "bad")
+    for job in (jobs.page_views, jobs.unique_visitors):
+        with pytest.raises(Exception, match="bad behaviour line"):
+            job(spark, path).collect()
+
+
+def test_equal_times_on_a_stream_are_ordered_by_the_row(spark):
+    rows_in = [(1, "x", "fail", 10), (1, "y", "fail", 10), (1, "z", "success", 11)]
+    lines = spark.createDataFrame(rows_in, schemas.LOGIN)
+    folder = scratch_path(spark, "ties")
+    lines.repartition(3).write.parquet(folder)
+    results = {str(rows(jobs.login_fail_timer(spark.readStream.schema(schemas.LOGIN).option(
+        "maxFilesPerTrigger", n).parquet(folder)), "user_id", "ip")) for n in (1, 2, 10)}
+    assert len(results) == 1
 
 
 def test_kafka_encode_decode_and_options(spark):

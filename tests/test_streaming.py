@@ -1,8 +1,6 @@
-"""Stream forms against the batch closed forms and the event machines.
-
-Streams are replayed from files (several rows per micro-batch); a stream
-emits what its final watermark has closed, so expectations are cut there.
-"""
+"""Stream forms against the batch operators and the event machines: complete
+results at the end of a bounded input, whatever the micro-batches and the
+order of arrival (within the delay), and after a stop."""
 
 import random
 
@@ -10,168 +8,190 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventlytics import operators as ops
-from eventlytics import schemas
 from eventlytics import streaming as S
-from eventlytics.functions.time import with_event_time
+from eventlytics.plans import registry as R
+from eventlytics.session import scratch_path
+from eventlytics.sources import tables as T
 from eventlytics.sources.memory import rows_to_stream
 
-from test_random_machines import D, SCHEMA, _events, _per_key
+from test_random_machines import D, SCHEMA, _events, adjacent_machine, burst_machine, slot_machine
+
+from conftest import SF001, rows
+
+
+def typ(x):
+    return F.col("typ") == x
+
+
+def _stream(spark, evs, per_file, schema=SCHEMA):
+    st, _ = rows_to_stream(spark, evs, schema, rows_per_file=per_file)
+    return st.withColumn("et", F.timestamp_micros("t"))
 
-from conftest import rows
+
+def _batch(spark, evs):
+    return spark.createDataFrame([e + (i,) for i, e in enumerate(evs)], SCHEMA + ", seq BIGINT") \
+        .withColumn("et", F.timestamp_micros("t"))
 
 
-def _stream(spark, evs, per_file, delay="1 millisecond"):
-    st, _ = rows_to_stream(spark, evs, SCHEMA, rows_per_file=per_file)
-    return st.withColumn("et", F.timestamp_micros("t")).withWatermark("et", delay)
+def _burst(df):
+    return ops.failure_burst(df, ["k"], typ("a"), D // 1000)
 
 
-def _cut_us(evs, delay_ms):
-    return (max(t for _, _, t in evs) // 1000 - delay_ms) * 1000
+def _slot(df):
+    return ops.single_slot_timeout(df, ["k"], typ("a"), D // 1000)
 
 
-def _fires(evs, on_event, on_fire, cut):
-    """Timer machine that also reports when each output is emitted."""
-    out = []
-    for k, seq_rows in _per_key(evs).items():
-        state, timers = {"v": None}, set()
-        for t, seq, typ in seq_rows:
-            for tm in sorted(x for x in timers if x < t):
-                timers.discard(tm)
-                out.extend((k, s, tm) for s in on_fire(state))
-            on_event(state, (t, seq, typ))
-            timers.add(t + D)
-        for tm in sorted(timers):
-            out.extend((k, s, tm) for s in on_fire(state))
-    return sorted(o for o in out if o[2] < cut)
+def _adjacent(df):
+    return ops.adjacent_pair_within(df, ["k"], typ("a"), typ("a"), D // 1000)
 
 
-def _burst(evs, cut):
-    def on_event(st, ev):
-        if ev[2] == "a":
-            st["v"] = (st["v"] or []) + [ev]
+@pytest.mark.parametrize("per_file", [19, 60, 1000])
+def test_staged_detectors_match_machines(spark, per_file):
+    evs = _events(7, n=120)
+    for op, machine, at in ((_burst, burst_machine, "timer_et"), (_slot, slot_machine, "timer_et"),
+                            (_adjacent, adjacent_machine, "et")):
+        st = _stream(spark, evs, per_file)
+        got = S.staged_stream(st, op, D // 1000, at, chunk=2 * D // 1000)
+        assert rows(got, "k", "seq") == machine(evs)
 
-    def on_fire(st):
-        stored, st["v"] = st["v"] or [], None
-        return [stored[0][1]] if len(stored) > 1 else []
 
-    return _fires(evs, on_event, on_fire, cut)
+def test_staged_outcomes_equal_both_batch_forms(spark):
+    evs = _events(5, n=120)
+    got = S.staged_stream(_stream(spark, evs, 40), lambda df: ops.pattern_outcomes(df, ["k"], typ("a"), typ("b"), D // 1000),
+                          D // 1000, "et", chunk=D // 1000).cache()
+    batch = _batch(spark, evs)
+    assert rows(got.where("status = 'timeout'"), "k", "seq") == rows(
+        ops.pattern_timeout(batch, ["k"], typ("a"), typ("b"), D // 1000), "k", "seq")
+    assert rows(got.where("status = 'match'"), "k", "seq", "next_seq") == rows(
+        ops.pattern_matches(batch, ["k"], typ("a"), typ("b"), D // 1000), "k", "seq", "next_seq")
 
 
-def _slot(evs, cut):
-    def on_event(st, ev):
-        if ev[2] != "a" or st["v"] is None:
-            st["v"] = ev
+def test_staged_takes_rows_out_of_order(spark):
+    evs = _events(11, n=120)
+    late_us = 3_000_000
+    rnd = random.Random(3)
+    order = sorted(range(len(evs)), key=lambda i: evs[i][2] + rnd.randrange(late_us))
+    st = _stream(spark, [evs[i] + (i,) for i in order], 30, SCHEMA + ", orig BIGINT").withColumn("seq", F.col("orig"))
+    got = S.staged_stream(st, _burst, D // 1000, "timer_et", delay="3 seconds", chunk=D // 1000)
+    assert rows(got, "k", "seq") == burst_machine(evs)
 
-    def on_fire(st):
-        v, st["v"] = st["v"], None
-        return [v[1]] if v is not None and v[2] == "a" else []
 
-    return _fires(evs, on_event, on_fire, cut)
+def test_staged_drops_rows_of_an_emitted_stretch(spark):
+    evs = [(1, "a", 0), (1, "a", 1), (2, "b", 100 * D), (1, "a", 2), (2, "b", 100 * D + 1)]
+    st = _stream(spark, evs, 3)
+    got = S.staged_stream(st, _adjacent, D // 1000, "et", chunk=D // 1000)
+    assert rows(got, "k", "t") == [(1, 1)]
+    whole = S.staged_stream(_stream(spark, evs, 5), _adjacent, D // 1000, "et", chunk=D // 1000)
+    assert rows(whole, "k", "t") == [(1, 1), (1, 2)]
 
 
-def _shuffled(evs, seed, lateness_us):
-    """Arrival order differs from time order by less than ``lateness_us``."""
-    rnd = random.Random(seed)
-    keyed = sorted(range(len(evs)), key=lambda i: evs[i][2] + rnd.randrange(lateness_us))
-    return keyed
+def test_staged_plan_has_no_python(spark):
+    st = _stream(spark, _events(1, n=10), 10)
+    got = S.staged_stream(st, _burst, D // 1000, "timer_et")
+    assert "Python" not in _burst(_batch(spark, _events(1, n=10)))._jdf.queryExecution().toString()
+    assert got.count() >= 0
 
 
-@pytest.mark.parametrize("per_file", [37, 100])
-def test_timer_processors_match_machines(spark, per_file):
+def test_staged_resumes_where_it_stopped(spark):
     evs = _events(7, n=120)
-    cut = _cut_us(evs, 0) - 1000
-    a = F.col("typ") == "a"
-    got = S.stream_result(S.failure_burst_stream(_stream(spark, evs, per_file), ["k"], a, D // 1000,
-                                                 ["seq"]), "burst_t")
-    assert rows(got, "k", "seq", "timer_us") == _burst(evs, cut)
-    got = S.stream_result(S.single_slot_timeout_stream(_stream(spark, evs, per_file), ["k"], a,
-                                                       D // 1000, ["seq"]), "slot_t")
-    assert rows(got, "k", "seq", "timer_us") == _slot(evs, cut)
+    folder = scratch_path(spark, "resume-in")
+    path, checkpoint = scratch_path(spark, "resume-out"), scratch_path(spark, "resume-ckpt")
 
+    def add(lo, hi):
+        part = [e + (i,) for i, e in enumerate(evs)][lo:hi]
+        spark.createDataFrame(part, SCHEMA + ", seq BIGINT").coalesce(1).write.mode("append").parquet(folder)
 
-def test_processors_sort_out_of_order_input(spark):
-    evs = _events(11, n=120)
-    lateness_ms = 3_000
-    order = _shuffled(evs, 3, lateness_ms * 1000)
-    # rows keep their seq (time-order position); only the arrival order changes
-    arrived = [evs[i] for i in order]
-    seqs = order
-    st, _ = rows_to_stream(spark, [a + (s,) for a, s in zip(arrived, seqs)],
-                           SCHEMA + ", orig BIGINT", rows_per_file=30)
-    st = (st.withColumn("seq", F.col("orig")).withColumn("et", F.timestamp_micros("t"))
-          .withWatermark("et", f"{lateness_ms} milliseconds"))
-    cut = _cut_us(evs, lateness_ms)
-    a = F.col("typ") == "a"
-    got = S.stream_result(S.failure_burst_stream(st, ["k"], a, D // 1000, ["seq"]), "burst_ooo")
-    assert rows(got, "k", "seq", "timer_us") == _burst(evs, cut)
-
-
-def test_pattern_processors_match_batch(spark):
-    evs = _events(5, n=120)
-    cut = _cut_us(evs, 0) - 1000
-    a, b = F.col("typ") == "a", F.col("typ") == "b"
-    batch = spark.createDataFrame([e + (i,) for i, e in enumerate(evs)], SCHEMA + ", seq BIGINT") \
-        .withColumn("et", F.timestamp_micros("t"))
-    st = S.stream_result(S.pattern_timeout_stream(_stream(spark, evs, 40), ["k"], a, b, D // 1000,
-                                                  ["seq", "t"]), "pattern_t")
-    want_to = [(r.k, r.seq) for r in ops.pattern_timeout(batch, ["k"], a, b, D // 1000).collect()
-               if r.t + D <= cut]
-    assert rows(st.where("status = 'timeout'"), "k", "seq") == sorted(want_to)
-    matches = ops.pattern_matches(batch, ["k"], a, b, D // 1000).collect()
-    want_m = [(r.k, r.seq) for r in matches if evs[r.next_seq][2] < cut]
-    assert rows(st.where("status = 'match'"), "k", "seq") == sorted(want_m)
-    adj = S.stream_result(S.adjacent_pair_stream(_stream(spark, evs, 40), ["k"], a, a, D // 1000,
-                                                 ["seq", "t"]), "adj_t")
-    want_adj = [(r.k, r.seq) for r in ops.adjacent_pair_within(batch, ["k"], a, a, D // 1000).collect()
-                if r.t < cut]
-    assert rows(adj, "k", "seq") == sorted(want_adj)
-
-
-@pytest.mark.parametrize("split", [1, 2])
-def test_late_pay_still_alerts(spark, split):
-    od = [("9", "create", "1000"), ("9", "pay", "1100")]
-    st, _ = rows_to_stream(spark, od, schemas.ORDER, rows_per_file=split)
-    st = with_event_time(st, "event_time", "s", delay="1 millisecond")
-    out = S.stream_result(S.single_slot_timeout_stream(st, ["order_id"], F.col("event_type") == "create",
-                                                       "5 seconds", ["event_time"]), "late_pay")
-    assert rows(out, "order_id", "event_time") == [("9", "1000")]
-
-
-def test_window_stream_parity(spark):
+    def run():
+        st = spark.readStream.schema(SCHEMA + ", seq BIGINT").parquet(folder)
+        return S.StagedStream(st.withColumn("et", F.timestamp_micros("t")), _slot, D // 1000, "timer_et",
+                              chunk=D // 1000, path=path, checkpoint=checkpoint)
+
+    add(0, 70)
+    run().start(availableNow=True).awaitTermination()
+    some = rows(run().results(), "k", "seq")
+    assert some and len(some) < len(slot_machine(evs))
+    add(70, 120)
+    assert rows(run().finish(), "k", "seq") == slot_machine(evs)
+
+
+def test_top_k_resumes_with_its_checkpoint(spark):
+    evs = _events(3, n=200, keys=6)
+    folder = scratch_path(spark, "topk-in")
+    path, checkpoint = scratch_path(spark, "topk-out"), scratch_path(spark, "topk-ckpt")
+
+    def run(end=None):
+        st = spark.readStream.schema(SCHEMA).parquet(folder).withColumn("et", F.timestamp_micros("t"))
+        st = st.withWatermark("et", "1 millisecond")
+        counts = ops.windowed_count(st, ["k"], "60 seconds", "20 seconds")
+        return S.top_k_stream(counts, "k", 2, "resume", path=path, checkpoint=checkpoint, end=end)
+
+    cols = ("window_end", "rank", "k", "cnt")
+    batch = spark.createDataFrame(evs, SCHEMA).withColumn("et", F.timestamp_micros("t"))
+    want = rows(ops.top_k_per_window(ops.windowed_count(batch, ["k"], "60 seconds", "20 seconds"), "k", 2), *cols)
+    spark.createDataFrame(evs[:120], SCHEMA).coalesce(1).write.parquet(folder)
+    first = rows(run(), *cols)
+    spark.createDataFrame(evs[120:] + [(99, "a", 10 ** 15)], SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+    both = rows(run(), *cols)
+    assert first and len(first) < len(want) and both == want
+    with pytest.raises(ValueError):
+        S.top_k_stream(batch, "k", 2, "x", path=path)
+
+
+@pytest.mark.parametrize("method", ["direct", "pane"])
+def test_windows_to_the_end_of_the_stream(spark, method):
     evs = _events(3, n=200, keys=6)
     batch = spark.createDataFrame(evs, SCHEMA).withColumn("et", F.timestamp_micros("t"))
-    cut_ms = _cut_us(evs, 0) // 1000 - 1
-    for method in ("direct", "pane"):
-        st = ops.windowed_count(_stream(spark, evs, 50), ["k"], "60 seconds", "20 seconds", method=method)
-        got = S.top_k_stream(st, "k", 2, f"topk_{method}")
-        want = ops.top_k_per_window(ops.windowed_count(batch, ["k"], "60 seconds", "20 seconds"), "k", 2)
-        assert rows(got, "window_end", "rank", "k", "cnt") == \
-            rows(want.where(F.col("window_end") <= cut_ms), "window_end", "rank", "k", "cnt")
-    uv = S.stream_result(ops.window_distinct(_stream(spark, evs, 50), "k", "30 seconds", out_col="n"), "uv_t")
+    end = S.End(spark)
+    st = end.ending(_stream(spark, evs, 50)).withWatermark("et", "1 millisecond")
+    got = S.top_k_stream(ops.windowed_count(st, ["k"], "60 seconds", "20 seconds", method=method), "k", 2,
+                         f"topk_{method}", end=end)
+    want = ops.top_k_per_window(ops.windowed_count(batch, ["k"], "60 seconds", "20 seconds"), "k", 2)
+    assert rows(got, "window_end", "rank", "k", "cnt") == rows(want, "window_end", "rank", "k", "cnt")
+
+
+def test_distinct_of_nulls_batch_and_stream(spark):
+    evs = [(1, "a", 0), (None, "a", 1), (1, "a", 2), (None, "b", D), (2, "b", 90_000_000)]
+    batch = spark.createDataFrame(evs, SCHEMA).withColumn("et", F.timestamp_micros("t"))
+    end = S.End(spark)
+    st = end.ending(_stream(spark, evs, 2)).withWatermark("et", "1 millisecond")
+    got = S.stream_result(ops.window_distinct(st, "k", "30 seconds", out_col="n"), "uv_null", end)
     want = ops.window_distinct(batch, "k", "30 seconds", out_col="n")
-    assert rows(uv) == rows(want.where(F.col("window_end") <= cut_ms))
-
-
-def test_late_rows_are_dropped(spark):
-    # key 1: fail at 100 s and 101 s, then a row at 200 s moves the watermark;
-    # a fail at 102 s arriving after that is behind the watermark and dropped
-    lg = [(1, "a", "fail", 100), (1, "b", "fail", 101), (2, "c", "success", 200),
-          (1, "d", "fail", 102), (3, "e", "success", 300)]
-    st, _ = rows_to_stream(spark, lg, schemas.LOGIN, rows_per_file=3)
-    st = with_event_time(st, "ts_s", "s", delay="1 millisecond")
-    out = S.stream_result(S.failure_burst_stream(st, ["user_id"], F.col("event_type") == "fail",
-                                                 "5 seconds", ["ip", "ts_s"]), "late_rows")
-    assert rows(out, "user_id", "ip", "ts_s") == [(1, "a", 100)]
-    adj = S.stream_result(S.adjacent_pair_stream(
-        with_event_time(rows_to_stream(spark, lg, schemas.LOGIN, rows_per_file=3)[0], "ts_s", "s",
-                        delay="1 millisecond"),
-        ["user_id"], F.col("event_type") == "fail", F.col("event_type") == "fail", "5 seconds",
-        ["ip"]), "late_adj")
-    assert rows(adj, "user_id", "ip") == [(1, "b")]
+    assert rows(got) == rows(want) and min(r[1] for r in rows(want)) == 1
+
+
+def test_a_directory_of_overlapping_files(spark, tmp_path):
+    """``events`` as a directory: equal rows in batch, in one micro-batch,
+    and at one file per trigger with a delay that covers the disorder."""
+    events = spark.read.parquet(f"{SF001}/events.parquet")
+    folder = str(tmp_path)
+    events.repartition(3).write.parquet(f"{folder}/events.parquet")
+    span = events.agg(F.max(F.unix_micros(F.col("ts").cast("timestamp"))) - F.min(F.unix_micros(
+        F.col("ts").cast("timestamp")))).head()[0]
+    assert T.load_table(spark, folder, "events").count() == events.count()
+    for name in ("pv_hourly", "login_fail_burst", "order_timeout_slot"):
+        assert rows(R.QUERIES[f"{name}_stream"](spark, folder)) == rows(R.QUERIES[name](spark, SF001))
+    st = T.stream_table(spark, folder, "events", T.EVENTS_SCHEMA, max_files_per_trigger=1)
+    fail = F.col("event_type") == "fail"
+    got = S.staged_stream(T.logins_from_events(st), lambda lg: ops.failure_burst(lg, ["user_id"], fail, R.GAP),
+                          R.GAP, "timer_et", delay=f"{span // 1000 + 1} milliseconds")
+    want = ops.failure_burst(T.logins_from_events(events), ["user_id"], fail, R.GAP)
+    assert rows(got, "user_id", "seq") == rows(want, "user_id", "seq")
+    end = S.End(spark)
+    pv = end.ending(T.behavior_from_events(T.stream_table(
+        spark, folder, "events", T.EVENTS_SCHEMA, max_files_per_trigger=1).where(F.col("event_type") == T.VIEW)))
+    got = S.stream_result(ops.window_count(pv.withWatermark("et", f"{span} microseconds"), "1 hour", count_col="pv"),
+                          "pv_dir", end)
+    assert rows(got) == rows(R.QUERIES["pv_hourly"](spark, SF001))
+
+
+def test_sides_from_one_run(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "k int, status string")
+    paths = {s: scratch_path(spark, s) for s in ("a", "b", "c")}
+    S.write_sides(df, paths)
+    assert {s: rows(spark.read.parquet(p), "k") for s, p in paths.items()} == {"a": [(1,), (3,)], "b": [(2,)], "c": []}
 
 
 def test_console_sink_runs(spark):
-    st, _ = rows_to_stream(spark, [(1, "x", "fail", 1)], schemas.LOGIN)
-    q = S.console(st, available_now=True)
+    q = S.console(_stream(spark, [(1, "a", 1)], 1), available_now=True)
     q.awaitTermination()
     assert q.exception() is None
