@@ -22,7 +22,8 @@ def components(edges: DataFrame, name: str = "components", most_rounds: int = 60
     every edge points to a root. The number of rounds grows with the
     logarithm of the longest path; each writes at most as many edges as there
     were before. The smallest neighbour comes from an aggregation (partial
-    before the shuffle) and a join whose hot keys can be split.
+    before the shuffle, and written, so that the join reads two shuffles and its
+    hot keys can be split).
     """
     e = edges.where("a != b").select(F.least("a", "b").alias("v"), F.greatest("a", "b").alias("u")).distinct()
     e = written(e, name)  # u > v
@@ -30,16 +31,14 @@ def components(edges: DataFrame, name: str = "components", most_rounds: int = 60
     for _ in range(most_rounds):
         # large star: for each node, its larger neighbours go to the least of it and its neighbours
         both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m"))
-        least = least.select("u", F.least("u", "m").alias("m"))
+        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), name)
         large = (both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .where("u != v").distinct())
         large = written(large, name)
         # small star: for each node, its smaller neighbours (and itself) go to the least of them
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        down = large.join(least, "u")
-        small = down.select(F.col("v").alias("u"), F.col("m").alias("v")).union(
-            down.select("u", F.col("m").alias("v"))).where("u != v").distinct()
+        least = written(large.groupBy("u").agg(F.min("v").alias("m")), name)
+        pair = lambda u: F.struct(F.col(u).alias("u"), F.col("m").alias("v"))
+        small = large.join(least, "u").select(F.inline(F.array(pair("v"), pair("u")))).where("u != v").distinct()
         small = written(small, name)
         e, before, state = small, state, _state(small)
         if state == before:
