@@ -25,18 +25,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlytics.operators.durations import to_us
-from eventlytics.operators.sequence import default_chunk_us, with_halo
+from eventlytics.operators.sequence import default_chunk_us, with_edges, with_halo
 
 _HELPERS = ("_t", "_p1", "_p2", "_chunk", "_halo")
 
 
 def _prepared(df: DataFrame, keys: Sequence[str], first: Column, second: Column, within_us: int,
-              side: str, chunk_us: int | None, time_col: str):
+              side: str, chunk_us: int | None, time_col: str, seq_col: str):
     chunk_us = chunk_us or default_chunk_us(within_us)
     base = df.withColumn("_t", F.unix_micros(F.col(time_col))) \
              .withColumn("_p1", first).withColumn("_p2", second)
-    rows = with_halo(base, "_t", within_us, chunk_us, side)
-    return rows
+    if chunk_us >= within_us:
+        return with_halo(base, "_t", within_us, chunk_us, side)
+    return with_edges(base, list(keys), "_t", ["_t", seq_col], ["_p1", "_p2"], within_us, chunk_us, side)
 
 
 def _window(keys: Sequence[str], seq_col: str):
@@ -52,7 +53,7 @@ def adjacent_pair_within(df: DataFrame, keys: Sequence[str], first: Column, seco
     if df.isStreaming:
         raise ValueError("use eventlytics.streaming.staged_stream for streams")
     d = to_us(within)
-    rows = _prepared(df, keys, first, second, d, "before", chunk_us, time_col)
+    rows = _prepared(df, keys, first, second, d, "before", chunk_us, time_col, seq_col)
     w = _window(keys, seq_col)
     rows = rows.select("*", F.lag("_t").over(w).alias("_pt"), F.lag("_p1").over(w).alias("_pp1"),
                        F.lag(seq_col).over(w).alias("first_seq"))
@@ -63,7 +64,7 @@ def adjacent_pair_within(df: DataFrame, keys: Sequence[str], first: Column, seco
 
 def _with_next(df, keys, start, nxt, within, time_col, seq_col, chunk_us):
     d = to_us(within)
-    rows = _prepared(df, keys, start, nxt, d, "after", chunk_us, time_col)
+    rows = _prepared(df, keys, start, nxt, d, "after", chunk_us, time_col, seq_col)
     w = _window(keys, seq_col)
     rows = rows.select("*", F.lead("_t").over(w).alias("_nt"), F.lead("_p2").over(w).alias("_np2"),
                        F.lead(seq_col).over(w).alias("next_seq"))

@@ -12,6 +12,13 @@ receives a copy of the rows within ``halo_us`` of its edge from the
 adjacent chunk, flagged ``_halo``. Halo rows only give context; results are
 taken from the chunk's own rows. With ``chunk_us >= halo_us`` a row is
 copied at most once, so the extra volume is at most ``halo_us / chunk_us``.
+
+A chunk may also be narrower than the halo, to split a key whose rows crowd
+into a few gaps. Then copying all rows within the halo would copy each one
+many times; but all that a chunk needs from another is its edge (its last
+row for looking back, its first for looking ahead), so only those are taken
+by an aggregation, partial before its shuffle, and copied to the chunks
+within reach (:func:`with_edges`).
 """
 
 from __future__ import annotations
@@ -59,3 +66,31 @@ def with_halo(df: DataFrame, t_col: str, halo_us: int, chunk_us: int, side: str)
     copy = F.struct(other.alias("_chunk"), F.lit(True).alias("_halo"))
     targets = F.when(near, F.array(own, copy)).otherwise(F.array(own))
     return df.select("*", F.inline(targets))
+
+
+def with_edges(df: DataFrame, keys: list[str], t_col: str, order: list[str], carry: list[str],
+               halo_us: int, chunk_us: int, side: str) -> DataFrame:
+    """As :func:`with_halo` for chunks of any width: each chunk gets the last
+    (``before``) or first (``after``) row of the chunks within the halo, with
+    the columns ``keys``, ``t_col``, ``order`` and ``carry``; the others are
+    NULL in these rows."""
+    own = df.withColumn("_chunk", chunk_of(F.col(t_col), chunk_us)).withColumn("_halo", F.lit(False))
+    kept = list(dict.fromkeys([t_col, *order, *carry]))
+    pick = F.max_by if side == "before" else F.min_by
+    step = 1 if side == "before" else -1
+    reach = F.sequence(F.lit(1), F.lit(halo_us // chunk_us + 1))
+    edges = own.groupBy(*keys, "_chunk").agg(pick(F.struct(*kept), F.struct(*order)).alias("_e"))
+    edges = edges.select(*keys, "_chunk", "_e", F.explode(reach).alias("_k"))
+    cols = []
+    for f in own.schema.fields:
+        if f.name in keys:
+            cols.append(F.col(f.name))
+        elif f.name == "_chunk":
+            cols.append((F.col("_chunk") + F.lit(step) * F.col("_k")).alias("_chunk"))
+        elif f.name == "_halo":
+            cols.append(F.lit(True).alias("_halo"))
+        elif f.name in kept:
+            cols.append(F.col(f"_e.{f.name}").alias(f.name))
+        else:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+    return own.union(edges.select(*cols))

@@ -14,8 +14,8 @@ emits a *probe* at ``t`` and a *marker* at ``t + d``; sorted by time
 descending (markers first on ties), a running ``last(marker, ignorenulls)``
 gives each probe its bucket in one linear pass -- no range frame, whose
 ``min`` Spark recomputes per row. Probes and markers are partitioned by
-``(key, time chunk)``; markers in the first ``d`` of a chunk are copied to
-the previous chunk, which is all a probe there can need. Then one
+``(key, time chunk)``; a chunk also gets the markers up to ``d`` after it that
+a probe there can need (see :mod:`eventlytics.operators.sequence`). Then one
 aggregation per ``(key, bucket)``, partial before the shuffle.
 
 * :func:`failure_burst` (M1): failures are stored, any login sets a timer;
@@ -36,10 +36,19 @@ from eventlytics.operators.durations import to_us
 from eventlytics.operators.sequence import chunk_of, default_chunk_us
 
 
-def _paired(base: DataFrame, keys: Sequence[str], nothing: list[Column]):
-    """Each field of ``base`` with its stand-in on a marker."""
-    left = iter(nothing)
-    return [(f, None if f.name in keys else next(left)) for f in base.schema.fields]
+def _markers(base: DataFrame, keys: Sequence[str], d: int, w_us: int) -> DataFrame:
+    """Markers (key, chunk, time): those of a chunk, and what the chunks
+    before it need of them. They carry no payload."""
+    tt = F.col("_t") + F.lit(d)
+    own = base.select(*keys, chunk_of(tt, w_us).alias("_chunk"), tt.alias("_at"))
+    if w_us >= d:  # those in the first d of a chunk go to the one before as well
+        early = (F.col("_at") - F.col("_chunk") * F.lit(w_us)) < F.lit(d)
+        to = F.when(early, F.array(F.col("_chunk"), F.col("_chunk") - 1)).otherwise(F.array(F.col("_chunk")))
+        return own.select(*keys, F.explode(to).alias("_chunk"), "_at")
+    first = own.groupBy(*keys, "_chunk").agg(F.min("_at").alias("_at"))
+    back = F.explode(F.sequence(F.lit(1), F.lit(d // w_us + 1)))
+    return own.union(first.select(*keys, "_chunk", "_at", back.alias("_k")).select(
+        *keys, (F.col("_chunk") - F.col("_k")).alias("_chunk"), "_at"))
 
 
 def flush_buckets(df: DataFrame, keys: Sequence[str], delay, time_col: str = "et",
@@ -48,26 +57,11 @@ def flush_buckets(df: DataFrame, keys: Sequence[str], delay, time_col: str = "et
     flushes it)."""
     d = to_us(delay)
     w_us = chunk_us or default_chunk_us(d)
-    if w_us < d:
-        raise ValueError("chunk width must be at least the delay")
-    t = F.unix_micros(F.col(time_col))
-    base = df.withColumn("_t", t)
-    tt = F.col("_t") + F.lit(d)
-    c_probe, c_marker = chunk_of(F.col("_t"), w_us), chunk_of(tt, w_us)
-
-    def item(c, kind, at):
-        return F.struct(c.alias("_chunk"), F.lit(kind).alias("_kind"), at.alias("_at"))
-
-    probe, marker = item(c_probe, 1, F.col("_t")), item(c_marker, 0, tt)
-    marker_copy = item(c_marker - 1, 0, tt)
-    early = (tt - c_marker * F.lit(w_us)) < F.lit(d)
-    # markers carry key, chunk and time only: the payload crosses the shuffle once
-    marks = F.when(early, F.array(marker, marker_copy)).otherwise(F.array(marker))
-    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in base.schema.fields if f.name not in keys]
-    x = base.select("*", F.inline(F.array(probe))).union(
-        base.select(*keys, F.inline(marks)).select(*[
-            F.col(f.name) if f.name in keys else n for f, n in _paired(base, keys, nothing)],
-            "_chunk", "_kind", "_at"))
+    base = df.withColumn("_t", F.unix_micros(F.col(time_col)))
+    probes = base.withColumns({"_chunk": chunk_of(F.col("_t"), w_us), "_kind": F.lit(1), "_at": F.col("_t")})
+    blank = [F.col(f.name) if f.name in keys else F.lit(None).cast(f.dataType).alias(f.name)
+             for f in base.schema.fields]
+    x = probes.union(_markers(base, keys, d, w_us).select(*blank, "_chunk", F.lit(0).alias("_kind"), "_at"))
     w = (Window.partitionBy(*keys, "_chunk").orderBy(F.col("_at").desc(), F.col("_kind").asc())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     bucket = F.last(F.when(F.col("_kind") == 0, F.col("_at")), ignorenulls=True).over(w)

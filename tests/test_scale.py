@@ -84,3 +84,25 @@ def test_reconcile_is_one_aggregation_without_join(spark):
     assert res.count() == 5  # five keys, one matched row each, whatever the fan-in
     plan = _plan(res)
     assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_a_hot_key_within_two_gaps_is_spread(spark):
+    """A third of all rows belong to one key and lie within two gaps."""
+    rnd = random.Random(4)
+    evs = sorted([(0, rnd.choice("aab"), rnd.randrange(2 * D)) for _ in range(300)]
+                 + [(rnd.randrange(1, 50), rnd.choice("aab"), rnd.randrange(40 * D)) for _ in range(600)],
+                 key=lambda e: e[2])
+    df = spark.createDataFrame([e + (i,) for i, e in enumerate(evs)], SCHEMA + ", seq BIGINT") \
+        .withColumn("et", F.timestamp_micros("t")).cache()
+    chunk = D // 16
+    assert df.where("k = 0").select(F.floor(F.col("t") / chunk)).distinct().count() == 32
+    a = F.col("typ") == "a"
+    for width in (chunk, D // 3, D - 1):
+        burst = ops.failure_burst(df, ["k"], a, D // 1000, chunk_us=width)
+        assert sorted((r.k, r.seq) for r in burst.collect()) == burst_machine(evs)
+        slot = ops.single_slot_timeout(df, ["k"], a, D // 1000, chunk_us=width)
+        assert sorted((r.k, r.seq) for r in slot.collect()) == slot_machine(evs)
+        adj = ops.adjacent_pair_within(df, ["k"], a, a, D // 1000, chunk_us=width)
+        assert sorted((r.k, r.seq) for r in adj.collect()) == adjacent_machine(evs)
+        whole = rows(ops.pattern_outcomes(df, ["k"], a, ~a, D // 1000), "k", "seq", "status")
+        assert rows(ops.pattern_outcomes(df, ["k"], a, ~a, D // 1000, chunk_us=width), "k", "seq", "status") == whole
