@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlytics.llm import (fingerprints, html_template, jaccard_join, language_id, mix_oracle, mixing,
-                             packing, quality_classifier, quality_rules, secret_scan, url_filter)
+from eventlytics.llm import (fingerprints, html_template, jaccard_join, jaccard_oracle, language_id, mix_oracle,
+                             mixing, packing, quality_classifier, quality_rules, secret_scan, url_filter)
 from eventlytics.llm.frames import NONE_VALUE, held_out, table
 
 # Fixed rules of the URL query: host, path prefix, verdict.
@@ -91,4 +91,7 @@ QUERIES = {f.__name__: f for f in (
     op10_url_filter)}
 
 # DuckDB SQL where it can express the operator.
-ORACLES: dict[str, str] = {"op9_source_mix": mix_oracle.SQL}
+ORACLES: dict[str, str] = {
+    "op3_ngram_jaccard_join": jaccard_oracle.SQL,
+    "op9_source_mix": mix_oracle.SQL,
+}

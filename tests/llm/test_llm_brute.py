@@ -481,13 +481,14 @@ def test_peeling_recovers_the_difference():
 
 
 # 9 ----------------------------------------------------------------------
+@pytest.mark.parametrize("name", sorted(E.LLM_ORACLES))
 @pytest.mark.parametrize("folder", [SF001, "/root/testdata/sf0.01"])
-def test_source_mix_against_sql(spark, folder):
+def test_queries_against_sql(spark, folder, name):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
-    res = con.execute(E.oracle_sql()["op9_source_mix"])
+    res = con.execute(E.oracle_sql()[name])
     names = [d[0] for d in res.description]
-    got = E.queries()["op9_source_mix"](spark, folder)
+    got = E.queries()[name](spark, folder)
     assert sorted(names) == sorted(got.columns)
     assert sorted(tuple(r[c] for c in names) for r in got.collect()) == sorted(res.fetchall())
 

@@ -171,3 +171,12 @@ def test_pages(spark):
     assert url_filter.judge_urls(pages.where("false"), URL_RULES).count() == 0
     unlabelled = url_filter.judge_urls(pages.where("page_id = 2"), URL_RULES).collect()
     assert [(r["verdict"], r["score"]) for r in unlabelled] == [("allow", 0.0)]
+
+
+def test_pipeline_stages(spark, docs, none):
+    import corpus_pipeline as C
+    for name, stage in C.STAGES:
+        for frame in (docs, none):
+            out = stage(spark, frame, "/root/testdata/sf0.001")
+            assert (out.columns == docs.columns) == (name != C.STAGES[-1][0])
+            assert out.count() == 0 if frame is none else out.count() > 0 or name == "quality_rules"
