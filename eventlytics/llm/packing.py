@@ -2,15 +2,17 @@
 
 Each document becomes its byte-level BPE ids and an end id; one longer than
 ``capacity`` is cut so that only its first piece may be shorter than that.
-Pieces are packed online, in the order in which they are read: a piece goes
-to the open bin with the least free space that holds it, else to a new bin.
-Open bins are stacks by free space, and a bitset of the free spaces in use
-(one integer of ``capacity + 1`` bits) finds the best bin by two bit
-operations. At most ``open_bins`` are open; then the fullest one closes.
+Pieces are packed online, a bounded number of them (``read_ahead``) read at a
+time and the longest of these placed first: a piece goes to the open bin with
+the least free space that holds it, else to a new bin. Open bins are stacks by
+free space, and a bitset of the free spaces in use (one integer of ``capacity
++ 1`` bits) finds the best bin by two bit operations. At most ``open_bins``
+are open; then the fullest one closes.
 
 Every input partition is packed by itself in one pass, so there is no
-shuffle, memory is the open bins' free spaces, and a lost task is simply run
-again. ``sequence_id`` is the partition number and a running number.
+shuffle, memory is the pieces read ahead and the open bins' free spaces, and a
+lost task is simply run again. ``sequence_id`` is the partition number and a
+running number.
 
 Defined cases: a null text counts as empty (just the end id); a null doc_id
 is kept; repeated rows are packed each for itself; an empty table gives an
@@ -118,42 +120,47 @@ def pieces(n: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first)] + [(s, capacity) for s in range(first, n, capacity)] if n else []
 
 
-def _packer(vocabulary: str, capacity: int, open_bins: int, end_id: int | None,
+def _packer(vocabulary: str, capacity: int, open_bins: int, read_ahead: int, end_id: int | None,
             schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, bins = encoder(vocabulary), BestFit(capacity, open_bins)
         base = TaskContext.get().partitionId() << SEQUENCE_BITS
         tail = [] if end_id is None else [end_id]
+        waiting: list[tuple] = []  # (length, doc_id, piece, start, ids)
+
+        def placed() -> pa.RecordBatch:
+            waiting.sort(key=lambda x: -x[0])  # equal lengths stay in order
+            spots = [bins.place(x[0]) for x in waiting]
+            length, doc_id, piece, start, ids = zip(*waiting)
+            cols = [doc_id, piece, start, length, ids, [base + b for b, _ in spots], [o for _, o in spots]]
+            waiting.clear()
+            return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(cols, schema)], schema=schema)
+
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1)
-            out: list[list] = [[] for _ in range(7)]
-            for row in range(batch.num_rows):
-                tokens = np.array(encode(texts[row].as_py() or "") + tail, dtype="<u4")
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                tokens = np.array(encode(text.as_py() or "") + tail, dtype="<u4")
                 for k, (start, length) in enumerate(pieces(len(tokens), capacity)):
-                    b, offset = bins.place(length)
-                    for col, v in zip(out, (row, k, start, length, tokens[start:start + length].tobytes(),
-                                            base + b, offset)):
-                        col.append(v)
-            cols = [ids.take(pa.array(out[0], pa.int64()))] + [
-                pa.array(v, f.type) for v, f in zip(out[1:], list(schema)[1:])]
-            for at in range(0, len(out[0]), 4096):  # small batches out
-                yield pa.RecordBatch.from_arrays([c.slice(at, 4096) for c in cols], schema=schema)
+                    waiting.append((length, doc_id, k, start, tokens[start:start + length].tobytes()))
+                    if len(waiting) >= read_ahead:
+                        yield placed()
+        if waiting:
+            yield placed()
 
     return pack
 
 
 def pack_documents(docs: DataFrame, vocabulary: str = "byte_bpe_50k", capacity: int = 1024,
-                   open_bins: int = 1024, end_id: int | None = 2) -> DataFrame:
+                   open_bins: int = 4096, read_ahead: int = 4096, end_id: int | None = 2) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids (little-endian
     unsigned 32-bit), sequence_id and offset.
 
     ``vocabulary`` names a public byte-level vocabulary that is installed as
     ``.json`` and ``.tiktoken``. ``open_bins`` is the number of bins open at
-    once per task; ``end_id=None`` adds no end id (an empty text then has no
-    piece).
+    once per task, ``read_ahead`` that of pieces read before they are placed;
+    ``end_id=None`` adds no end id (an empty text then has no piece).
     """
-    if capacity < 1 or open_bins < 1:
-        raise ValueError("capacity and open_bins must be positive")
+    if capacity < 1 or open_bins < 1 or read_ahead < 1:
+        raise ValueError("capacity, open_bins and read_ahead must be positive")
     d = only(docs, "doc_id", "text")
     kind = d.schema["doc_id"].dataType.simpleString()
     out = (f"doc_id {kind}, piece int, start bigint, length bigint, ids binary, "
@@ -161,4 +168,4 @@ def pack_documents(docs: DataFrame, vocabulary: str = "byte_bpe_50k", capacity:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
     schema = to_arrow_schema(StructType.fromDDL(out))
-    return d.mapInArrow(_packer(vocabulary, capacity, open_bins, end_id, schema), out)
+    return d.mapInArrow(_packer(vocabulary, capacity, open_bins, read_ahead, end_id, schema), out)
