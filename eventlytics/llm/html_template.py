@@ -55,14 +55,20 @@ _NOT_WORDS = re.compile(
     r"header\w*|masthead|breadcrumb\w*|cookie\w*|consent|notice\w*|gdpr|popup\w*|modal\w*|newsletter\w*|"
     r"subscri\w*|signup|login|search\w*|comment\w*|repl(?:y|ies)|disqus|respond|share|sharing|social\w*|"
     r"related\w*|recommend\w*|pagination|pager|toolbar|contentinfo|complementary|navigation)(?=$|[-_.#@0])")
+_FRAME = frozenset("html body main".split())
+_ABOUT_PAGE = re.compile(r"(?:no|not|has|with|without|is)[-_]")
 _MAIN = re.compile(r"(?:^|/)(?:article|main)(?:[.#@/]|$)|@main(?:[./]|$)")
 
 
 def is_noise(path: str) -> bool:
-    """True if some element of the path is no part of an article."""
+    """True if some element of the path is no part of an article. What the
+    classes of the page's own frame (``html``, ``body``, ``main``) say, and
+    words like ``has-sidebar``, is about the whole page."""
     for label in path.split("/"):
-        tag, _, rest = re.sub(r"[.#@]", " ", label, count=1).partition(" ")
-        if tag in _NOT_TAGS or (rest and _NOT_WORDS.search(label[len(tag):])):
+        tag, *words = re.split(r"[.#@]", label)
+        if tag in _NOT_TAGS:
+            return True
+        if tag not in _FRAME and any(w and not _ABOUT_PAGE.match(w) and _NOT_WORDS.search(w) for w in words):
             return True
     return False
 

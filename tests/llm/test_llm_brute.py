@@ -211,7 +211,8 @@ def test_main_text_with_and_without_an_article(spark):
     for i in range(12):
         wrap = ("article", "div class='post'", "main", "section")[i % 4]
         text = [f"First {i} &amp; more.", "Same line on every page.", f"Last  {i}\n&lt;b&gt;"]
-        pages.append((i, f"http://h{i % 4}.example.org/{i}", page(f"Title {i}", text, wrap)))
+        whole = page(f"Title {i}", text, wrap).replace("<body>", "<body class='has-sidebar comments-open'>")
+        pages.append((i, f"http://h{i % 4}.example.org/{i}", whole))
         truth[i] = f"Title {i}\n\nFirst {i} & more.\n\nSame line on every page.\n\nLast {i} <b>"
     got = html_template.extract_main_text(spark.createDataFrame(pages, "page_id bigint, url string, html string"))
     assert {r["page_id"]: r["text"] for r in got.collect()} == truth
