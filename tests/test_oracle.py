@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as E
 
-from conftest import SF001, SF01
+from conftest import SF01
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()

@@ -57,8 +57,8 @@ def test_staged_detectors_match_machines(spark, per_file):
 
 def test_staged_outcomes_equal_both_batch_forms(spark):
     evs = _events(5, n=120)
-    got = S.staged_stream(_stream(spark, evs, 40), lambda df: ops.pattern_outcomes(df, ["k"], typ("a"), typ("b"), D // 1000),
-                          D // 1000, "et", chunk=D // 1000).cache()
+    got = S.staged_stream(_stream(spark, evs, 40), lambda df: ops.pattern_outcomes(
+        df, ["k"], typ("a"), typ("b"), D // 1000), D // 1000, "et", chunk=D // 1000).cache()
     batch = _batch(spark, evs)
     assert rows(got.where("status = 'timeout'"), "k", "seq") == rows(
         ops.pattern_timeout(batch, ["k"], typ("a"), typ("b"), D // 1000), "k", "seq")
