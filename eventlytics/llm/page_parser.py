@@ -12,6 +12,8 @@ _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\
 # Elements whose content is not text; void ones; ones inside a line of text;
 # and those that an opening of their own kind closes.
 RAW = frozenset("script style textarea noscript template svg iframe title".split())
+_TO_THE_END = frozenset("script style textarea title".split())  # if nothing closes them
+_XHTML = re.compile(r"<\?xml\b|<!DOCTYPE[^>]*\bXHTML\b|<html[^>]*\bxmlns\s*=", re.I)
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 INLINE = frozenset(("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark "
                     "q s samp small span strike strong sub sup time tt u var wbr").split())
@@ -34,13 +36,19 @@ def _label(name: str, attributes: str) -> str:
 def read_page(page: str) -> tuple[list[str], list[tuple[str, str, int]]]:
     """(paths of the elements opened, blocks), in page order. A path joins
     the labels of the open block elements by ``/``; a block is (path, text,
-    characters inside links). Text is decoded, white space folded."""
+    characters inside links). Text is decoded, white space folded.
+
+    An element whose content is not text is skipped up to its closing tag. It
+    has none if it ends in ``/>`` (``svg``, and any in XHTML); one that is
+    never closed takes the rest of the page only if HTML says so."""
     opened: list[str] = []
     blocks: list[tuple[str, str, int]] = []
     names: list[str] = []
     labels: list[str] = []
     parts: list[str] = []
     links = depth = 0
+    xhtml = bool(_XHTML.search(page[:2000]))
+    unclosed: set[str] = set()  # no closing tag from here on
 
     def flush():
         nonlocal links
@@ -89,10 +97,16 @@ def read_page(page: str) -> tuple[list[str], list[tuple[str, str, int]]]:
                 close(last)
         label = _label(name, m[2])
         opened.append("/".join([*labels, label]))
+        empty = m[2].rstrip().endswith("/")
         if name in RAW:
+            if empty and (xhtml or name == "svg") or name in unclosed:
+                continue
             end = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-            at = end.end() if end else n
-        elif name not in VOID and not m[2].rstrip().endswith("/"):
+            if end or name in _TO_THE_END:
+                at = end.end() if end else n
+            else:
+                unclosed.add(name)
+        elif name not in VOID and not empty:
             names.append(name)
             labels.append(label)
     flush()

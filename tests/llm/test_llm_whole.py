@@ -1,0 +1,22 @@
+"""Cases in which an operator once did less than its whole job."""
+
+import pytest
+
+from eventlytics.llm import html_template, page_parser
+
+
+def texts(page):
+    return [t for _, t, _ in page_parser.read_page(page)[1]]
+
+
+# 4 ----------------------------------------------------------------------
+@pytest.mark.parametrize("head, found", [
+    ("<svg class='icon'/>", True), ("<svg><title>i</title></svg>", True), ("<iframe src='x'>", True),
+    ("<noscript>", True), ("<template>", True), ("<script/>", False), ("<style>", False)])
+def test_unclosed_elements_do_not_swallow_the_page(head, found):
+    assert ("Body" in texts(f"<html><body><header>{head}</header><p>Body</p></body></html>")) == found
+
+
+def test_empty_elements_of_xhtml():
+    head = '<?xml version="1.0"?><html xmlns="http://www.w3.org/1999/xhtml"><script src="a" /><iframe src="b"/>'
+    assert texts(head + "<p>One</p><script>x</script><p>Two</p></html>") == ["One", "Two"]
