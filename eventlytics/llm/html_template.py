@@ -144,7 +144,11 @@ def main_blocks(page: str, tokens: frozenset, kept: frozenset) -> list[str]:
     _, blocks = read_page(page)
     out, has_main = [], any(is_main(p) and not is_noise(p) for p, _, _ in blocks)
     verdicts: dict[str, bool] = {}
+    chars, linked = Counter(), Counter()
     for path, text, links in blocks:
+        chars[path] += len(text)
+        linked[path] += min(links, len(text))
+    for path, text, _ in blocks:
         if path not in verdicts:
             slot = path
             while slot and slot not in tokens:
@@ -154,7 +158,7 @@ def main_blocks(page: str, tokens: frozenset, kept: frozenset) -> list[str]:
             elif slot in kept:
                 verdicts[path] = not has_main or is_main(path)
             else:  # a page of its own layout: its own article, or text that is not links
-                verdicts[path] = is_main(path) if has_main else links <= LINK_SHARE * len(text)
+                verdicts[path] = is_main(path) if has_main else linked[path] <= LINK_SHARE * chars[path]
         if verdicts[path]:
             out.append(text)
     return out

@@ -20,3 +20,15 @@ def test_unclosed_elements_do_not_swallow_the_page(head, found):
 def test_empty_elements_of_xhtml():
     head = '<?xml version="1.0"?><html xmlns="http://www.w3.org/1999/xhtml"><script src="a" /><iframe src="b"/>'
     assert texts(head + "<p>One</p><script>x</script><p>Two</p></html>") == ["One", "Two"]
+
+
+def test_a_path_is_judged_by_all_its_blocks():
+    byline = "<div class='x'><p><a href='/a'>By an author of this site</a></p>"
+    text = "".join(f"<p>Paragraph {i} of the article, long enough.</p>" for i in range(4))
+    menu = "<div class='y'><p>More</p>" + "<p><a href='/'>Another page of ours</a></p>" * 5 + "</div>"
+    got = main_blocks(f"<html><body>{byline}{text}</div>{menu}</body></html>")
+    assert len(got) == 5 and "Paragraph 3" in got[4] and "More" not in got
+
+
+def main_blocks(page):
+    return html_template.main_blocks(page, *html_template.kept_slots([]))
