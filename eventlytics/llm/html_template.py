@@ -15,10 +15,11 @@ per slot are its pages, characters of text and of links. Hosts with fewer
 than ``min_pages`` pages take the template of all pages together.
 
 A slot is left out if its path names something that is not the article
-(navigation, header, footer, aside, form, advert, notice, comments ...). Of
-the others, slots inside ``article`` or ``main`` elements are kept; a template
-without any keeps slots that are not mostly links and have a fair share of
-its text. Blocks of kept slots are joined in page order.
+(navigation, header, footer, aside, form, advert, notice, comments ...);
+inside the article only tags and roles are judged so, not words of classes and
+ids. Of the others, slots inside ``article`` or ``main`` elements are kept; a
+template without any keeps slots that are not mostly links and have a fair
+share of its text. Blocks of kept slots are joined in page order.
 
 Templates go back to the pages by a join on the host, broadcast only if they
 are counted to be few; else it is shuffled and skewed hosts can be split.
@@ -33,7 +34,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -56,20 +57,39 @@ _NOT_WORDS = re.compile(
     r"subscri\w*|signup|login|search\w*|comment\w*|repl(?:y|ies)|disqus|respond|share|sharing|social\w*|"
     r"related\w*|recommend\w*|pagination|pager|toolbar|contentinfo|complementary|navigation)(?=$|[-_.#@0])")
 _FRAME = frozenset("html body main".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _ABOUT_PAGE = re.compile(r"(?:no|not|has|with|without|is)[-_]")
+_ARTICLE = re.compile(r"(?:^|/)article(?:[.#@/]|$)")
 _MAIN = re.compile(r"(?:^|/)(?:article|main)(?:[.#@/]|$)|@main(?:[./]|$)")
 
 
-def is_noise(path: str) -> bool:
+def _inside(path: str, frame: str | None) -> bool:
+    """True if the path has an ``article`` (or, for ``main``, a main part)."""
+    return frame is not None and bool((_ARTICLE if frame == "article" else _MAIN).search(path))
+
+
+def is_noise(path: str, frame: str | None = None) -> bool:
     """True if some element of the path is no part of an article. What the
     classes of the page's own frame (``html``, ``body``, ``main``) say, and
-    words like ``has-sidebar``, is about the whole page."""
+    words like ``has-sidebar``, is about the whole page. Ids of headings are
+    made from their text and say nothing; inside ``frame`` (``article`` or
+    ``main``) only tags and roles are, and the classes of an ``article``."""
+    within = ""
     for label in path.split("/"):
-        tag, *words = re.split(r"[.#@]", label)
+        rest, _, role = label.partition("@")
+        rest, _, ids = rest.partition("#")
+        tag, *words = rest.split(".")
         if tag in _NOT_TAGS:
             return True
+        inside = _inside(within, frame)
+        if inside and tag != "article":
+            words = []
+        elif not inside and tag not in _HEADINGS:
+            words += ids.split(".")
+        words += role.split(".")
         if tag not in _FRAME and any(w and not _ABOUT_PAGE.match(w) and _NOT_WORDS.search(w) for w in words):
             return True
+        within = f"{within}/{label}"
     return False
 
 
@@ -77,6 +97,12 @@ def is_main(path: str) -> bool:
     return bool(_MAIN.search(path))
 
 
+def frame_of(paths: Iterable[str]) -> str | None:
+    """What holds the article: ``article``, else ``main``, if there is one."""
+    paths = [p for p in paths if is_main(p)]
+    return next((f for f in ("article", "main") if any(_inside(p, f) and not is_noise(p, f) for p in paths)), None)
+
+
 def _token_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(host, token, occurrences in the page, text, link text) by page."""
     names = ["page", "host", "token", "n", "chars", "linked"]
@@ -130,7 +156,8 @@ def kept_slots(template) -> tuple[frozenset, frozenset]:
     """(all tokens, tokens whose slot belongs to the article) of a template
     given as (token, chars, linked) triples."""
     tokens = frozenset(t for t, _, _ in template)
-    open_slots = [(t, chars, linked) for t, chars, linked in template if not is_noise(t)]
+    frame = frame_of(tokens)
+    open_slots = [(t, chars, linked) for t, chars, linked in template if not is_noise(t, frame)]
     main = frozenset(t for t, _, _ in open_slots if is_main(t))
     if main:
         return tokens, main
@@ -142,8 +169,8 @@ def kept_slots(template) -> tuple[frozenset, frozenset]:
 def main_blocks(page: str, tokens: frozenset, kept: frozenset) -> list[str]:
     """The blocks of a page that stand in kept slots."""
     _, blocks = read_page(page)
-    out, has_main = [], any(is_main(p) and not is_noise(p) for p, _, _ in blocks)
-    verdicts: dict[str, bool] = {}
+    out, verdicts = [], {}
+    frame = frame_of(p for p, _, _ in blocks)
     chars, linked = Counter(), Counter()
     for path, text, links in blocks:
         chars[path] += len(text)
@@ -153,12 +180,12 @@ def main_blocks(page: str, tokens: frozenset, kept: frozenset) -> list[str]:
             slot = path
             while slot and slot not in tokens:
                 slot = slot.rpartition("/")[0]
-            if is_noise(path):
+            if is_noise(path, frame):
                 verdicts[path] = False
             elif slot in kept:
-                verdicts[path] = not has_main or is_main(path)
+                verdicts[path] = frame is None or is_main(path)
             else:  # a page of its own layout: its own article, or text that is not links
-                verdicts[path] = is_main(path) if has_main else linked[path] <= LINK_SHARE * chars[path]
+                verdicts[path] = is_main(path) if frame else linked[path] <= LINK_SHARE * chars[path]
         if verdicts[path]:
             out.append(text)
     return out

@@ -30,5 +30,20 @@ def test_a_path_is_judged_by_all_its_blocks():
     assert len(got) == 5 and "Paragraph 3" in got[4] and "More" not in got
 
 
+@pytest.mark.parametrize("frame", ["article", "main", "div role=main"])
+def test_words_in_ids_and_classes_inside_an_article(frame):
+    parts = ["<h2 id='search-trees'>Search trees</h2>", "<section id='related-work'><p>Related</p></section>",
+             "<p id='comments-on-x'>On x</p>", "<div class='notice'>Note</div>", "<div class='side'>Side</div>"]
+    end = frame.split()[0]
+    got = main_blocks(f"<body><div class='sidebar'>No</div><{frame}>{''.join(parts)}<nav>No</nav><div role='navigation'>No</div></{end}></body>")
+    assert got == ["Search trees", "Related", "On x", "Note", "Side"]
+
+
+def test_comments_beside_the_article_are_left_out():
+    assert main_blocks("<main><article><p>Text</p><article class='comment'>No</article></article>"
+                       "<div id='comments'><p>No</p></div></main>") == ["Text"]
+    assert main_blocks("<body><div class='post'><h2 id='search-trees'>T</h2></div><div id='comments'>No</div>") == ["T"]
+
+
 def main_blocks(page):
     return html_template.main_blocks(page, *html_template.kept_slots([]))
