@@ -45,5 +45,37 @@ def test_comments_beside_the_article_are_left_out():
     assert main_blocks("<body><div class='post'><h2 id='search-trees'>T</h2></div><div id='comments'>No</div>") == ["T"]
 
 
+def extracted(spark, pages, host="h.org"):
+    rows = [(i, f"http://{host}/{i}", p) for i, p in enumerate(pages)]
+    got = html_template.extract_main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
+    return [r["text"].split("\n\n") for r in got.orderBy("page_id").collect()]
+
+
+def test_constant_text_is_template(spark):
+    """Neither its tags nor its words tell the box from the article."""
+    for box in ("div class='x'", "article"):
+        wrap = "<article>{}</article>" if box == "article" else "{}"
+        pages = ["<body>" + wrap.format(
+            f"<div class='y'><h1>Title {i}</h1><h2>Steps</h2><p>Text number {i} of the pages.</p><p>Same line.</p></div>"
+            "<div class='x'><h3>About us</h3><p>We have written pages for a long time.</p></div>") + "</body>"
+            for i in range(5)]
+        assert extracted(spark, pages) == [
+            [f"Title {i}", "Steps", f"Text number {i} of the pages.", "Same line."] for i in range(5)]
+
+
+def test_copies_of_a_page_are_no_template(spark):
+    page = "<body><article><h1>T</h1><p>Some text of the page.</p></article></body>"
+    assert extracted(spark, [page + f"<!-- {i} -->" for i in range(5)]) == [["T", "Some text of the page."]] * 5
+
+
+def test_slots_left_out_stay_out(spark):
+    """A varying slot with little text, and a menu whose first entry is none."""
+    pages = [f"<body><div class='y'><h1>T {i}</h1><p>{f'Long text {i}. ' * 30}</p></div><div class='z'><p>{i} views</p>"
+             f"</div><ul><li>Pages</li>{f'<li><a>Page {i} of ours</a></li>' * 4}</ul></body>" for i in range(5)]
+    pages.append("<body><div class='other'><p>A page of its own layout.</p></div></body>")
+    assert extracted(spark, pages) == [[f"T {i}", " ".join([f"Long text {i}."] * 30)] for i in range(5)] + [
+        ["A page of its own layout."]]
+
+
 def main_blocks(page):
     return html_template.main_blocks(page, *html_template.kept_slots([]))
