@@ -8,8 +8,10 @@ entropy: candidate strings are runs of one character class (``entropy_hex``,
 counts of its characters and the sum of ``c log2 c`` are updated by the one
 character that enters and the one that leaves, and windows whose Shannon
 entropy reaches the class's bound are merged into spans. Candidates on the
-allow list (slugs of plain words and numbers, UUIDs, placeholders) are left
-out, and so are entropy spans that touch a base span.
+allow list (slugs of plain words and numbers, UUIDs) are left out, and so are
+windows that touch a placeholder. What an earlier kind covers is cut from an
+entropy span; what remains is kept if it could be a value by itself: 6+
+characters with a digit and a letter that are not on the allow list.
 
 Positions come from ``split`` and ``regexp_extract_all`` on the same pattern,
 whose pieces alternate; running sums are kept in blocks, so that many matches
@@ -52,6 +54,7 @@ ALLOWED = (
     r"^[0-9A-Fa-f]{8}-(?:[0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}$",           # UUID
     r"(?i)example|placeholder|0123456789|abcdefgh|(.)\1{7}",             # stand-ins
 )
+STAND_IN = ALLOWED[-1]  # cut from a candidate; the others concern it as a whole
 MASK = "[SECRET]"
 _BLOCK = 256
 _SPAN = "struct<start:bigint,kind:int,`end`:bigint>"
@@ -102,6 +105,19 @@ def _matches(text: Column, pattern: str) -> Column:
                   ).otherwise(none)
 
 
+def _between(text: Column, pattern: str) -> Column:
+    """struct(start, m) of the pieces between the matches of ``pattern``."""
+    def located(found):
+        parts = F.split(text, pattern, -1)
+        sizes = F.zip_with(parts, found, lambda p, m: (
+            F.length(p) + F.coalesce(F.length(m), F.lit(0))).cast("long"))
+        return F.zip_with(parts, _offsets(sizes), lambda p, at: F.struct(at.alias("start"), p.alias("m")))
+
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), text.alias("m")))
+    return F.when(text.rlike(pattern), _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), located)
+                  ).otherwise(whole)
+
+
 def _base_spans(text: Column) -> Column:
     def spans(kind, pattern, keep):
         return F.transform(F.filter(_matches(text, pattern), keep),
@@ -155,17 +171,42 @@ def _entropy_spans(text: Column, taken: Column, kind: int) -> Column:
     name, pattern, alphabet, least = CLASSES[kind - len(BASE_KINDS)]
     folded = F.lower if alphabet == alphabet.lower() else lambda c: c
 
-    def wanted(x):
-        ok = x["m"].rlike("[0-9]") & x["m"].rlike("[A-Za-z]")
-        for allowed in ALLOWED:
-            ok = ok & ~x["m"].rlike(allowed)
+    def wanted(m):
+        ok = m.rlike("[0-9]") & m.rlike("[A-Za-z]")
+        for allowed in ALLOWED[:-1]:
+            ok = ok & ~m.rlike(allowed)
         return ok
 
-    spans = F.flatten(F.transform(F.filter(_matches(text, pattern), wanted), lambda x: F.transform(
-        _hot_windows(folded(x["m"]), alphabet, least),
-        lambda h: _span(x["start"] + h["start"], kind, x["start"] + h["end"]))))
-    return _let(taken, lambda t: F.filter(spans, lambda x: ~F.exists(
-        t, lambda y: (x["start"] < y["end"]) & (y["start"] < x["end"]))))
+    def hot(run):
+        """The hot windows of a run, as spans of the text."""
+        pieces = F.filter(_between(run["m"], STAND_IN), lambda p: (F.length(p["m"]) >= WINDOW) & wanted(p["m"]))
+        return F.flatten(F.transform(pieces, lambda p: F.transform(
+            _hot_windows(folded(p["m"]), alphabet, least),
+            lambda h: _span(run["start"] + p["start"] + h["start"], kind, run["start"] + p["start"] + h["end"]))))
+
+    def value(run, x):
+        m = F.substring(run["m"], (x["start"] - run["start"] + 1).cast("int"), (x["end"] - x["start"]).cast("int"))
+        return (F.length(m) >= ASSIGN_VALUE) & wanted(m)
+
+    def left(run, x, t):
+        """What ``t`` leaves of span ``x``."""
+        return _let(F.filter(t, lambda y: (x["start"] < y["end"]) & (y["start"] < x["end"])), lambda over: F.when(
+            F.size(over) == 0, F.array(x)).otherwise(F.filter(
+                _minus(x, _merged(over), kind), lambda y: value(run, y))))
+
+    found = F.filter(_matches(text, pattern), lambda x: wanted(x["m"]))
+    return _let(taken, lambda t: F.flatten(F.transform(found, lambda run: F.flatten(
+        F.transform(hot(run), lambda x: left(run, x, t))))))
+
+
+def _minus(x, cuts: Column, kind: int) -> Column:
+    """The pieces of span ``x`` outside disjoint sorted ``cuts``."""
+    def pieces(c):
+        starts = F.concat(F.array(x["start"]), F.transform(c, lambda y: y["end"]))
+        ends = F.concat(F.transform(c, lambda y: y["start"]), F.array(x["end"]))
+        return F.filter(F.zip_with(starts, ends, lambda a, b: _span(a, kind, b)), lambda y: y["start"] < y["end"])
+
+    return _let(cuts, pieces)
 
 
 def _joined(spans: Column, sep: str = ",") -> Column:
