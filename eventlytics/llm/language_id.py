@@ -9,10 +9,12 @@ counts are frozen, so the exact code length of a text is the sum over its
 ``order + 1``-byte grams of a fixed number per language; the language with
 the shortest code wins (ties: the first in alphabetical order).
 
-Training takes about ``train_docs`` labelled documents in all, an equal share
-per language, chosen by a hash of the text, each of at most
-``max_train_bytes`` (longer ones are left out, never cut): the model has at
-most ``train_docs * max_train_bytes`` grams. Their counting is a distributed
+Training takes about ``train_docs`` different labelled texts in all, an equal
+share per language but at least about ``MIN_TEXTS``, chosen by a hash of the
+text; copies of a text count once. Texts of up to ``max_train_bytes`` come
+first. A language with fewer of them than its share is also learned from longer
+ones, never cut, of about as many bytes as are missing (at least as many texts
+as are missing to ``MIN_TEXTS``). Their counting is a distributed
 aggregation; the model is broadcast. Every text is scored whole, without a
 shuffle, in blocks of bytes of fixed size; per worker, the code lengths of
 grams are kept in a direct-mapped table of fixed size.
@@ -29,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlytics.llm.bytespans import mix, row_groups, utf8
@@ -38,6 +40,8 @@ from eventlytics.llm.frames import learnable, only
 UNKNOWN = "und"
 BLOCK = 1 << 19       # bytes scored at once
 SLOTS = 1 << 20       # of the table of code lengths
+COUNTED = 1 << 22     # bytes whose grams are counted at once
+MIN_TEXTS = 32        # learned from per language (expected), if there are
 
 
 def _grams(data: np.ndarray, order: int) -> np.ndarray:
@@ -67,16 +71,18 @@ def _count_grams(order: int):
             langs = np.array(batch.column(0).to_pylist(), dtype=object)
             for lang in sorted(set(langs)):
                 data, offsets = utf8(batch.column(1).filter(pa.array(langs == lang)))
-                for a, b in row_groups(offsets, 1 << 22):
+                for a, b in row_groups(offsets, COUNTED):
                     part, starts = _padded(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], order)
-                    g = _grams(part, order)
                     ok = np.ones(len(part), bool)
                     for k in range(1, order + 1):
                         ok[starts - k] = False
-                    keys, n = np.unique(g[ok[order:]], return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(keys), pa.string()), pa.array(keys), pa.array(n.astype(np.int64))],
-                        names=["lang", "gram", "n"])
+                    for first in range(order, len(part), COUNTED):  # a long text in blocks
+                        last = min(first + COUNTED, len(part))
+                        g = _grams(part[first - order:last], order)
+                        keys, n = np.unique(g[ok[first:last]], return_counts=True)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([lang] * len(keys), pa.string()), pa.array(keys), pa.array(n.astype(np.int64))],
+                            names=["lang", "gram", "n"])
 
     return count
 
@@ -189,20 +195,39 @@ def fit_languages(docs: DataFrame, order: int = 4, train_docs: int = 2000,
                   max_train_bytes: int = 1 << 15) -> Model:
     """Frozen statistics from labelled rows of ``docs`` (doc_id, text, lang).
 
-    ``train_docs`` bounds (in expectation) the number of rows learned from,
-    ``max_train_bytes`` the size of each.
+    ``train_docs`` bounds (in expectation, but for ``MIN_TEXTS`` per language)
+    the number of different texts learned from, ``max_train_bytes`` the size of
+    each unless a language has too few such texts.
     """
     d = only(docs, "doc_id", "text", "lang").where(learnable(F.col("doc_id")))
-    d = d.where("text IS NOT NULL AND lang IS NOT NULL").where(F.octet_length("text") <= max_train_bytes)
-    per_lang = {r["lang"]: r["n"] for r in d.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    d = d.where("text IS NOT NULL AND lang IS NOT NULL").select(
+        "lang", "text", F.xxhash64("text").alias("hash"), F.octet_length("text").alias("size"))
+    short = F.col("size") <= max_train_bytes
+    texts = d.groupBy("lang", "hash").agg(F.max("size").alias("size"))
+    per_lang = {r["lang"]: r for r in texts.groupBy("lang").agg(
+        F.count_if(short).alias("short"), F.count_if(~short).alias("long"),
+        F.avg(F.when(~short, F.col("size"))).alias("mean")).collect()}
     if not per_lang:
         return Model(order, [], [])
-    languages = sorted(per_lang)
-    share = train_docs / len(languages)
+    share = max(train_docs / len(per_lang), MIN_TEXTS)
     scale = 1 << 30
-    rate = F.element_at(F.create_map(*[x for lang in languages for x in (
-        F.lit(lang), F.lit(int(min(1.0, share / per_lang[lang]) * scale)))]), F.col("lang"))
-    sample = d.where(F.pmod(F.xxhash64("text"), F.lit(scale)) < rate).select("lang", "text")
+
+    def rate(wanted: float, texts: int) -> int:
+        return int(min(1.0, wanted / texts) * scale) if texts else 0
+
+    def long_rate(r) -> int:
+        if r["short"] >= share or not r["long"]:
+            return 0
+        wanted = (share - r["short"]) * max_train_bytes / r["mean"]
+        return rate(max(wanted, MIN_TEXTS - r["short"]), r["long"])
+
+    def rates(of) -> Column:
+        literals = [x for lang, r in per_lang.items() for x in (F.lit(lang), F.lit(of(r)))]
+        return F.element_at(F.create_map(*literals), F.col("lang"))
+
+    chosen = F.pmod("hash", F.lit(scale)) < F.when(short, rates(lambda r: rate(share, r["short"]))
+                                                   ).otherwise(rates(long_rate))
+    sample = d.where(chosen).select("lang", "text").distinct()
     grams = (sample.mapInArrow(_count_grams(order), "lang string, gram bigint, n bigint")
              .groupBy("lang", "gram").agg(F.sum("n").alias("n"))).toArrow()
     langs = np.array(grams["lang"].to_pylist(), dtype=object)

@@ -1,14 +1,48 @@
 """Cases in which an operator once did less than its whole job."""
 
+import collections
+
+import pyarrow as pa
 import pytest
 
-from eventlytics.llm import html_template, page_parser, secret_scan
+from eventlytics.llm import html_template, language_id, page_parser, secret_scan
 
 
 def texts(page):
     return [t for _, t, _ in page_parser.read_page(page)[1]]
 
 
+# 1 ----------------------------------------------------------------------
+def test_every_language_is_learned(spark, monkeypatch):
+    """One language has only long texts, one only copies of a few texts."""
+    monkeypatch.setattr(language_id, "MIN_TEXTS", 8, raising=False)
+    rows = [f"one two number {i}" for i in range(900)]
+    rows = [(t, "aa") for t in rows] + [(f"long text {i} " * 50, "bb") for i in range(300)] + [
+        (f"copy {i % 3} of a text", "cc") for i in range(900)]
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id bigint, text string, lang string")
+    model = language_id.fit_languages(docs, train_docs=12, max_train_bytes=100)
+    assert model.languages == ["aa", "bb", "cc"]
+    learned = [t.levels[0]["n"].sum() for t in model.trees]  # bytes
+    assert learned[2] == 3 * len("copy 0 of a text") and learned[1] % 600 < 300 * 50 and learned[0] < 900 * 10
+
+
+def test_long_texts_are_counted_in_blocks(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"text {i} " * 200, "aa") for i in range(6)],
+                                 "doc_id bigint, text string, lang string")
+    whole = language_id.fit_languages(docs, max_train_bytes=10).trees[0].levels
+    monkeypatch.setattr(language_id, "COUNTED", 97)
+    counts = language_id._count_grams(4)
+    text = "text and text " * 100
+    batch = pa.RecordBatch.from_arrays([pa.array(["aa"]), pa.array([text])], names=["lang", "text"])
+    sums = collections.Counter()
+    for b in counts([batch]):
+        for g, n in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+            sums[g] += n
+    raw = b"\0" * 4 + text.encode()
+    assert sums == collections.Counter(int.from_bytes(raw[i:i + 5], "big") for i in range(len(text)))
+    assert whole[0]["n"].sum() > 0
+
+
 # 4 ----------------------------------------------------------------------
 @pytest.mark.parametrize("head, found", [
     ("<svg class='icon'/>", True), ("<svg><title>i</title></svg>", True), ("<iframe src='x'>", True),
