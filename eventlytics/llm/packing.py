@@ -18,14 +18,17 @@ Defined cases: a null text counts as empty (just the end id); a null doc_id
 is kept; repeated rows are packed each for itself; an empty table gives an
 empty result; other columns are ignored.
 
-``ids`` are those of the ``tokenizers`` file. Texts of plain Latin characters
-go through ``tiktoken`` with the same vocabulary, which gives the same ids
-four times as fast; any other text goes through ``tokenizers`` itself.
+``ids`` are those of the ``tokenizers`` file with ``add_special_tokens=False``:
+an added token (``<|endoftext|>``) that stands in a text is its one id. Texts of
+plain Latin characters go through ``tiktoken`` with the same vocabulary, which
+gives the same ids four times as fast; any other text, and one with an added
+token, goes through ``tokenizers`` itself.
 """
 
 from __future__ import annotations
 
 import base64
+import json
 import re
 from collections.abc import Callable, Iterator
 
@@ -46,7 +49,13 @@ class Encoder:
     """Texts to ids; loads each library's file at first use."""
 
     def __init__(self, name: str):
-        self.name, self._fast, self._whole = name, None, None
+        self.name, self._fast, self._whole, self._added = name, None, None, None
+
+    def _load_added(self):
+        import public_tokenizers
+        with open(public_tokenizers.path(f"{self.name}.json"), encoding="utf-8") as f:
+            added = [re.escape(t["content"]) for t in json.load(f).get("added_tokens") or ()]
+        self._added = re.compile("|".join(added) or r"(?!)")
 
     def _load_fast(self):
         import public_tokenizers
@@ -60,10 +69,11 @@ class Encoder:
         import public_tokenizers
         from tokenizers import Tokenizer
         self._whole = Tokenizer.from_file(public_tokenizers.path(f"{self.name}.json"))
-        self._whole.encode_special_tokens = True
 
     def __call__(self, text: str) -> list[int]:
-        if _OTHER.search(text):
+        if self._added is None:
+            self._load_added()
+        if _OTHER.search(text) or self._added.search(text):
             if self._whole is None:
                 self._load_whole()
             return self._whole.encode(text, add_special_tokens=False).ids

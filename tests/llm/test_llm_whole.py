@@ -5,7 +5,7 @@ import collections
 import pyarrow as pa
 import pytest
 
-from eventlytics.llm import html_template, language_id, page_parser, secret_scan
+from eventlytics.llm import html_template, language_id, packing, page_parser, secret_scan
 
 
 def texts(page):
@@ -115,6 +115,18 @@ def main_blocks(page):
     return html_template.main_blocks(page, *html_template.kept_slots([]))
 
 
+# 6 ----------------------------------------------------------------------
+def test_added_tokens_are_those_of_the_contract():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    token = next(t.content for t in whole.get_added_tokens_decoder().values())
+    encode = packing.encoder("byte_bpe_50k")
+    for text in (token, f"one {token} two", f"中文{token}", f"{token[:-1]} x", "plain text"):
+        assert encode(text) == whole.encode(text, add_special_tokens=False).ids
+    assert len(encode(token)) == 1
+
+
 # 7 ----------------------------------------------------------------------
 SECRET = "wJ4lrXUtnFEMI7K7MDENGbPxRfiCYq2Zs8Lk0Vd3"
 
