@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from eventlytics.llm import (audit_oracle, filter_audit, fingerprints, html_template, jaccard_join, jaccard_oracle,
                              language_id, mix_oracle, mixing, packing, quality_classifier, quality_rules,
-                             repeats_oracle, secret_scan, substring_dedup, url_filter)
+                             repeats_oracle, secret_scan, spelling_variants, substring_dedup, url_filter, variants_oracle)
 from eventlytics.llm.frames import NONE_VALUE, held_out, table
 
 # Fixed rules of the URL query: host, path prefix, verdict.
@@ -86,6 +86,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.group_variants(spelling_variants.count_words(table(spark, sf_dir, "documents")))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -98,12 +102,13 @@ def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_ppm_language_id, op2_rule_ensemble_quality, op3_ngram_jaccard_join, op4_html_template_text,
     op5_quality_rules, op6_best_fit_packing, op7_secret_scan, op8_lookup_fingerprints, op9_source_mix,
-    op10_url_filter, op12_filter_audit, op13_substring_dedup)}
+    op10_url_filter, op11_spelling_variants, op12_filter_audit, op13_substring_dedup)}
 
 # DuckDB SQL where it can express the operator.
 ORACLES: dict[str, str] = {
     "op3_ngram_jaccard_join": jaccard_oracle.SQL,
     "op9_source_mix": mix_oracle.SQL,
+    "op11_spelling_variants": variants_oracle.SQL,
     "op12_filter_audit": audit_oracle.SQL,
     "op13_substring_dedup": repeats_oracle.SQL,
 }
