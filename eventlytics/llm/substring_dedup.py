@@ -16,10 +16,10 @@ independent 64-bit hashes of their words.
 3. A document's candidates that are not the first of their kind cover the words
    that go; it finds its candidates again from the sketch.
 
-The sketch has two cells a row for each word expected in the corpus (a power
-of two), at most ``most_cells`` a row: 16 MiB of "more" bits for each 128 Mi
-cells, so what is broadcast is at most ``DEPTH * most_cells / 8`` bytes. On a
-corpus of more words than that the sketch lets more windows through and the
+The sketch has one and a half to three cells a row for each word expected in
+the corpus (a power of two), at most ``most_cells`` a row: a task that counts
+holds ``DEPTH * most_cells / 4`` bytes, 128 MiB, and half of that is broadcast
+at most. On a corpus of more words than that the sketch lets more windows through and the
 exact grouping does more of the work; nothing is lost, and the work stays in
 proportion to the number of words.
 
@@ -46,11 +46,12 @@ from eventlytics.llm.frames import written
 
 WIDTH = 20
 DEPTH = 2
-MOST_CELLS = 1 << 29     # per row of the sketch
+MOST_CELLS = 1 << 28     # per row of the sketch
 BLOCK_BITS = 23          # cells of a block (a plane of 1 MiB), as a power of two
-GROUP_BYTES = 1 << 22
+GROUP_BYTES = 1 << 20
 CHARS_PER_WORD = 6       # only for the size of the sketch
 
+_SPREAD = 0x9E3779B1     # times a place fits 63 bits
 _STEP = np.uint64(0xD6E8FEB86659FD93)  # odd
 _BACK = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
 _SALTS = (np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9FB21C651E98DF25))
@@ -80,9 +81,9 @@ def windows(data: np.ndarray, offsets: np.ndarray, width: int):
 
 
 def cells_for(chars: int, most_cells: int = MOST_CELLS) -> int:
-    """Cells of a row: two for each word expected, a power of two."""
+    """Cells of a row: a power of two, so many for each word expected."""
     n = 1 << BLOCK_BITS
-    while n < 2 * chars / CHARS_PER_WORD and n < most_cells:
+    while n < 1.5 * chars / CHARS_PER_WORD and n < most_cells:
         n *= 2
     return n
 
@@ -208,9 +209,9 @@ class Candidates:
         return left
 
 
-def _place(lo: np.ndarray, hi: np.ndarray, start: np.ndarray) -> np.ndarray:
+def _place(lo: np.ndarray, start: np.ndarray) -> np.ndarray:
     """Names one window at one place of a document."""
-    return mix(lo ^ mix(hi + start.astype(np.uint64))).view(np.int64)
+    return lo.view(np.int64) ^ start.astype(np.int64) * _SPREAD
 
 
 def _grouper(found: Candidates, width: int):
@@ -235,8 +236,8 @@ def _grouper(found: Candidates, width: int):
                 pick = order[new]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x[pick]) for x in (lo.view(np.int64), hi.view(np.int64), doc, h,
-                                                 start.astype(np.int64), _place(lo, hi, start))],
-                    names=["lo", "hi", "doc_id", "h", "start", "place"])
+                                                 start.astype(np.int64))],
+                    names=["lo", "hi", "doc_id", "h", "start"])
 
     return group
 
@@ -264,7 +265,7 @@ def _cutter(found: Candidates, width: int):
                     cand = np.flatnonzero(mine[edge[r]:edge[r + 1]])
                     if len(cand):
                         if batch.column(0)[a + r].as_py():  # has an id: all but the first of their kind
-                            place = _place(lo_r[cand], hi_r[cand], st[cand])
+                            place = _place(lo_r[cand], st[cand])
                             known = firsts[a + r].values
                             later = ~np.isin(place, known.to_numpy() if known is not None else [])
                         else:  # only repeats within itself
@@ -297,10 +298,10 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, most_cells: int = MOST_C
     h = F.xxhash64("text")
     places = (d.where("doc_id is not null").select("doc_id", h.alias("h"), "text")
               .mapInArrow(_grouper(found, width),
-                          "lo bigint, hi bigint, doc_id bigint, h bigint, start bigint, place bigint"))
-    first = places.groupBy("lo", "hi").agg(F.min(F.struct("doc_id", "h", "start", "place")).alias("f"))
+                          "lo bigint, hi bigint, doc_id bigint, h bigint, start bigint"))
+    first = places.groupBy("lo", "hi").agg(F.min(F.struct("doc_id", "h", "start")).alias("f"))
     back = written(first.groupBy(F.col("f.doc_id").alias("doc_id"), F.col("f.h").alias("h")).agg(
-        F.collect_list("f.place").alias("firsts")), "firsts")
+        F.collect_list(F.col("lo").bitwiseXOR(F.col("f.start") * _SPREAD)).alias("firsts")), "firsts")
     # rows without an id go by their texts' hashes; hot keys of two plain shuffles are split
     keyed = d.select("doc_id", "text", h.alias("h"))
     whole = keyed.join(back, ["doc_id", "h"], "left").select(
