@@ -63,9 +63,9 @@ def count_words(docs: DataFrame, min_length: int = MIN_LENGTH, min_count: int =
 
 
 def symbols_for(words: int, min_length: int = MIN_LENGTH) -> int:
-    """So many symbols that the shortest words have four reduced forms each."""
+    """So many symbols that the shortest words share few reduced forms."""
     n = 4
-    while n < len(SYMBOLS) and n ** min_length < 4 * words:
+    while n < len(SYMBOLS) and n ** min_length < words:
         n += 1
     return n
 

@@ -24,10 +24,9 @@ exact grouping does more of the work; nothing is lost, and the work stays in
 proportion to the number of words.
 
 Defined cases: a null text has no words; a text shorter than a window loses
-nothing; documents are ordered by id, and rows of one id by a hash of their
-text (rows equal in both are one document: each keeps what the other keeps);
-a row without an id has no place in that order, so it is compared only with
-itself; an empty table gives an empty result. Other columns are ignored.
+nothing; rows of one id are one document (a window at the same place in both
+starts in neither earlier); a row without an id has no place in the order of
+documents, so it is compared only with itself; an empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -215,29 +214,28 @@ def _place(lo: np.ndarray, start: np.ndarray) -> np.ndarray:
 
 
 def _grouper(found: Candidates, width: int):
-    """Rows (doc_id, h, start, lo, hi) of the first occurrence, within a batch,
-    of each candidate."""
+    """Rows (lo, hi, doc_id, start) of the first occurrence, within a batch, of
+    each candidate."""
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes = None
         for batch in batches:
             planes = found.planes() if planes is None else planes
-            data, offsets = utf8(batch.column(2))
-            ids, digests = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            data, offsets = utf8(batch.column(1))
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
             for a, b in row_groups(offsets, GROUP_BYTES):
                 first, row, at, lo, hi = windows(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], width)
                 keep = found.repeated(planes, lo, hi)
                 if not len(keep):
                     continue
                 row, at, lo, hi = row[keep], at[keep], lo[keep], hi[keep]
-                start, doc, h = at - first[row], ids[a:b][row], digests[a:b][row]
-                order = np.lexsort((start, h, doc, hi, lo))
+                start, doc = at - first[row], ids[a:b][row]
+                order = np.lexsort((start, doc, hi, lo))
                 new = np.ones(len(order), bool)
                 new[1:] = (np.diff(lo[order]) != 0) | (np.diff(hi[order]) != 0)
                 pick = order[new]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x[pick]) for x in (lo.view(np.int64), hi.view(np.int64), doc, h,
-                                                 start.astype(np.int64))],
-                    names=["lo", "hi", "doc_id", "h", "start"])
+                    [pa.array(x[pick]) for x in (lo.view(np.int64), hi.view(np.int64), doc, start.astype(np.int64))],
+                    names=["lo", "hi", "doc_id", "start"])
 
     return group
 
@@ -295,15 +293,14 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, most_cells: int = MOST_C
     text, words joined by one space."""
     d = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     found = Candidates(*sketch_windows(d, width, most_cells))
-    h = F.xxhash64("text")
-    places = (d.where("doc_id is not null").select("doc_id", h.alias("h"), "text")
-              .mapInArrow(_grouper(found, width),
-                          "lo bigint, hi bigint, doc_id bigint, h bigint, start bigint"))
-    first = places.groupBy("lo", "hi").agg(F.min(F.struct("doc_id", "h", "start")).alias("f"))
-    back = written(first.groupBy(F.col("f.doc_id").alias("doc_id"), F.col("f.h").alias("h")).agg(
-        F.collect_list(F.col("lo").bitwiseXOR(F.col("f.start") * _SPREAD)).alias("firsts")), "firsts")
-    # rows without an id go by their texts' hashes; hot keys of two plain shuffles are split
-    keyed = d.select("doc_id", "text", h.alias("h"))
-    whole = keyed.join(back, ["doc_id", "h"], "left").select(
+    places = (d.where("doc_id is not null")
+              .mapInArrow(_grouper(found, width), "lo bigint, hi bigint, doc_id bigint, start bigint"))
+    first = places.groupBy("lo", "hi").agg(F.min(F.struct("doc_id", "start")).alias("f"))
+    place = F.col("lo").bitwiseXOR(F.col("f.start") * _SPREAD)
+    back = written(first.groupBy(F.col("f.doc_id").alias("doc_id")).agg(F.collect_list(place).alias("firsts"))
+                   .withColumn("part", F.lit(0).cast("bigint")), "firsts")
+    # hot ids of two plain shuffles are split; rows without an id go by their texts' hashes
+    part = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0))
+    whole = d.withColumn("part", part).join(back, ["doc_id", "part"], "left").select(
         F.col("doc_id").isNotNull().alias("has_id"), "text", "firsts", "doc_id")
     return whole.mapInArrow(_cutter(found, width), "doc_id bigint, n_words bigint, n_removed bigint, kept string")
