@@ -42,6 +42,10 @@ from eventlytics.llm.frames import only
 # Characters on which the two libraries' patterns agree whatever their
 # Unicode version: printable ASCII, tab and line ends, Latin letters.
 _OTHER = re.compile("[^\t\n\r -~¡-¬®-ɏ]")
+# A white-space run of this length: the fast library's pattern gives up on
+# some hundred thousand (ids are the same either way).
+LONG_SPACE = 1 << 16
+_SPACES = re.compile(rf"\s{{{LONG_SPACE}}}")
 SEQUENCE_BITS = 40
 
 
@@ -73,7 +77,8 @@ class Encoder:
     def __call__(self, text: str) -> list[int]:
         if self._added is None:
             self._load_added()
-        if _OTHER.search(text) or self._added.search(text):
+        if (_OTHER.search(text) or self._added.search(text)
+                or len(text) >= LONG_SPACE and _SPACES.search(text)):
             if self._whole is None:
                 self._load_whole()
             return self._whole.encode(text, add_special_tokens=False).ids
