@@ -49,8 +49,10 @@ CLASSES = (
      "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", 3.9),
 )
 KINDS = BASE_KINDS + tuple(c[0] for c in CLASSES)
+# Words and numbers between separators are allowed: a candidate has a letter
+# beside a digit. (No repeated group: Java's matcher recurses once per piece.)
+MIXED = r"[A-Za-z][0-9]|[0-9][A-Za-z]"
 ALLOWED = (
-    r"^(?:[A-Za-z]*|[0-9]*)(?:[-_/=+](?:[A-Za-z]*|[0-9]*))*$",           # words and numbers
     r"^[0-9A-Fa-f]{8}-(?:[0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}$",           # UUID
     r"(?i)example|placeholder|0123456789|abcdefgh|(.)\1{7}",             # stand-ins
 )
@@ -172,7 +174,7 @@ def _entropy_spans(text: Column, taken: Column, kind: int) -> Column:
     folded = F.lower if alphabet == alphabet.lower() else lambda c: c
 
     def wanted(m):
-        ok = m.rlike("[0-9]") & m.rlike("[A-Za-z]")
+        ok = m.rlike(MIXED)
         for allowed in ALLOWED[:-1]:
             ok = ok & ~m.rlike(allowed)
         return ok
