@@ -23,14 +23,14 @@ pages are copies of each other and constant text tells nothing.
 
 Second, blocks are left out whose path names something that is not the article
 (navigation, header, footer, aside, form, advert, notice, comments ...);
-inside the article only tags and roles are judged so, not words of classes and
-ids. Of the others, slots inside ``article`` or ``main`` elements are kept. A
+inside the article only tags and roles are judged so, and classes of containers
+that name nothing else; not words in them, nor headings and flowing text. Of the others, slots inside ``article`` or ``main`` elements are kept. A
 template without any keeps slots that are not mostly links, if they have a fair
 share of the text of its largest (``TEXT_SHARE``) or stand in one container
 with one that has. Kept blocks are joined in page order.
 
-Templates go back to the pages by a join on the host, broadcast only if they
-are counted to be few; else it is shuffled and skewed hosts can be split.
+Templates go back to the pages by a join on the host, broadcast only if their
+bytes are counted to be few; else it is shuffled and skewed hosts can be split.
 
 Defined cases: null or empty html gives an empty text; a null URL or one
 without a host counts as the host ""; blocks outside any template slot, and
@@ -49,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlytics.llm.frames import only, small_side, written
+from eventlytics.llm.frames import only, written
 from eventlytics.llm.page_parser import read_page
 from eventlytics.llm.url_filter import host_and_path
 
@@ -60,6 +60,7 @@ LINK_SHARE = 0.5     # a slot of which more is links is a menu
 TEXT_SHARE = 0.1     # of the text of the largest slot, without an article
 FIXED_SHARE = 0.9    # a slot of which more is constant text is template
 CLASS_TOKENS = 2     # a class of fewer tokens makes no text constant
+MOST_BROADCAST = 32 << 20  # bytes of all hosts' verdicts
 KEPT, OPEN, LEFT_OUT = 1, 0, -1  # verdicts on slots
 # Words that mark a part of a page which is not its article (fixed values).
 _NOT_TAGS = frozenset("head nav header footer aside form button select menu dialog fieldset".split())
@@ -68,6 +69,19 @@ _NOT_WORDS = re.compile(
     r"header\w*|masthead|breadcrumb\w*|cookie\w*|consent|notice\w*|gdpr|popup\w*|modal\w*|newsletter\w*|"
     r"subscri\w*|signup|login|search\w*|comment\w*|repl(?:y|ies)|disqus|respond|share|sharing|social\w*|"
     r"related\w*|recommend\w*|pagination|pager|toolbar|contentinfo|complementary|navigation)(?=$|[-_.#@0])")
+# Inside the article a class of a container (``_BOXES``) is judged as a whole:
+# all its parts are such words or words of layout (fixed values).
+_BOXES = frozenset("div section ul ol dl table figure center".split())
+_WHOLE_WORDS = frozenset(
+    ("ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar breadcrumb "
+     "breadcrumbs cookie cookies notice notices gdpr popup modal newsletter subscribe signup comment comments replies "
+     "disqus respond share sharing social related recommended recommendations pagination pager toolbar nav navbar "
+     "menu").split())
+_LAYOUT_WORDS = frozenset(
+    ("area bar block box buttons card cards consent container content form grid group holder inline inner item items "
+     "label link links list outer panel posts row section slot stories story thread top bottom unit widget wrap "
+     "wrapper articles left right main").split())
+_COMMENT_IDS = frozenset("comments respond disqus_thread".split())
 _FRAME = frozenset("html body main".split())
 _FLOW = frozenset(("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre figure figcaption table caption thead "
                    "tbody tfoot tr td th hr").split())
@@ -82,21 +96,31 @@ def _inside(path: str, frame: str | None) -> bool:
     return frame is not None and bool((_ARTICLE if frame == "article" else _MAIN).search(path))
 
 
+def _names_noise(word: str) -> bool:
+    """True if a whole class or id names what is not the article."""
+    parts = [p for p in re.split(r"[-_0]+", word) if p]
+    return any(p in _WHOLE_WORDS for p in parts) and all(p in _WHOLE_WORDS or p in _LAYOUT_WORDS for p in parts)
+
+
 def is_noise(path: str, frame: str | None = None) -> bool:
     """True if some element of the path is no part of an article. What the
     classes of the page's own frame (``html``, ``body``, ``main``) say, and
     words like ``has-sidebar``, is about the whole page. Ids of headings are
     made from their text and say nothing; inside ``frame`` (``article`` or
-    ``main``) only tags and roles are, and the classes of an ``article``."""
-    within = ""
+    ``main``) only tags and roles are, the classes of an ``article``, and whole
+    classes of containers. A heading in the article's own header is part of it."""
+    within, heading = "", _tag(path) in _HEADINGS
     for label in path.split("/"):
         rest, _, role = label.partition("@")
         rest, _, ids = rest.partition("#")
         tag, *words = rest.split(".")
-        if tag in _NOT_TAGS:
-            return True
         inside = _inside(within, frame)
+        if tag in _NOT_TAGS and not (tag == "header" and heading and inside):
+            return True
         if inside and tag != "article":
+            named = [*words, *(ids.split(".") if tag not in ("section", "table", "figure") else ())]
+            if tag in _BOXES and (any(map(_names_noise, named)) or ids in _COMMENT_IDS):
+                return True
             words = []
         elif not inside and tag not in _HEADINGS:
             words += ids.split(".")
@@ -280,13 +304,18 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["host", "t_token", "t_verdict", "t_constant"])
 
 
-def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = []
-        for page, tokens, verdicts, constant in zip(*(c.to_pylist() for c in batch.columns[2:])):
-            texts.append("\n\n".join(main_blocks(page or "", dict(zip(tokens, verdicts)), frozenset(constant))))
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:2], pa.array(texts, pa.string())], names=["page_id", "url", "text"])
+def _extractor(default: tuple[list, list, list]):
+    """``default`` is the verdict of the template of all pages."""
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            for page, *own in zip(*(c.to_pylist() for c in batch.columns[2:])):
+                tokens, verdicts, constant = default if own[0] is None else own
+                texts.append("\n\n".join(main_blocks(page or "", dict(zip(tokens, verdicts)), frozenset(constant))))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.array(texts, pa.string())], names=["page_id", "url", "text"])
+
+    return extract
 
 
 def extract_main_text(pages: DataFrame, min_pages: int = MIN_PAGES, support: float = SUPPORT) -> DataFrame:
@@ -300,14 +329,12 @@ def extract_main_text(pages: DataFrame, min_pages: int = MIN_PAGES, support: flo
             _judge, "host string, t_token array<string>, t_verdict array<bigint>, t_constant array<bigint>")
 
     whole = judged(F.col("host") == ALL_HOSTS).head()  # one row
-    default = [[] if whole is None else whole[f] for f in fields]
-    own = judged(F.col("host") != ALL_HOSTS)
-    d = p.withColumn("host", host_and_path(F.col("url"))[0]).join(small_side(own, 50_000), "host", "left")
-
-    def or_default(f: str, values: list) -> Column:
-        literal = F.array(*[F.lit(v) for v in values]).cast(own.schema[f].dataType)
-        return F.coalesce(f, literal).alias(f)
-
+    default = tuple([] if whole is None else whole[f] for f in fields)
+    own = written(judged(F.col("host") != ALL_HOSTS), "verdicts")
+    size = own.agg(F.sum(F.octet_length(F.array_join("t_token", "")) + 24 * F.size("t_token")
+                         + 8 * F.size("t_constant"))).head()[0] or 0
+    d = p.withColumn("host", host_and_path(F.col("url"))[0]).join(
+        F.broadcast(own) if size <= MOST_BROADCAST else own, "host", "left")
     kind = p.schema["page_id"].dataType.simpleString()
-    return d.select("page_id", "url", "html", *[or_default(f, v) for f, v in zip(fields, default)]).mapInArrow(
-        _extract, f"page_id {kind}, url string, text string")
+    return d.select("page_id", "url", "html", *fields).mapInArrow(
+        _extractor(default), f"page_id {kind}, url string, text string")

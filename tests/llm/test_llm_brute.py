@@ -380,6 +380,11 @@ TRICKY = [
     "k = Zx9+Qm3/Lp7Rt2Vb8Nc4Wd6Yf1Hg5Js0Ka token = 'short' a-b-c-d-e-f-g-h-i-j-k-l-m-n-2024-01-02-03",
     "id 123e4567-e89b-12d3-a456-426614174000 ABCDEF0123FEDCBA98765432 \U0001F600 0A1B2C3D4E5F60718293A4B5",
     "secret: " * 700 + "token=abcdef " * 700,
+    # stand-ins inside a run, base spans inside hot ones, an UUID in capitals, a chain of words and numbers
+    "AAAAAAAAAAqW3eR5tY7uI9oP1aS2dF4gH6jK8lZ0xC example9zX8cV7bN6mQ5wE4rT3yU2iO1pL0k",
+    "AKIA" + "Q7" * 8 + "/zX8cV7bN6mQ5wE4rT3yU2iO1pL0kJ9hG8fD7sA6", "deadbeef12345678deadbeef-zX8cV7bN6mQ5wE4rT3yU2iO1pL",
+    "x2A9-" * 9 + "deadbeef12345678deadbeef", "one-two-3-four-55-six-seven-888-nine-ten", "a-" * 30 + "a1",
+    "password=zX8cV7bN6mQ5wE4rT3yU2iO1pL0kJ9hG8fD7sA6+/0123456789",
 ]
 
 
@@ -390,27 +395,52 @@ def base_spans(t):
     return sorted(found)
 
 
+def wanted(s):
+    """Not a UUID, and not words and numbers between separators."""
+    parts = re.split("[-_/=+]", s)
+    return not (all(re.fullmatch("[A-Za-z]*|[0-9]*", p) for p in parts) or re.fullmatch(
+        "[0-9A-Fa-f]{8}-([0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}", s))
+
+
+def hot_windows(s, alphabet, least):
+    """[start, end] of windows scored one by one from fresh counts, merged."""
+    w, spans = secret_scan.WINDOW, []
+    u = s.lower() if alphabet == alphabet.lower() else s
+    for i in range(len(u) - w + 1):
+        n = collections.Counter(u[i:i + w])
+        if -sum(c / w * math.log2(c / w) for c in n.values()) >= least - 1e-9:
+            if spans and i <= spans[-1][1]:
+                spans[-1][1] = i + w
+            else:
+                spans.append([i, i + w])
+    return spans
+
+
 def entropy_spans(t, base):
-    """Windows scored one by one from fresh counts."""
+    """Stand-ins cut a run; what other spans cover is cut out of a hot span."""
     out, taken = [], list(base)
-    for kind, (name, pattern, alphabet, least) in enumerate(secret_scan.CLASSES, 3):
+    stand_in = re.compile(r"(?i)example|placeholder|0123456789|abcdefgh|(.)\1{7}")
+    for kind, (_, pattern, alphabet, least) in enumerate(secret_scan.CLASSES, 3):
         new = []
         for m in re.finditer(pattern, t):
-            s, w = m[0], secret_scan.WINDOW
-            if not re.search("[0-9]", s) or not re.search("[A-Za-z]", s) or any(
-                    re.search(a, s) for a in secret_scan.ALLOWED):
+            if not wanted(m[0]):
                 continue
-            u = s.lower() if alphabet == alphabet.lower() else s
-            spans = []
-            for i in range(len(u) - w + 1):
-                n = collections.Counter(u[i:i + w])
-                if -sum(c / w * math.log2(c / w) for c in n.values()) >= least - 1e-9:
-                    if spans and i <= spans[-1][1]:
-                        spans[-1][1] = i + w
-                    else:
-                        spans.append([i, i + w])
-            new += [(m.start() + a, kind, m.start() + b) for a, b in spans]
-        new = [x for x in new if not any(x[0] < y[2] and y[0] < x[2] for y in taken)]
+            cuts = [0, *(x for f in stand_in.finditer(m[0]) for x in f.span()), len(m[0])]
+            for a, b in zip(cuts[::2], cuts[1::2]):
+                piece = m[0][a:b]
+                if len(piece) < secret_scan.WINDOW or not wanted(piece):
+                    continue
+                for x, y in hot_windows(piece, alphabet, least):
+                    x, y = m.start() + a + x, m.start() + a + y
+                    if not any(x < z[2] and z[0] < y for z in taken):
+                        new.append((x, kind, y))
+                        continue
+                    free = [p for p in range(x, y) if not any(z[0] <= p < z[2] for z in taken)]
+                    for _, run in itertools.groupby(enumerate(free), lambda e: e[1] - e[0]):
+                        run = [p for _, p in run]
+                        v = t[run[0]:run[-1] + 1]
+                        if len(v) >= 6 and wanted(v):
+                            new.append((run[0], kind, run[-1] + 1))
         taken += new
         out += new
     return out

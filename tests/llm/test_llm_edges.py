@@ -180,3 +180,63 @@ def test_pipeline_stages(spark, docs, none):
             out = stage(spark, frame, "/root/testdata/sf0.001")
             assert (out.columns == docs.columns) == (name != C.STAGES[-1][0])
             assert out.count() == 0 if frame is none else out.count() > 0 or name == "quality_rules"
+
+
+# Whole texts of a million characters: no stack overflow, panic or quadratic time.
+MILLION = {
+    "a hyphen chain": "a-" * 500_000 + "a1", "spaces": " " * 1_000_000, "line ends": "x" + "\n" * 1_000_000 + "y",
+    "tabs between words": "a" + "\t" * 1_000_000 + "b", "one word": "ab" * 500_000, "open tags": "<a " * 330_000,
+    "unclosed elements": "<div>" * 200_000, "open quotes": '<a ="x>" ' * 110_000, "digits": "0123456789" * 100_000,
+}
+
+
+@pytest.fixture(scope="module")
+def million(spark):
+    return spark.createDataFrame([(i, t, "en", "a") for i, t in enumerate(MILLION.values())], SCHEMA).repartition(8)
+
+
+def test_a_million_characters_packed(million):
+    got = packing.pack_documents(million).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()
+    assert len(got) == len(MILLION) and all(r["n"] >= 2 for r in got)
+
+
+def test_long_space_has_the_same_ids():
+    encode = packing.Encoder("byte_bpe_50k")
+    text = "a " + " " * packing.LONG_SPACE + "b\n" + "\n" * 100
+    encode(text)
+    assert encode._whole is not None  # went to the slower library
+    encode("short")
+    assert encode(text) == encode._fast.encode_ordinary(text)
+
+
+def test_a_million_characters_scanned(million):
+    got = {r["doc_id"]: r for r in secret_scan.scan_documents(million).collect()}
+    assert len(got) == len(MILLION) and got[0]["spans"] == ""
+    clean = {r["doc_id"]: r["text"] for r in secret_scan.redact_documents(million).collect()}
+    assert clean[0] == MILLION["a hyphen chain"]
+
+
+def test_a_million_characters_extracted(spark):
+    rows = [(i, f"https://a.example/{i}", t) for i, t in enumerate(MILLION.values())]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(8)
+    got = {r["page_id"]: r["text"] for r in html_template.extract_main_text(pages).collect()}
+    assert len(got) == len(MILLION) and got[6] == "" and got[1] == ""
+
+
+def test_inside_the_article(spark):
+    """Adverts, notices and comments in the article go; its own header's title,
+    headings with ids and sections named by them stay; odd quotes are read."""
+    def page(i):
+        return f"""<html><body><div class="wrap"><article class=post data-x=it's><header><h1>Title {i}</h1>
+        <p class="byline">By someone</p></header><p>First {i} don't stop.</p><div class='ad'>Buy {i}</div>
+        <p title="5" tall">Second {i}.</p><div class="ad-slot wide"><p>Buy more {i}</p></div>
+        <section id="related-work"><h2 id="search-trees">Related work {i}</h2><p class="notice">Third {i}.</p></section>
+        <ul class="share-buttons"><li>Share {i}</li></ul><div class="cookie-notice">Cookies {i}</div>
+        <div id='comments' class='comments'><p>Reader {i}</p></div><section id="comments"><p>Other {i}</p></section>
+        <div class="comment-on-method"><p>Fourth {i}.</p></div></article></div></body></html>"""
+
+    pages = spark.createDataFrame([(i, f"https://a.example/{i}", page(i)) for i in range(8)],
+                                  "page_id bigint, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_template.extract_main_text(pages).collect()}
+    assert got == {i: "\n\n".join([f"Title {i}", f"First {i} don't stop.", f"Second {i}.", f"Related work {i}",
+                                   f"Third {i}.", f"Fourth {i}."]) for i in range(8)}

@@ -70,7 +70,7 @@ def test_words_in_ids_and_classes_inside_an_article(frame):
              "<p id='comments-on-x'>On x</p>", "<div class='notice'>Note</div>", "<div class='side'>Side</div>"]
     end = frame.split()[0]
     got = main_blocks(f"<body><div class='sidebar'>No</div><{frame}>{''.join(parts)}<nav>No</nav><div role='navigation'>No</div></{end}></body>")
-    assert got == ["Search trees", "Related", "On x", "Note", "Side"]
+    assert got == ["Search trees", "Related", "On x", "Side"]
 
 
 def test_comments_beside_the_article_are_left_out():
