@@ -33,7 +33,8 @@ _HELPERS = ("_t", "_p1", "_p2", "_chunk", "_halo")
 def _prepared(df: DataFrame, keys: Sequence[str], first: Column, second: Column, within_us: int,
               side: str, chunk_us: int | None, time_col: str, seq_col: str):
     chunk_us = chunk_us or default_chunk_us(within_us)
-    base = df.withColumn("_t", F.unix_micros(F.col(time_col))) \
+    # rows without an event time are left out, as on a stream
+    base = df.where(F.col(time_col).isNotNull()).withColumn("_t", F.unix_micros(F.col(time_col))) \
              .withColumn("_p1", first).withColumn("_p2", second)
     if chunk_us >= within_us:
         return with_halo(base, "_t", within_us, chunk_us, side)

@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlytics.operators.durations import to_us
+from eventlytics.operators.durations import spark_interval, to_us
 
 MATCHED, UNMATCHED_ORDER, UNMATCHED_PAYMENT = "matched", "unmatched_order", "unmatched_payment"
 
@@ -57,31 +57,51 @@ def reconcile_windowed(orders: DataFrame, payments: DataFrame, keys: Sequence[st
     once the watermark closes its window; equal to the plain form when every
     key lies in one window, e.g. a key per day with ``"1 day"``).
     One shuffle, partial aggregation before it, no join."""
-    from eventlytics.operators.durations import spark_interval
+    tagged = tag_sides(orders, payments, keys, order_cols, payment_cols, time_col, seq_col)
+    group = list(keys)
+    if key_window is not None:
+        group.append(F.window(time_col, spark_interval(key_window)).alias("_w"))
+    elif key_gap is not None:
+        group.append(F.session_window(time_col, spark_interval(key_gap)).alias("_w"))
+    agg = latest_of_sides(tagged, group, order_cols, payment_cols, time_col, seq_col)
+    return statuses(agg, keys, order_cols, payment_cols, wait)
+
 
+def tag_sides(orders: DataFrame, payments: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
+              payment_cols: Sequence[str], time_col: str = "et", seq_col: str = "seq") -> DataFrame:
+    """Both sides in one frame: keys, time, seq, ``_is_order``, ``o_*`` and
+    ``p_*`` (null for the other side). Rows without an event time are left
+    out, as on a stream."""
     def side(df, is_order, cols, null_cols, null_df):
         own = [F.col(c).alias(f"{'o' if is_order else 'p'}_{c}") for c in cols]
         other = [F.lit(None).cast(null_df.schema[c].dataType).alias(f"{'p' if is_order else 'o'}_{c}")
                  for c in null_cols]
-        return df.select(*keys, time_col, seq_col, F.lit(is_order).alias("_is_order"), *own, *other)
+        return df.where(F.col(time_col).isNotNull()).select(
+            *keys, time_col, seq_col, F.lit(is_order).alias("_is_order"), *own, *other)
 
-    tagged = side(orders, True, order_cols, payment_cols, payments).unionByName(
+    return side(orders, True, order_cols, payment_cols, payments).unionByName(
         side(payments, False, payment_cols, order_cols, orders))
-    order_key = F.struct(time_col, seq_col)
-    o_payload = F.struct(*[F.col(f"o_{c}").alias(c) for c in order_cols], F.col(time_col).alias("_et"))
-    p_payload = F.struct(*[F.col(f"p_{c}").alias(c) for c in payment_cols], F.col(time_col).alias("_et"))
-    group = list(keys)
-    if key_window is not None:
-        group.append(F.window(time_col, spark_interval(key_window)).alias("_w"))
-    elif key_gap is not None:
-        group.append(F.session_window(time_col, spark_interval(key_gap)).alias("_w"))
-    agg = tagged.groupBy(*group).agg(
-        F.max_by(o_payload, F.when(F.col("_is_order"), order_key)).alias("_o"),
-        F.max_by(p_payload, F.when(~F.col("_is_order"), order_key)).alias("_p"))
-    return _statuses(agg, keys, order_cols, payment_cols, wait)
 
 
-def _statuses(j: DataFrame, keys, order_cols, payment_cols, wait) -> DataFrame:
+def latest_of_sides(tagged: DataFrame, group: list, order_cols: Sequence[str], payment_cols: Sequence[str],
+                    time_col: str = "et", seq_col: str = "seq") -> DataFrame:
+    """``_o`` and ``_p``: the latest event of each side per group."""
+    def latest(prefix, cols, mine):
+        payload = F.struct(*[F.col(f"{prefix}_{c}").alias(c) for c in cols], F.col(time_col).alias("_et"),
+                           F.col(seq_col).alias("_seq"))
+        return F.max_by(payload, F.when(mine, F.struct(time_col, seq_col))).alias(f"_{prefix}")
+
+    is_order = F.col("_is_order")
+    return tagged.groupBy(*group).agg(latest("o", order_cols, is_order), latest("p", payment_cols, ~is_order))
+
+
+def merge_latest(parts: DataFrame, group: list) -> DataFrame:
+    """The latest of partial results of :func:`latest_of_sides`."""
+    pick = lambda c: F.when(F.col(c).isNotNull(), F.struct(f"{c}._et", f"{c}._seq"))
+    return parts.groupBy(*group).agg(*[F.max_by(c, pick(c)).alias(c) for c in ("_o", "_p")])
+
+
+def statuses(j: DataFrame, keys, order_cols, payment_cols, wait) -> DataFrame:
     both = F.col("_o").isNotNull() & F.col("_p").isNotNull()
     if wait is not None:
         gap = F.unix_micros(F.col("_p._et")) - F.unix_micros(F.col("_o._et"))

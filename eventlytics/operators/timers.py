@@ -53,11 +53,11 @@ def _markers(base: DataFrame, keys: Sequence[str], d: int, w_us: int) -> DataFra
 
 def flush_buckets(df: DataFrame, keys: Sequence[str], delay, time_col: str = "et",
                   chunk_us: int | None = None) -> DataFrame:
-    """Every row plus ``_t`` (event µs) and ``_bucket`` (µs of the timer that
-    flushes it)."""
+    """Every row that has an event time plus ``_t`` (event µs) and ``_bucket``
+    (µs of the timer that flushes it)."""
     d = to_us(delay)
     w_us = chunk_us or default_chunk_us(d)
-    base = df.withColumn("_t", F.unix_micros(F.col(time_col)))
+    base = df.where(F.col(time_col).isNotNull()).withColumn("_t", F.unix_micros(F.col(time_col)))
     probes = base.withColumns({"_chunk": chunk_of(F.col("_t"), w_us), "_kind": F.lit(1), "_at": F.col("_t")})
     blank = [F.col(f.name) if f.name in keys else F.lit(None).cast(f.dataType).alias(f.name)
              for f in base.schema.fields]

@@ -43,13 +43,16 @@ def _window(time_col: str, size, slide=None) -> Column:
     return F.window(time_col, spark_interval(size), spark_interval(slide))
 
 
-def _pane_counts_batch(df: DataFrame, keys: list[str], size_us: int, slide_us: int,
-                       time_col: str, count_col: str, partitions: int | None) -> DataFrame:
-    """Batch sliding counts over signed panes (see the module notes)."""
-    n = size_us // slide_us
+def pane_index(slide_us: int, time_col: str = "et") -> Column:
+    return floor_div(F.unix_micros(F.col(time_col)), slide_us)
+
+
+def counts_from_panes(panes: DataFrame, keys: list[str], size_us: int, slide_us: int, count_col: str = "cnt",
+                      partitions: int | None = None) -> DataFrame:
+    """Sliding counts from counts ``_n`` per pane ``_p`` (one row per key and
+    pane), by signed changes (see the module notes)."""
+    df, n = panes, size_us // slide_us
     block = 4 * n
-    pane = floor_div(F.unix_micros(F.col(time_col)), slide_us)
-    panes = df.groupBy(*keys, pane.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
     # window w (end = w * slide) holds panes w-n .. w-1, so pane p feeds w = p+1 .. p+n
     lo, hi = F.col("_p") + 1, F.col("_p") + n
     blocks = F.sequence(floor_div(lo, block), floor_div(hi, block))
@@ -90,7 +93,9 @@ def windowed_count(df: DataFrame, keys: Sequence[str], size, slide=None, time_co
         if not divisible:
             raise ValueError("pane method needs size to be a multiple of slide")
         if not df.isStreaming:
-            return _pane_counts_batch(df, keys, to_us(size), to_us(slide), time_col, count_col, partitions)
+            panes = df.groupBy(*keys, pane_index(to_us(slide), time_col).alias("_p")).agg(
+                F.count(F.lit(1)).alias("_n"))
+            return counts_from_panes(panes, keys, to_us(size), to_us(slide), count_col, partitions)
         # stream: chained append-mode aggregations keep the watermark lineage
         panes = (df.groupBy(_window(time_col, slide).alias("_pane"), *keys)
                  .agg(F.count(F.lit(1)).alias("_n"))
@@ -148,3 +153,45 @@ def window_distinct(df: DataFrame, col: str, size, slide=None, time_col: str = "
         agg = (df.groupBy(_window(time_col, size, slide).alias("window"))
                .agg(F.count_distinct(col).alias(out_col)))
     return agg.select(window_end_ms("window").alias("window_end"), out_col)
+
+
+def window_distinct_sliding(df: DataFrame, col: str, size, slide, time_col: str = "et", out_col: str | None = None,
+                            partitions: int | None = None) -> DataFrame:
+    """Exact distinct values of ``col`` per sliding window (A5 x W1), batch.
+
+    A value feeds the union of the windows of its occurrences. In pane order,
+    an occurrence adds only the windows that the one before it (``lag`` per
+    value) does not feed already, as two signed changes: plus one at its first
+    new window, minus one after its last. Their running sum is the number of
+    distinct values: the work is one row per value and pane, never one per
+    window. Values are cut into blocks of time, each with what reaches in
+    from the block before, so a hot value is spread; so are the running sums.
+    Nulls are no value.
+    """
+    size_us, slide_us = to_us(size), to_us(slide)
+    if size_us % slide_us:
+        raise ValueError("size must be a multiple of slide")
+    out_col = out_col or f"distinct_{col}"
+    n = size_us // slide_us
+    block = 4 * n
+    seen = df.where(F.col(col).isNotNull() & F.col(time_col).isNotNull()).groupBy(
+        F.col(col).alias("_v"), pane_index(slide_us, time_col).alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    # pane p feeds windows p+1 .. p+n; it is seen in the block of its pane, and, if it reaches over, in the next
+    lo, hi = floor_div(F.col("_p"), block), floor_div(F.col("_p") + n - 1, block)
+    spread = seen.select("_v", "_p", F.explode(F.sequence(lo, hi)).alias("_b"))
+    before = F.lag("_p").over(Window.partitionBy("_v", "_b").orderBy("_p"))
+    start, end = F.col("_b") * block + 1, F.col("_b") * block + block  # windows of block b, inclusive
+    spread = spread.select("_b", F.greatest(F.col("_p") + 1, before + n + 1, start).alias("_from"),
+                           (F.col("_p") + n).alias("_to"))
+    change = lambda w, v: F.struct(w.alias("_w"), F.lit(v).alias("_d"))
+    last = F.least(F.col("_to"), end)
+    changes = F.when(F.col("_from") > last, F.array().cast("array<struct<_w:bigint,_d:int>>")).when(
+        F.col("_to") < end, F.array(change(F.col("_from"), 1), change(F.col("_to") + 1, -1))).otherwise(
+        F.array(change(F.col("_from"), 1)))
+    steps = spread.select("_b", F.inline(changes)).groupBy("_b", "_w").agg(F.sum("_d").alias("_d"))
+    in_block = Window.partitionBy("_b").orderBy("_w")
+    level = F.sum("_d").over(in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    until = F.coalesce(F.lead("_w").over(in_block), end + 1)
+    runs = steps.select("_w", until.alias("_until"), level.alias(out_col)).where(F.col(out_col) > 0)
+    return runs.select(F.explode(F.sequence(F.col("_w"), F.col("_until") - 1)).alias("_w"), out_col).select(
+        (F.col("_w") * (slide_us // 1000)).alias("window_end"), out_col)

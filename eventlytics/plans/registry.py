@@ -176,6 +176,45 @@ def reconcile_unmatched_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.unix_millis("p_et").alias("pay_ms"))
 
 
+# ------------------------------------------------------- late rows
+# A fixed disorder: views arrive up to 60 places away from their order.
+def _disordered(spark, sf_dir):
+    pv = _views(spark, sf_dir).select("seq", "et")
+    return pv.withColumn("arrival", F.col("seq") + F.col("seq") * 7919 % 61)
+
+
+def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views that arrive when their hour is closed."""
+    out = ops.late_rows(_disordered(spark, sf_dir), ["arrival", "seq"], HOUR)
+    return out.select("seq", F.unix_millis("et").alias("event_ms"), F.unix_millis("seen_et").alias("seen_ms"))
+
+
+def pv_hourly_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views counted, and dropped as late, per hour."""
+    return ops.window_count_with_late(_disordered(spark, sf_dir), ["arrival", "seq"], HOUR, count_col="pv")
+
+
+def pv_sliding_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same per sliding window: a late row still counts in its open ones."""
+    return ops.window_count_with_late(_disordered(spark, sf_dir), ["arrival", "seq"], ITEM_WINDOW, ITEM_SLIDE,
+                                      delay="1 minute", count_col="pv")
+
+
+# ------------------------------------------------- consuming pairing
+def reconcile_consuming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pairing of a user's views and purchases within 12 hours."""
+    ev = _events(spark, sf_dir)
+    r = ops.reconcile_consuming(T.orders_from_events(ev.where(F.col("event_type") == T.VIEW)), T.payments_from_events(ev),
+                                ["order_id"], ["event_type"], ["event_type"], wait=GAP)
+    return r.select("order_id", "status", F.unix_millis("o_et").alias("order_ms"),
+                    F.col("p_event_type").alias("channel"), F.unix_millis("p_et").alias("pay_ms"))
+
+
+# ------------------------------------------- sliding distinct users
+def uv_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ops.window_distinct_sliding(_pv(spark, sf_dir), "user_id", ITEM_WINDOW, URL_SLIDE, out_col="uv")
+
+
 # ------------------------------------------------------------------ oracles
 _EV = """
 ev AS (
@@ -296,7 +335,46 @@ SELECT order_id, day, order_type, ot // 1000 AS order_ms FROM o ANTI JOIN p USIN
 SELECT order_id, day, channel, pt // 1000 AS pay_ms FROM p ANTI JOIN o USING (order_id, day)""",
 }
 
+_DISORDERED = "WITH " + _EV + """
+, a AS (SELECT seq, t, seq + seq * 7919 % 61 AS arrival FROM ev WHERE event_type = 'view')
+, s AS (SELECT *, max(t) OVER (ORDER BY arrival, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen
+        FROM a)"""
+ORACLES["late_rows"] = _DISORDERED + """
+SELECT seq, t // 1000 AS event_ms, seen // 1000 AS seen_ms FROM s WHERE (t // 3600000000 + 1) * 3600000000 <= seen"""
+_LATE_COUNTS = """
+, w AS (SELECT (t // {slide} + j) * {slide} AS e, seen FROM s, range(1, {n} + 1) AS r(j))
+SELECT e // 1000 AS window_end, count(*) FILTER (WHERE seen IS NULL OR e > seen - {delay}) AS pv,
+       count(*) FILTER (WHERE e <= seen - {delay}) AS late
+FROM w GROUP BY e"""
+ORACLES["pv_hourly_late"] = _DISORDERED + _LATE_COUNTS.format(slide=3_600_000_000, n=1, delay=0)
+ORACLES["pv_sliding_late"] = _DISORDERED + _LATE_COUNTS.format(slide=300_000_000, n=12, delay=60_000_000)
+# along a run of links (neighbours of both sides, close enough) every other one pairs
+ORACLES["reconcile_consuming"] = "WITH " + _EV + f"""
+, e AS (SELECT CAST(user_id AS VARCHAR) AS order_id, seq, t, event_type = 'view' AS o,
+               CASE WHEN event_type = 'purchase' THEN CASE WHEN k % 2 = 0 THEN 'weixin' ELSE 'zhifubao' END END AS channel
+        FROM ev WHERE event_type IN ('view', 'purchase'))
+, n AS (SELECT *, lag((o, t, channel)) OVER w AS b, lead((o, t)) OVER w AS a, row_number() OVER w AS rn FROM e
+        WINDOW w AS (PARTITION BY order_id ORDER BY t, seq))
+, l AS (SELECT *, coalesce(b[1] <> o AND t - b[2] <= {GAP_US}, false) AS linked FROM n)
+, r AS (SELECT *, (rn - max(rn) FILTER (WHERE NOT linked) OVER (PARTITION BY order_id ORDER BY t, seq)) % 2 = 1 AS odd FROM l)
+SELECT order_id,
+       CASE WHEN odd THEN 'matched'
+            WHEN a[1] = o AND a[2] - t <= {GAP_US} THEN CASE WHEN o THEN 'replaced_order' ELSE 'replaced_payment' END
+            ELSE CASE WHEN o THEN 'unmatched_order' ELSE 'unmatched_payment' END END AS status,
+       CASE WHEN o THEN t WHEN odd THEN b[2] END // 1000 AS order_ms,
+       CASE WHEN NOT o THEN channel WHEN odd THEN b[3] END AS channel,
+       CASE WHEN NOT o THEN t WHEN odd THEN b[2] END // 1000 AS pay_ms
+FROM r WHERE odd OR NOT coalesce(a[1] <> o AND a[2] - t <= {GAP_US}, false)"""
+ORACLES["uv_sliding"] = "WITH " + _EV + """
+SELECT (t // 5000000 + 1 + j) * 5000 AS window_end, count(DISTINCT user_id) AS uv
+FROM ev, range(0, 720) AS r(j) WHERE event_type = 'view' GROUP BY 1"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "late_rows": late_rows,
+    "pv_hourly_late": pv_hourly_late,
+    "pv_sliding_late": pv_sliding_late,
+    "reconcile_consuming": reconcile_consuming,
+    "uv_sliding": uv_sliding,
     "hot_items": hot_items,
     "hot_items_report": hot_items_report,
     "hot_urls": hot_urls,
