@@ -27,33 +27,30 @@ ASCENDING = "1 millisecond"  # watermark delay for ascending timestamps
 
 
 def _seq(df: DataFrame) -> DataFrame:
-    """The tie order of equal times: the source's ``seq``; in batch, else,
-    the rows' position; on a stream, which keeps no position through a
-    shuffle, a hash of the row (the same in any split and run)."""
-    if "seq" in df.columns:
-        return df
-    if df.isStreaming:
-        return df.withColumn("seq", F.xxhash64(*df.columns))
-    return df.withColumn("seq", F.monotonically_increasing_id())
+    """The tie order of equal times: the source's ``seq`` (its arrival
+    order). Without one, a hash of the row, in batch as on a stream: the same
+    in any split of the input and any run, so that both agree."""
+    return df if "seq" in df.columns else df.withColumn("seq", F.xxhash64(*df.columns))
 
 
-def _page_views(spark: SparkSession, path: str, stream: bool, mode: str, end: S.End | None = None) -> DataFrame:
+def _page_views(spark: SparkSession, path: str, stream: bool, mode: str) -> DataFrame:
     df = read_behavior(spark, path, mode=mode, stream=stream)
     if mode == "quarantine":
         df = df.where(~F.col("_bad")).drop("_bad", "_line")
     df = with_event_time(_seq(df.where(F.col("behavior") == "pv")), "ts_s", "s")
-    if end is not None:
-        df = end.ending(df)
     return df.withWatermark("et", ASCENDING) if stream else df
 
 
+def _top_counts(df: DataFrame, key: str, k: int, size, slide, delay, name: str) -> DataFrame:
+    if df.isStreaming:
+        return S.count_stream(df, [key], size, slide, (key, k), delay=delay, name=name).finish()
+    return ops.top_k_per_window(ops.windowed_count(df, [key], size, slide), key, k)
+
+
 def hot_items(spark: SparkSession, path: str, k: int = 5, size="60 minutes", slide="5 minutes",
               stream: bool = False, mode: str = "failfast", report: bool = False) -> DataFrame:
     """Top ``k`` items by page views per sliding window."""
-    end = S.End(spark) if stream else None
-    counts = ops.windowed_count(_page_views(spark, path, stream, mode, end), ["item_id"], size, slide)
-    top = (S.top_k_stream(counts, "item_id", k, "hot_items", end=end) if stream
-           else ops.top_k_per_window(counts, "item_id", k))
+    top = _top_counts(_page_views(spark, path, stream, mode), "item_id", k, size, slide, ASCENDING, "hot_items")
     return ops.rank_report(top, "item_id") if report else top
 
 
@@ -65,12 +62,7 @@ def traffic(spark: SparkSession, path: str, k: int = 5, size="10 minutes", slide
     log = read_access_log(spark, path, mode=mode, stream=stream)
     if mode == "quarantine":
         log = log.where(~F.col("_bad")).drop("_bad", "_line")
-    end = S.End(spark) if stream else None
-    if stream:
-        log = end.ending(log).withWatermark("et", delay)
-    counts = ops.windowed_count(log, [key], size, slide)
-    top = (S.top_k_stream(counts, key, k, "traffic", end=end) if stream
-           else ops.top_k_per_window(counts, key, k))
+    top = _top_counts(log, key, k, size, slide, delay, "traffic")
     if report:
         return ops.rank_report(top, key, key_label=URL_LABEL, count_label=URL_COUNT_LABEL,
                                trailer="\n\n", ruler=URL_RULER)

@@ -408,49 +408,40 @@ def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.stream_table(spark, sf_dir, "events", T.EVENTS_SCHEMA)
 
 
-def _pv_stream(spark, sf_dir, end):
-    ev = _events_stream(spark, sf_dir).where(F.col("event_type") == T.VIEW)
-    return end.ending(T.behavior_from_events(ev)).withWatermark("et", DELAY)
+def _pv_stream(spark, sf_dir):
+    return T.behavior_from_events(_events_stream(spark, sf_dir).where(F.col("event_type") == T.VIEW))
 
 
 def hot_items_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    end = S.End(spark)
-    counts = ops.windowed_count(_pv_stream(spark, sf_dir, end), ["item_id"], ITEM_WINDOW, ITEM_SLIDE)
-    top = S.top_k_stream(counts, "item_id", TOP_K, "hot_items_stream", end=end)
-    return top.select("window_end", "rank", "item_id", "cnt")
+    top = S.count_stream(_pv_stream(spark, sf_dir), ["item_id"], ITEM_WINDOW, ITEM_SLIDE, ("item_id", TOP_K),
+                         delay=DELAY, name="hot_items_stream")
+    return top.finish().select("window_end", "rank", "item_id", "cnt")
 
 
 def hot_urls_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    end = S.End(spark)
-    log = end.ending(T.access_log_from_events(_events_stream(spark, sf_dir))).withWatermark("et", LOG_DELAY)
-    counts = ops.windowed_count(log, ["url"], URL_WINDOW, URL_SLIDE)
-    return S.top_k_stream(counts, "url", TOP_K, "hot_urls_stream", end=end).select(
-        "window_end", "rank", "url", "cnt")
+    log = T.access_log_from_events(_events_stream(spark, sf_dir))
+    top = S.count_stream(log, ["url"], URL_WINDOW, URL_SLIDE, ("url", TOP_K), delay=LOG_DELAY, name="hot_urls_stream")
+    return top.finish().select("window_end", "rank", "url", "cnt")
 
 
 def pv_hourly_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    end = S.End(spark)
-    return S.stream_result(ops.window_count(_pv_stream(spark, sf_dir, end), HOUR, count_col="pv"),
-                           "pv_hourly_stream", end)
+    return S.count_stream(_pv_stream(spark, sf_dir), [], HOUR, count_col="pv", delay=DELAY,
+                          name="pv_hourly_stream").finish()
 
 
 def uv_hourly_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    end = S.End(spark)
-    return S.stream_result(ops.window_distinct(_pv_stream(spark, sf_dir, end), "user_id", HOUR,
-                                               out_col="uv"), "uv_hourly_stream", end)
+    return S.distinct_stream(_pv_stream(spark, sf_dir), "user_id", HOUR, "uv", DELAY, "uv_hourly_stream").finish()
 
 
 def distinct_items_hourly_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    end = S.End(spark)
-    return S.stream_result(ops.window_distinct(_pv_stream(spark, sf_dir, end), "item_id", HOUR,
-                                               out_col="items"), "distinct_items_hourly_stream", end)
+    return S.distinct_stream(_pv_stream(spark, sf_dir), "item_id", HOUR, "items", DELAY,
+                             "distinct_items_hourly_stream").finish()
 
 
 def field_sum_hourly_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    end = S.End(spark)
-    fs = ops.window_field_sum(_pv_stream(spark, sf_dir, end), "user_id", HOUR,
-                              ["item_id", "category_id", "behavior", "ts_s"])
-    return S.stream_result(fs, "field_sum_hourly_stream", end)
+    return S.field_sum_stream(_pv_stream(spark, sf_dir), "user_id", HOUR,
+                              ["item_id", "category_id", "behavior", "ts_s"], delay=DELAY,
+                              name="field_sum_hourly_stream").finish()
 
 
 def login_fail_burst_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -500,14 +491,13 @@ def order_pay_matches_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reconcile_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All three outputs of the reconciliation, tagged, from one stream run."""
-    ev, end = _events_stream(spark, sf_dir), S.End(spark)
+    ev = _events_stream(spark, sf_dir)
     day = F.date_format(F.col("et"), "yyyy-MM-dd").alias("day")
     orders = T.orders_from_events(ev.where(F.col("event_type") == T.VIEW)).select("*", day)
     pays = T.payments_from_events(ev.where(F.col("event_type") == T.PURCHASE)).select("*", day)
     # the key holds its day, so a key closes with its 1-day window
-    st = ops.reconcile(end.ending(orders).withWatermark("et", DELAY), end.ending(pays).withWatermark("et", DELAY),
-                       ["order_id", "day"], ["event_type"], ["event_type"], key_window="1 day")
-    out = S.stream_result(st, "reconcile_stream", end)
+    out = S.reconcile_stream(orders, pays, ["order_id", "day"], ["event_type"], ["event_type"], "1 day", delay=DELAY,
+                             name="reconcile_stream").finish()
     return out.select("order_id", "day", "status", F.col("o_event_type").alias("order_type"),
                       F.unix_millis("o_et").alias("order_ms"), F.col("p_event_type").alias("channel"),
                       F.unix_millis("p_et").alias("pay_ms"))
@@ -528,11 +518,35 @@ def reconcile_unmatched_payments_stream(spark: SparkSession, sf_dir: str) -> Dat
     return r.select("order_id", "day", "channel", "pay_ms")
 
 
+def reconcile_unique_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A view and a purchase that is the very next event, at most an hour
+    later, as a stream-stream join: both keys are unique."""
+    ev, end = _events_stream(spark, sf_dir), S.End(spark)
+    orders = T.orders_from_events(ev.where(F.col("event_type") == T.VIEW)).withColumn("next_id", F.col("seq") + 1)
+    pays = T.payments_from_events(ev.where(F.col("event_type") == T.PURCHASE)).withColumn("next_id", F.col("seq"))
+    out = S.stream_result(S.reconcile_unique(
+        end.ending(orders), end.ending(pays), "next_id", ["order_id"], ["event_type"], HOUR, DELAY),
+        "reconcile_unique_stream", end)
+    return out.where("next_id is not null").select(  # not the end marks
+        "next_id", "status", "o_order_id", F.unix_millis("o_et").alias("order_ms"),
+        F.col("p_event_type").alias("channel"), F.unix_millis("p_et").alias("pay_ms"))
+
+
+ORACLES["reconcile_unique_stream"] = "WITH " + _EV + """
+, o AS (SELECT seq + 1 AS next_id, CAST(user_id AS VARCHAR) AS o_order_id, t FROM ev WHERE event_type = 'view')
+, p AS (SELECT seq AS next_id, CASE WHEN k % 2 = 0 THEN 'weixin' ELSE 'zhifubao' END AS channel, t
+        FROM ev WHERE event_type = 'purchase')
+SELECT coalesce(o.next_id, p.next_id) AS next_id,
+       CASE WHEN p.t IS NULL THEN 'unmatched_order' WHEN o.t IS NULL THEN 'unmatched_payment' ELSE 'matched' END AS status,
+       o_order_id, o.t // 1000 AS order_ms, channel, p.t // 1000 AS pay_ms
+FROM o FULL JOIN p ON o.next_id = p.next_id AND p.t BETWEEN o.t AND o.t + 3600000000"""
+
 STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     hot_items_stream, hot_urls_stream, pv_hourly_stream, uv_hourly_stream, distinct_items_hourly_stream,
     field_sum_hourly_stream, login_fail_burst_stream, login_fail_adjacent_stream, order_timeout_slot_stream,
     order_timeout_pattern_stream, order_pay_matches_stream, order_outcomes_stream, reconcile_stream,
-    reconcile_matched_stream, reconcile_unmatched_orders_stream, reconcile_unmatched_payments_stream)}
+    reconcile_matched_stream, reconcile_unmatched_orders_stream, reconcile_unmatched_payments_stream,
+    reconcile_unique_stream)}
 
 ORACLES["order_outcomes_stream"] = f"""
 SELECT order_id, 'timeout' AS status, event_ms, NULL AS next_ms FROM ({ORACLES["order_timeout_pattern"]}) AS a

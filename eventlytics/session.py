@@ -99,6 +99,25 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def child_names(spark: SparkSession, path: str, pattern: str = "*") -> list[str]:
+    """Names of what a folder holds (or of what matches ``pattern`` below it,
+    with slashes as far as the pattern has); empty if there is no folder."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{pattern}")
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p)
+    depth = pattern.count("/") + 1
+    return ["/".join(f.getPath().toString().split("/")[-depth:]) for f in found or []]
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path below the checkpoint root (never reused)."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"

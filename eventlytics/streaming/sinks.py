@@ -3,13 +3,18 @@ per-batch top-k sink, and the console sink (S5).
 
 A run gets a fresh output and checkpoint path below ``spark.checkpoint.dir``
 unless the caller gives both; given the paths of an earlier run it goes on
-where that one stopped. The per-batch writers overwrite their own batch
-folder, so a replayed batch writes the same rows once.
+where that one stopped -- unless that one was brought to its end (below). The
+per-batch writers overwrite their own batch folder, so a replayed batch writes
+the same rows once.
 
 A bounded stream ends: :func:`ending` adds a source that stays empty until
 :func:`stream_result` or :func:`top_k_stream` has read everything else, and
 then delivers one row far in the future. It moves the watermark past every
-real window; its own windows never close, so it appears in no result.
+real window; its own windows never close, so it appears in no result. The
+checkpoint then has that watermark for good, and every further row would be
+late: a run that was brought to its end is marked, and starting it again is an
+error. Streams that end and go on later are the staged ones (``staged.py``,
+``windows.py``), whose end moves no watermark.
 """
 
 from __future__ import annotations
@@ -21,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from eventlytics.operators.topk import top_k_per_window
-from eventlytics.session import path_exists, scratch_path
+from eventlytics.session import make_folder, path_exists, scratch_path
 
 # The time of the row that ends a stream, beyond any real one.
 END = datetime.datetime(9000, 1, 1)
@@ -48,6 +53,16 @@ class End:
             self.spark.createDataFrame([tuple(row)], schema).coalesce(1).write.mode("append").parquet(folder)
 
 
+def _ended(spark: SparkSession, checkpoint: str) -> str:
+    return f"{checkpoint}/ended"
+
+
+def _refuse_ended(spark: SparkSession, checkpoint: str) -> None:
+    if path_exists(spark, _ended(spark, checkpoint)):
+        raise RuntimeError(f"the run of {checkpoint} was brought to its end: all further rows would be late. "
+                           "Start anew, or use a staged stream")
+
+
 def run_available_now(df: DataFrame, name: str, output_mode: str = "append", path: str | None = None,
                       checkpoint: str | None = None, end: End | None = None) -> str:
     """Run a streaming frame over all available input into a parquet table;
@@ -56,6 +71,7 @@ def run_available_now(df: DataFrame, name: str, output_mode: str = "append", pat
     spark = df.sparkSession
     path = path or scratch_path(spark, f"{name}-out")
     checkpoint = checkpoint or scratch_path(spark, f"{name}-ckpt")
+    _refuse_ended(spark, checkpoint)
 
     def once() -> None:
         (df.writeStream.format("parquet").option("path", path)
@@ -64,6 +80,7 @@ def run_available_now(df: DataFrame, name: str, output_mode: str = "append", pat
 
     once()
     if end is not None:
+        make_folder(spark, _ended(spark, checkpoint))
         end.reach()
         once()
     return path
@@ -93,6 +110,7 @@ def top_k_stream(counts: DataFrame, key: str, k: int, name: str, window_col: str
     spark = counts.sparkSession
     path = path or scratch_path(spark, f"{name}-out")
     checkpoint = checkpoint or scratch_path(spark, f"{name}-ckpt")
+    _refuse_ended(spark, checkpoint)
     cols = list(counts.columns) + ["rank"]
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -105,6 +123,7 @@ def top_k_stream(counts: DataFrame, key: str, k: int, name: str, window_col: str
 
     once()
     if end is not None:
+        make_folder(spark, _ended(spark, checkpoint))
         end.reach()
         once()
     schema = StructType(counts.schema.fields + [StructField("rank", LongType())])
