@@ -79,8 +79,9 @@ def test_staged_takes_rows_out_of_order(spark):
 def test_staged_drops_rows_of_an_emitted_stretch(spark):
     evs = [(1, "a", 0), (1, "a", 1), (2, "b", 100 * D), (1, "a", 2), (2, "b", 100 * D + 1)]
     st = _stream(spark, evs, 3)
-    got = S.staged_stream(st, _adjacent, D // 1000, "et", chunk=D // 1000)
-    assert rows(got, "k", "t") == [(1, 1)]
+    run = S.StagedStream(st, _adjacent, D // 1000, "et", chunk=D // 1000)
+    run.start(availableNow=True).awaitTermination()  # emits the first stretch after the first micro-batch
+    assert rows(run.finish(), "k", "t") == [(1, 1)]
     whole = S.staged_stream(_stream(spark, evs, 5), _adjacent, D // 1000, "et", chunk=D // 1000)
     assert rows(whole, "k", "t") == [(1, 1), (1, 2)]
 
