@@ -17,7 +17,8 @@ from eventlytics import operators as ops
 from eventlytics.functions.text import URL_COUNT_LABEL, URL_LABEL, URL_RULER
 from eventlytics.functions.time import with_event_time
 from eventlytics.sources import tables as T
-from eventlytics.sources.files import parse_behavior
+from eventlytics.operators.aggregates import LAST_GAP, MODE
+from eventlytics.sources.files import parse_access_log, parse_behavior
 
 # Parameters of the registered queries. The reference's 2 s / 5 s gaps
 # match almost nothing on ``events`` (a user's events are hours apart), so
@@ -215,6 +216,65 @@ def uv_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.window_distinct_sliding(_pv(spark, sf_dir), "user_id", ITEM_WINDOW, URL_SLIDE, out_col="uv")
 
 
+def uv_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact users per sliding hour, and whether the united sketches' estimate
+    is within its bound. (One grouping of both results, no join.)"""
+    pv, uv = _pv(spark, sf_dir), F.col("uv")
+    exact = ops.window_distinct_sliding(pv, "user_id", ITEM_WINDOW, ITEM_SLIDE, out_col="uv")
+    guess = ops.window_distinct_estimate(pv, "user_id", ITEM_WINDOW, ITEM_SLIDE)
+    both = exact.unionByName(guess, allowMissingColumns=True).groupBy("window_end").agg(
+        F.max("uv").alias("uv"), F.max("estimate").alias("estimate"))
+    return both.select("window_end", "uv", (F.abs(F.col("estimate") - uv) <= ops.hll_bound(uv)).alias("in_bound"))
+
+
+def uv_returning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users of an hour that were there the hour before, and whether the
+    intersected sketches say so within their bound."""
+    pv = _pv(spark, sf_dir)
+    hour = F.floor(F.unix_seconds("et") / 3600)
+    seen = pv.select("user_id", hour.alias("h")).distinct()
+    near = seen.select("user_id", F.explode(F.array("h", F.col("h") + 1)).alias("w"), "h")
+    exact = near.groupBy("w", "user_id").agg(F.count(F.lit(1)).alias("n"), F.max("h").alias("last")).groupBy("w").agg(
+        F.count_if(F.col("n") == 2).alias("returning"), F.max("last").alias("last"))
+    exact = exact.where("last = w").select(((F.col("w") + 1) * 3_600_000).alias("window_end"), "returning")
+    guess = ops.window_distinct_both(pv, "user_id", HOUR)
+    both = exact.unionByName(guess, allowMissingColumns=True).groupBy("window_end").agg(
+        F.max("returning").alias("returning"), F.max("estimate").alias("estimate"), F.max("bound").alias("bound"))
+    return both.select("window_end", "returning",
+                       (F.abs(F.col("estimate") - F.col("returning")) <= F.col("bound")).alias("in_bound"))
+
+
+# -------------------------------------------- aggregates of the user
+def user_last_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Milliseconds between a user's last two events."""
+    ev = T.orders_from_events(_events(spark, sf_dir)).select("order_id", F.unix_micros("et").alias("t"))
+    out = ops.aggregate_by(ev, ["order_id"], ["t"], LAST_GAP, "bigint", "gap_us")
+    return out.select("order_id", F.expr("gap_us div 1000").alias("gap_ms"))
+
+
+def hourly_top_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most frequent behaviour of each hour."""
+    ev = T.behavior_from_events(_events(spark, sf_dir))
+    hours = ev.select(((F.floor(F.unix_seconds("et") / 3600) + 1) * 3_600_000).alias("window_end"), "behavior")
+    return ops.aggregate_by(hours, ["window_end"], ["behavior"], MODE, "string", "behavior")
+
+
+# ------------------------------------------------- lenient log times
+def log_lenient_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests per day of log lines with fields out of range: for k % 5 = 1
+    the day is 32, for 2 the date is 31/02, for 3 the time 25:61:61, for 4 the
+    month 14."""
+    k = F.regexp_extract("value", r"/k/(\d+)$", 1).cast("int") % 5
+    bad = (F.when(k == 1, F.regexp_replace("value", r" \d\d/", " 32/"))
+           .when(k == 2, F.regexp_replace("value", r" \d\d/\d\d/", " 31/02/"))
+           .when(k == 3, F.regexp_replace("value", r":\d\d:\d\d:\d\d ", ":25:61:61 "))
+           .when(k == 4, F.regexp_replace("value", r"/\d\d/(\d{4}):", r"/14/$1:")).otherwise(F.col("value")))
+    lines = T.access_lines_from_events(_events(spark, sf_dir)).select(bad.alias("value"))
+    log = parse_access_log(lines, lenient=True)
+    return log.groupBy(F.date_format("et", "yyyy-MM-dd").alias("day")).agg(
+        F.count(F.lit(1)).alias("requests"), F.sum(F.unix_seconds("et")).alias("sum_s"))
+
+
 # ------------------------------------------------------------------ oracles
 _EV = """
 ev AS (
@@ -369,7 +429,37 @@ ORACLES["uv_sliding"] = "WITH " + _EV + """
 SELECT (t // 5000000 + 1 + j) * 5000 AS window_end, count(DISTINCT user_id) AS uv
 FROM ev, range(0, 720) AS r(j) WHERE event_type = 'view' GROUP BY 1"""
 
+ORACLES["uv_sketched"] = "WITH " + _EV + """
+SELECT (t // 300000000 + 1 + j) * 300000 AS window_end, count(DISTINCT user_id) AS uv, true AS in_bound
+FROM ev, range(0, 12) AS r(j) WHERE event_type = 'view' GROUP BY 1"""
+ORACLES["uv_returning"] = "WITH " + _EV + """
+, s AS (SELECT DISTINCT user_id, t // 3600000000 AS h FROM ev WHERE event_type = 'view')
+SELECT (a.h + 1) * 3600000 AS window_end, count(b.h) AS returning, true AS in_bound
+FROM s AS a LEFT JOIN s AS b ON b.user_id = a.user_id AND b.h = a.h - 1 GROUP BY a.h"""
+ORACLES["user_last_gap"] = "WITH " + _EV + """
+, r AS (SELECT user_id, t, lag(t) OVER w AS b, row_number() OVER (PARTITION BY user_id ORDER BY t DESC, seq DESC) AS n
+        FROM ev WINDOW w AS (PARTITION BY user_id ORDER BY t, seq))
+SELECT CAST(user_id AS VARCHAR) AS order_id, (t - b) // 1000 AS gap_ms FROM r WHERE n = 1"""
+ORACLES["hourly_top_type"] = "WITH " + _EV + """
+, c AS (SELECT (t // 3600000000 + 1) * 3600000 AS window_end, CASE event_type WHEN 'view' THEN 'pv' WHEN 'purchase'
+               THEN 'buy' ELSE event_type END AS behavior, count(*) AS n FROM ev GROUP BY ALL)
+SELECT window_end, arg_min(behavior, (-n, behavior)) AS behavior FROM c GROUP BY 1"""
+ORACLES["log_lenient_daily"] = "WITH " + _EV + """
+, p AS (SELECT k % 5 AS m, make_timestamp((t // 1000000) * 1000000) AS ts FROM ev)
+, x AS (SELECT CASE m WHEN 1 THEN date_trunc('month', ts) + INTERVAL 31 DAY + (ts - date_trunc('day', ts))
+                      WHEN 2 THEN date_trunc('year', ts) + INTERVAL 1 MONTH + INTERVAL 30 DAY + (ts - date_trunc('day', ts))
+                      WHEN 3 THEN date_trunc('day', ts) + INTERVAL 1 DAY + INTERVAL 7321 SECOND
+                      WHEN 4 THEN date_trunc('year', ts) + INTERVAL 13 MONTH + (date_trunc('day', ts) - date_trunc('month', ts))
+                                  + (ts - date_trunc('day', ts))
+                      ELSE ts END AS ts FROM p)
+SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS requests, sum(epoch_us(ts) // 1000000)::BIGINT AS sum_s FROM x GROUP BY 1"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "uv_sketched": uv_sketched,
+    "uv_returning": uv_returning,
+    "user_last_gap": user_last_gap,
+    "hourly_top_type": hourly_top_type,
+    "log_lenient_daily": log_lenient_daily,
     "late_rows": late_rows,
     "pv_hourly_late": pv_hourly_late,
     "pv_sliding_late": pv_sliding_late,

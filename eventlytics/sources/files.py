@@ -11,7 +11,7 @@ Both read in batch or as a stream (``stream=True``) with the same parse.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Access-log token positions and time format of the reference.
@@ -64,12 +64,33 @@ def read_behavior(spark: SparkSession, path: str, mode: str = "failfast",
     return parse_behavior(read_lines(spark, path, stream, max_files_per_trigger), mode)
 
 
-def parse_access_log(lines: DataFrame, mode: str = "failfast", use_zone: bool = False) -> DataFrame:
+_LENIENT = r"^(\d+)/(\d+)/(\d+):(\d+):(\d+):(\d+)"  # what follows is ignored
+
+
+def lenient_time(text: Column) -> Column:
+    """A log time whose fields may be out of range and then roll over: the
+    32nd of January is the 1st of February, the 14th month February of the
+    next year, 25:61:61 is 02:02:01 of the next day (UTC). Null if it is no
+    such text. Calendar arithmetic: months from January of the year, then days,
+    then seconds."""
+    day, month, year, hour, minute, second = (F.regexp_extract(text, _LENIENT, i).try_cast("int") for i in range(1, 7))
+    first = F.add_months(F.make_date(year, F.lit(1), F.lit(1)), month - 1)
+    seconds = (F.unix_date(first).cast("bigint") + day - 1) * 86_400 + hour.cast("bigint") * 3_600 + \
+        minute.cast("bigint") * 60 + second
+    return F.when(text.rlike(_LENIENT), F.timestamp_seconds(seconds))
+
+
+def parse_access_log(lines: DataFrame, mode: str = "failfast", use_zone: bool = False,
+                     lenient: bool = False) -> DataFrame:
     """Tokens 0 ip, 2 user, 3 time, 5 method, 6 url.
 
     Time is read in the session zone (UTC); ``use_zone=True`` applies the
-    offset token 4 instead.
+    offset token 4 instead. ``lenient=True`` rolls fields over that are out of
+    range, as the reference's date reader does (:func:`lenient_time`); only a
+    text without these fields is then a bad line.
     """
+    if lenient and use_zone:
+        raise ValueError("lenient times are read without a zone")
     if mode not in _MODES:
         raise ValueError(f"mode must be one of {_MODES}")
     tok = F.split(F.col("value"), LOG_SEPARATOR)
@@ -82,7 +103,13 @@ def parse_access_log(lines: DataFrame, mode: str = "failfast", use_zone: bool =
         ts_text, fmt = F.concat_ws(" ", at(LOG_TIME), at(LOG_ZONE)), LOG_TIME_FORMAT + " Z"
     else:
         ts_text, fmt = at(LOG_TIME), LOG_TIME_FORMAT
-    et = F.to_timestamp(ts_text, fmt) if strict else F.try_to_timestamp(ts_text, F.lit(fmt))
+    if lenient:
+        et = lenient_time(ts_text)
+        if strict:
+            bad = F.raise_error(F.concat(F.lit("bad log time: "), ts_text)).cast("timestamp")
+            et = F.coalesce(et, bad)
+    else:
+        et = F.to_timestamp(ts_text, fmt) if strict else F.try_to_timestamp(ts_text, F.lit(fmt))
     cols = [at(LOG_IP).alias("ip"), at(LOG_USER).alias("user_id"), et.alias("et"),
             at(LOG_METHOD).alias("method"), at(LOG_URL).alias("url")]
     if strict:
@@ -95,9 +122,10 @@ def parse_access_log(lines: DataFrame, mode: str = "failfast", use_zone: bool =
 
 
 def read_access_log(spark: SparkSession, path: str, mode: str = "failfast", stream: bool = False,
-                    use_zone: bool = False, max_files_per_trigger: int | None = None) -> DataFrame:
+                    use_zone: bool = False, max_files_per_trigger: int | None = None,
+                    lenient: bool = False) -> DataFrame:
     """Access log (S1 + P2)."""
-    return parse_access_log(read_lines(spark, path, stream, max_files_per_trigger), mode, use_zone)
+    return parse_access_log(read_lines(spark, path, stream, max_files_per_trigger), mode, use_zone, lenient)
 
 
 def split_quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:
