@@ -284,7 +284,7 @@ def compare_with_next(docs: DataFrame, rows_per_range: int = 4000, most_ranges:
         F.struct(F.col("p").alias("p"), F.lit(False).alias("ahead")),
         F.struct(F.get(prev, F.col("p")).alias("p"), F.lit(True).alias("ahead"))
     )).otherwise(F.array(F.struct(F.col("p").alias("p"), F.lit(False).alias("ahead"))))).alias("to"))
-    dealt = dealt.select("to.p", "to.ahead", "doc_id", "text").repartition(4 * ranges, "p")
+    dealt = dealt.select("to.p", "to.ahead", "doc_id", "text").repartitionById(len(cuts) + 1, "p")  # one each
     dealt = dealt.sortWithinPartitions("p", "ahead", F.col("doc_id").asc_nulls_first(),
                                        F.col("text").asc_nulls_first())
     return dealt.mapInArrow(_compare, schema)
