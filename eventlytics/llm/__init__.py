@@ -1,5 +1,5 @@
 """Operators of a training-data pipeline over documents and web pages.
 
-Ten operators, one module each; ``queries.py`` applies each to its whole
+Thirteen operators, one module each; ``queries.py`` applies each to its whole
 table. Nothing outside this subpackage imports it.
 """
