@@ -5,15 +5,20 @@ mean, over its hashed 1-grams and 2-grams, of ``ln p_target / p_raw``. Both
 are multinomials over ``buckets`` hash buckets per order: ``target`` counts
 the n-grams of the trusted documents, ``raw`` those of all documents. Both
 are smoothed by pseudo-counts in proportion to their sizes, so that a bucket
-with too few n-grams to tell is neutral. Dividing by the number of n-grams makes texts of any length
+with too few n-grams to tell is neutral. The number of buckets grows with the
+square root of the corpus' bytes (``buckets_for``), as the number of different
+n-grams of a corpus does, so that they do not fill up. Dividing by the number of n-grams makes texts of any length
 comparable; a document is kept if it passes the base rules and its score is
 at least ``threshold`` (same data, same verdicts: nothing is sampled).
 
 N-grams are taken over runs of letters/digits and runs of other visible
 characters, so that symbol noise glued to words is counted as such. Only
 DataFrame functions are used: the corpus counts are one aggregation to at
-most ``2 * buckets`` rows (partial before the shuffle, bounded whatever the
-input), and scoring is one expression per row without a shuffle.
+most ``2 * buckets`` rows (partial before the shuffle). Up to ``MOST_INLINE``
+weights (corpora of some 270 GB of text) are an array in the expression that
+scores a row, without a shuffle; more of them stay a table, joined to the
+texts' n-gram counts on the bucket. Weights are whole millionths, whose sums
+are exact, so both ways give the same scores.
 
 Defined cases: a null text counts as empty: no words, all counts 0, score 0,
 ``base_failed`` true, ``kept`` false. A text of white space likewise. An
@@ -31,7 +36,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlytics.llm.frames import constant_array, fresh, only, small_side, words
+from eventlytics.llm.frames import constant_array, fresh, only, small_side, words, written
 
 # Runs of letters/digits (anything beyond ASCII counts as a letter), or of marks.
 TOKEN_PATTERN = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+|[!-/:-@\[-`{-~]+"
@@ -40,13 +45,24 @@ WINDOW = 5           # words in a repeated window
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 POSITION_BITS = 24   # of a packed (hash, position); longer texts go the exact way
+LEAST_BUCKETS = 1 << 14
+MOST_INLINE = 1 << 20  # weights that go into the plan
+MICRO = 1_000_000      # weights are whole millionths
 
 
 @dataclass(frozen=True)
 class RatioModel:
-    """Frozen log ratios: ``weights[bucket]`` for 1-grams, then 2-grams."""
+    """Frozen log ratios in millionths: ``weights[bucket]`` for 1-grams, then
+    2-grams, or, if they are many, ``table`` (bucket, weight) without zeros."""
     buckets: int
-    weights: tuple[float, ...]
+    weights: tuple[int, ...] = ()
+    table: DataFrame | None = None
+
+
+def buckets_for(n_bytes: int) -> int:
+    """Buckets per order for a corpus: the power of two at or above the square
+    root of its bytes."""
+    return max(LEAST_BUCKETS, 1 << (math.isqrt(max(n_bytes, 1) - 1)).bit_length())
 
 
 def _tokens(text: Column) -> Column:
@@ -62,50 +78,77 @@ def _two(t: Column, follow: Column, buckets: int) -> Column:
     return F.xxhash64(t, follow).bitwiseAND(F.lit(buckets - 1).cast("long")) + buckets
 
 
-def fit_ratio(docs: DataFrame, target_ids: DataFrame, buckets: int = 1 << 14, prior: float = 5.0) -> RatioModel:
+def _gram_buckets(tokens: str, buckets: int) -> Column:
+    """Per token the buckets of its 1-gram and its 2-gram, in one long."""
+    return F.transform(tokens, lambda t, i: _one(t, buckets).bitwiseOR(
+        F.shiftleft(_two(t, F.get(F.col(tokens), i + 1), buckets), 32)))
+
+
+def _each_bucket(df: DataFrame, key: str, tokens: str, buckets: int) -> DataFrame:
+    """(key, bucket): one row per n-gram of an array column."""
+    d = df.select(key, F.explode(_gram_buckets(tokens, buckets)).alias("p"))
+    return d.select(key, F.explode(F.array(
+        F.col("p").bitwiseAND(F.lit((1 << 32) - 1)), F.shiftright("p", 32))).alias("bucket"))
+
+
+def fit_ratio(docs: DataFrame, target_ids: DataFrame, buckets: int | None = None, prior: float = 5.0) -> RatioModel:
     """Count hashed n-grams of all documents and of the trusted ones.
 
     ``docs`` (doc_id, text); ``target_ids`` (doc_id): trusted documents. Ids
     that are null or unknown are ignored, repeated ids count once.
-    ``buckets``, a power of two, is the number of hash buckets per order;
-    ``prior`` the pseudo-count of each bucket in the target.
+    ``buckets``, a power of two, is the number of hash buckets per order (by
+    default ``buckets_for`` the bytes of all texts); ``prior`` the
+    pseudo-count of each bucket in the target.
     """
-    if buckets < 2 or buckets & (buckets - 1):
-        raise ValueError("buckets must be a power of two")
     d = only(docs, "doc_id", "text")
+    if buckets is None:
+        buckets = buckets_for(d.agg(F.sum(F.octet_length("text").cast("bigint"))).head()[0] or 0)
+    if not 2 <= buckets <= 1 << 30 or buckets & (buckets - 1):
+        raise ValueError("buckets must be a power of two, at most 2**30")
     ids = only(target_ids, "doc_id").where("doc_id IS NOT NULL").distinct().withColumn("trusted", F.lit(1))
     d = d.join(small_side(ids), "doc_id", "left").select("trusted", _tokens(F.col("text")).alias("t"))
-
-    def both(t, i):  # the 1-gram and the 2-gram that start here, in one long
-        return _one(t, buckets).bitwiseOR(F.shiftleft(_two(t, F.get(F.col("t"), i + 1), buckets), 32))
-
-    d = d.select("trusted", F.explode(F.transform("t", both)).alias("p"))
-    d = d.select("trusted", F.explode(F.array(
-        F.col("p").bitwiseAND(F.lit((1 << 32) - 1)), F.shiftright("p", 32))).alias("bucket"))
-    counts = (d.groupBy("bucket")
-              .agg(F.count(F.lit(1)).alias("raw"), F.count("trusted").alias("target")).collect())
-    raw, target = [0] * (2 * buckets), [0] * (2 * buckets)
-    for r in counts:  # at most 2 * buckets rows
-        raw[r["bucket"]], target[r["bucket"]] = r["raw"], r["target"]
-    weights = []
-    for k in (0, buckets):
-        n_raw, n_target = sum(raw[k:k + buckets]), sum(target[k:k + buckets])
-        for i in range(k, k + buckets):
-            expected = raw[i] * n_target / max(n_raw, 1)
-            weights.append(round(math.log((target[i] + prior) / (expected + prior)), 6))
+    counts = written(_each_bucket(d, "trusted", "t", buckets).groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("raw"), F.count("trusted").alias("target")), "ngrams")
+    two = F.col("bucket") >= buckets
+    sizes = {r["two"]: r for r in counts.groupBy(two.alias("two")).agg(
+        F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect()}  # a row per order
+    share = {k: r["target"] / r["raw"] for k, r in sizes.items()}
+    expected = F.col("raw") * F.when(two, share.get(True, 0.0)).otherwise(share.get(False, 0.0))
+    weight = F.round(F.log((F.col("target") + prior) / (expected + prior)) * MICRO).cast("bigint")
+    table = counts.select("bucket", weight.alias("weight")).where("weight != 0")
+    if 2 * buckets > MOST_INLINE:
+        return RatioModel(buckets, table=written(table, "ratios"))
+    weights = [0] * (2 * buckets)
+    for r in table.collect():  # at most MOST_INLINE rows
+        weights[r["bucket"]] = r["weight"]
     return RatioModel(buckets, tuple(weights))
 
 
 def _mean_ratio(tokens: str, model: RatioModel) -> Column:
     """Mean log ratio of an array column's 1-grams and 2-grams (0 if empty)."""
-    weights, n, b = constant_array(model.weights), F.size(tokens), model.buckets
+    weights, n, b = constant_array(model.weights, "bigint"), F.size(tokens), model.buckets
 
     def gram(t, i):
         return F.get(weights, _one(t, b).cast("int")) + F.get(
             weights, _two(t, F.get(F.col(tokens), i + 1), b).cast("int"))
 
-    total = F.aggregate(F.transform(tokens, gram), F.lit(0.0), lambda acc, x: acc + x)
-    return F.when(n == 0, 0.0).otherwise(F.round(total / (2 * n), 6))
+    total = F.aggregate(F.transform(tokens, gram), F.lit(0).cast("bigint"), lambda acc, x: acc + x)
+    return F.when(n == 0, 0.0).otherwise(F.round(total / (2 * n) / MICRO, 6))
+
+
+def _with_joined_ratio(df: DataFrame, text: str, model: RatioModel, out: str) -> DataFrame:
+    """Adds ``out``, the same mean, by joins with the table of weights. Texts
+    are told apart by a digest, so copies are counted as one text, several
+    times over, which leaves its mean as it is; a frequent bucket is one row of
+    a text, and its rows can be split."""
+    key = fresh(df, "digest")
+    df = df.withColumn(key, F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
+    grams = _each_bucket(df.select(F.col(key).alias("digest"), _tokens(F.col(text)).alias("t")), "digest", "t",
+                         model.buckets).groupBy("digest", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    means = grams.join(model.table, "bucket", "left").groupBy("digest").agg(
+        F.round(F.sum(F.coalesce(F.col("n") * F.col("weight"), F.lit(0))) / F.sum("n") / MICRO, 6).alias(out))
+    return df.join(means.withColumnRenamed("digest", key), key, "left").withColumn(
+        out, F.coalesce(F.col(out), F.lit(0.0))).drop(key)
 
 
 def _covered(pairs: Column) -> Column:
@@ -181,6 +224,8 @@ def _with_repeat_words(df: DataFrame, w: str, n: str, out: str) -> DataFrame:
 
 def _scored(df: DataFrame, text: str, model: RatioModel, threshold: float, names: dict) -> DataFrame:
     """Adds the contract's columns under ``names``."""
+    if model.table is not None:
+        df = _with_joined_ratio(df, text, model, names["score"])
     w, t, body, lines = (fresh(df, x) for x in ("w", "t", "body", "lines"))
     c = lambda k: F.col(names[k])
     df = df.withColumn(body, F.coalesce(F.col(text), F.lit("")))
@@ -194,7 +239,7 @@ def _scored(df: DataFrame, text: str, model: RatioModel, threshold: float, names
         names["n_symbols"]: F.when(F.col(body).rlike(SYMBOLS), F.length(F.regexp_replace(
             body, NO_SYMBOLS, ""))).otherwise(0).cast("long"),
         names["n_dup_lines"]: (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
-        names["score"]: _mean_ratio(t, model),
+        names["score"]: c("score") if model.table is not None else _mean_ratio(t, model),
         names["base_failed"]: (c("n_words") < MIN_WORDS)
         | (100 * c("n_repeat_words") > MAX_REPEAT_PERCENT * c("n_words")),
     })

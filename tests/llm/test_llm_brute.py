@@ -100,6 +100,58 @@ def test_quality_of_held_out_documents(spark):
     assert right >= 0.95 * len(labels)
 
 
+def test_rules_row_by_row(spark):
+    """The compiled rules against the kept ones, taken row by row."""
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    model = quality_classifier.fit_rules(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    assert len(model.rules) == len(model.weights) > 1
+    texts = {d["doc_id"]: d["text"] for d in table("documents", folder)}
+    got = quality_classifier.score_quality(docs, model).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(texts)
+    held = collections.Counter()
+    for r in got:
+        data, offsets = bytespans.utf8(pa.array([texts[r["doc_id"]]], pa.string()))
+        stats = quality_classifier.statistics(data, offsets)[0]
+        total = model.intercept
+        for k, (rule, weight) in enumerate(zip(model.rules, model.weights)):
+            if all((stats[f] > at) == above for f, at, above in rule.bounds):
+                total += weight
+                held[k] += 1
+        assert r["score"] == pytest.approx(1 / (1 + math.exp(-total)), abs=2e-9)
+        assert r["predicted"] == (r["score"] >= 0.5)
+    assert any(0 < n < len(got) for n in held.values())
+
+
+def test_opposite_rules_are_extracted_once(spark):
+    """Every node of every tree is a rule or the opposite of one, and no rule
+    bounds a statistic twice on one side."""
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.linalg import Vectors
+    rng = random.Random(3)
+    rows = [[rng.random() for _ in quality_classifier.STATS] for _ in range(400)]
+    train = spark.createDataFrame([(float(x[0] + x[3] > 1), Vectors.dense(x)) for x in rows], ["label", "features"])
+    forest = RandomForestClassifier(numTrees=3, maxDepth=3, seed=1).fit(train)
+    rules = {r.bounds for r in quality_classifier.extract_rules(forest)}
+    assert all(len({(f, up) for f, _, up in r}) == len(r) for r in rules)
+
+    def nodes(node, path):
+        if node.getClass().getSimpleName() == "InternalNode":
+            f, at = node.split().featureIndex(), node.split().threshold()
+            for child, up in ((node.leftChild(), False), (node.rightChild(), True)):
+                yield [*path, (f, at, up)]
+                yield from nodes(child, [*path, (f, at, up)])
+
+    def members(bounds):
+        return tuple(all((x[f] > at) == up for f, at, up in bounds) for x in rows)
+
+    covers = {members(r) for r in rules}
+    for tree in forest.trees:
+        for path in nodes(tree._java_obj.rootNode(), []):
+            got = members(path)
+            assert got in covers or tuple(not x for x in got) in covers
+
+
 def test_statistics_by_hand():
     data, offsets = bytespans.utf8(pa.array(["Ab cd! *** cd!\nAb cd! *** cd!", "", "É1|"]))
     s = [dict(zip(quality_classifier.STATS, r)) for r in quality_classifier.statistics(data, offsets)]
@@ -303,11 +355,32 @@ def test_ratio_scores_by_brute_force(spark):
     assert got == pytest.approx(want, abs=1e-4)
 
 
+def test_ratio_by_joins_is_the_same(spark, monkeypatch):
+    texts = ["a b c, a b!", "a a a", "", None, "x ** y ** z", "c b a c b", "a a a", "b c " * 500, None]
+    docs = text_table(spark, texts).selectExpr("doc_id", "text", "1 AS digest", "2 AS score", "3 AS bucket")
+    good = spark.createDataFrame([(0,), (5,)], "doc_id bigint")
+    inline = quality_rules.fit_ratio(docs, good)
+    monkeypatch.setattr(quality_rules, "MOST_INLINE", 0)
+    joined = quality_rules.fit_ratio(docs, good)
+    assert inline.table is None and joined.table is not None
+    scored = [sorted(map(tuple, quality_rules.score_documents(docs, m).collect())) for m in (inline, joined)]
+    assert scored[0] == scored[1] and len({r[6] for r in scored[0]}) > 3
+    kept = [quality_rules.filter_documents(docs, m) for m in (inline, joined)]
+    assert [k.columns for k in kept] == [docs.columns] * 2
+    assert sorted(map(tuple, kept[0].collect())) == sorted(map(tuple, kept[1].collect()))
+
+
+def test_buckets_grow_with_the_corpus():
+    sizes = [0, 1, 10**8, 5 * 10**8, 30 * 10**9, 10**14]
+    assert [quality_rules.buckets_for(n).bit_length() - 1 for n in sizes] == [14, 14, 14, 15, 18, 24]
+    assert quality_rules.buckets_for(1 << 30) == 1 << 15 and quality_rules.buckets_for((1 << 30) + 1) == 1 << 16
+
+
 def test_repeated_windows_the_exact_way(spark, monkeypatch):
     texts = ["a b c d e " * 3, "a b c d e f a b c d e g b c d e f", "q w e r t y u", " ".join(map(str, range(40))) * 2,
              "x " * 11, "1 2 3 4", "1 2 3 4 5"]
     want = {i: base_counts(t)[4] for i, t in enumerate(texts)}
-    model = quality_rules.RatioModel(2, (0.0,) * 4)
+    model = quality_rules.RatioModel(2, (0,) * 4)
     for bits in (24, 2):  # 2: positions do not fit, so the windows themselves are sorted
         monkeypatch.setattr(quality_rules, "POSITION_BITS", bits)
         got = quality_rules.score_documents(text_table(spark, texts), model).collect()
