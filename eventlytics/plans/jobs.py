@@ -4,8 +4,8 @@ Each job reads its source (a path for the text sources, a DataFrame for
 in-memory or already-read events), assigns event time, and runs its
 operators. ``stream=True`` reads the path as a file stream; DataFrame
 inputs follow their own ``isStreaming``. Streams that are ranked per batch
-(top-k), detected over stretches of time (J5-J8) or reconciled (J9) are run
-over all available input, to its end, below the checkpoint folder and
+(top-k), detected over stretches of time (J5-J8), summed with their first
+record (literal J3) or reconciled (J9) are run over all available input, to its end, below the checkpoint folder and
 returned as a table; page views and distinct counts return the unstarted
 streaming frame, for the caller's ``writeStream``.
 """
@@ -33,8 +33,8 @@ def _seq(df: DataFrame) -> DataFrame:
     return df if "seq" in df.columns else df.withColumn("seq", F.xxhash64(*df.columns))
 
 
-def _page_views(spark: SparkSession, path: str, stream: bool, mode: str) -> DataFrame:
-    df = read_behavior(spark, path, mode=mode, stream=stream)
+def _page_views(spark: SparkSession, path: str, stream: bool, mode: str, position: bool = False) -> DataFrame:
+    df = read_behavior(spark, path, mode=mode, stream=stream, position=position)
     if mode == "quarantine":
         df = df.where(~F.col("_bad")).drop("_bad", "_line")
     df = with_event_time(_seq(df.where(F.col("behavior") == "pv")), "ts_s", "s")
@@ -73,10 +73,14 @@ def page_views(spark: SparkSession, path: str, size="1 hour", literal: bool = Fa
                stream: bool = False, mode: str = "failfast") -> DataFrame:
     """Page views per window; ``literal=True`` reproduces the
     reference's ``sum(0)`` (sum of the user field, other fields of the
-    window's first record)."""
-    pv = _page_views(spark, path, stream, mode)
+    window's first record: of equal times the line that comes first in the
+    files)."""
+    pv = _page_views(spark, path, stream, mode, position=literal)
     if literal:
-        return ops.window_field_sum(pv, "user_id", size, ["item_id", "category_id", "behavior", "ts_s"])
+        others = ["item_id", "category_id", "behavior", "ts_s"]
+        if stream:
+            return S.field_sum_stream(pv, "user_id", size, others, delay=ASCENDING, name="page-views").finish()
+        return ops.window_field_sum(pv, "user_id", size, others)
     return ops.window_count(pv, size, count_col="pv")
 
 

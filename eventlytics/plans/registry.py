@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from eventlytics import operators as ops
 from eventlytics.functions.text import URL_COUNT_LABEL, URL_LABEL, URL_RULER
 from eventlytics.functions.time import with_event_time
+from eventlytics.plans import jobs
+from eventlytics.session import scratch_path
 from eventlytics.sources import tables as T
 from eventlytics.operators.aggregates import LAST_GAP, MODE
 from eventlytics.sources.files import parse_access_log, parse_behavior
@@ -77,6 +79,21 @@ def field_sum_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 ["item_id", "category_id", "behavior", "ts_s"])
 
 
+def _minute_lines(spark, sf_dir) -> str:
+    """A folder of behaviour CSV files whose times are whole minutes, so that
+    many are equal; the files' lines are in a fixed disorder."""
+    events = _events(spark, sf_dir).withColumn("ts", F.date_trunc("minute", "ts").cast("timestamp_ntz"))
+    path = scratch_path(spark, "behavior-lines")
+    T.behavior_lines_from_events(events.orderBy(F.md5(F.col("event_id").cast("string").cast("binary")))).write.text(path)
+    return path
+
+
+def first_views_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 (literal) over text files: of the views of a window's first minute
+    the one whose line comes first in the files."""
+    return jobs.page_views(spark, _minute_lines(spark, sf_dir), HOUR, literal=True)
+
+
 def _csv_lines(spark, sf_dir):
     return T.behavior_lines_from_events(_events(spark, sf_dir))
 
@@ -357,6 +374,12 @@ FROM ev GROUP BY 1""",
 SELECT window_end, CAST(sum(user_id) AS BIGINT) AS user_id, arg_min(k, (t, seq)) AS item_id,
        CAST(arg_min(k // 10, (t, seq)) AS INTEGER) AS category_id, 'pv' AS behavior,
        arg_min(t // 1000000, (t, seq)) AS ts_s
+FROM pv GROUP BY 1""",
+    "first_views_lines": _PV + """
+SELECT window_end, CAST(sum(user_id) AS BIGINT) AS user_id,
+       arg_min(k, (t // 60000000, md5(CAST(seq AS VARCHAR)))) AS item_id,
+       CAST(arg_min(k // 10, (t // 60000000, md5(CAST(seq AS VARCHAR)))) AS INTEGER) AS category_id, 'pv' AS behavior,
+       min(t // 60000000) * 60 AS ts_s
 FROM pv GROUP BY 1""",
     "uv_hourly": _PV + "\nSELECT window_end, count(DISTINCT user_id) AS uv FROM pv GROUP BY 1",
     "distinct_items_hourly": _PV + "\nSELECT window_end, count(DISTINCT k) AS items FROM pv GROUP BY 1",
@@ -473,6 +496,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pv_hourly_csv": pv_hourly_csv,
     "behavior_quarantine": behavior_quarantine,
     "field_sum_hourly": field_sum_hourly,
+    "first_views_lines": first_views_lines,
     "uv_hourly": uv_hourly,
     "distinct_items_hourly": distinct_items_hourly,
     "login_fail_adjacent": login_fail_adjacent,
@@ -534,6 +558,10 @@ def field_sum_hourly_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
                               name="field_sum_hourly_stream").finish()
 
 
+def first_views_lines_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.page_views(spark, _minute_lines(spark, sf_dir), HOUR, literal=True, stream=True)
+
+
 def login_fail_burst_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     fail = F.col("event_type") == "fail"
     out = S.staged_stream(T.logins_from_events(_events_stream(spark, sf_dir)), lambda lg: ops.failure_burst(
@@ -633,7 +661,7 @@ FROM o FULL JOIN p ON o.next_id = p.next_id AND p.t BETWEEN o.t AND o.t + 360000
 
 STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     hot_items_stream, hot_urls_stream, pv_hourly_stream, uv_hourly_stream, distinct_items_hourly_stream,
-    field_sum_hourly_stream, login_fail_burst_stream, login_fail_adjacent_stream, order_timeout_slot_stream,
+    field_sum_hourly_stream, first_views_lines_stream, login_fail_burst_stream, login_fail_adjacent_stream, order_timeout_slot_stream,
     order_timeout_pattern_stream, order_pay_matches_stream, order_outcomes_stream, reconcile_stream,
     reconcile_matched_stream, reconcile_unmatched_orders_stream, reconcile_unmatched_payments_stream,
     reconcile_unique_stream)}

@@ -7,12 +7,20 @@ Both read in batch or as a stream (``stream=True``) with the same parse.
   behaviour: its parse lambda throws);
 * ``quarantine`` -- bad lines are kept aside: the result carries a
   ``_bad`` flag and :func:`split_quarantine` separates good from bad rows.
+
+With ``position=True`` a line carries its arrival order ``seq``: its file, the
+place of its block in the file and its number within the block's read. However
+the read is split into tasks, blocks follow each other by their places and
+lines are read in order, so that ``seq`` always sorts like the lines of the
+files. A stream knows the block at first; :func:`number_lines` adds the number
+to each micro-batch (staged streams do it).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Access-log token positions and time format of the reference.
 LOG_SEPARATOR = " "
@@ -28,19 +36,40 @@ def _reader(spark: SparkSession, stream: bool):
 
 
 def read_lines(spark: SparkSession, path: str, stream: bool = False,
-               max_files_per_trigger: int | None = None) -> DataFrame:
-    """One row per line, column ``value``."""
+               max_files_per_trigger: int | None = None, position: bool = False) -> DataFrame:
+    """One row per line, column ``value`` (S1); with ``position`` also ``seq``,
+    its arrival order (files by their paths)."""
     r = _reader(spark, stream)
     if stream and max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.text(path)
+    lines = r.text(path)
+    if not position:
+        return lines
+    block = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    lines = lines.select("value", block.alias("seq"))
+    return lines if stream else number_lines(lines)
+
+
+def number_lines(df: DataFrame) -> DataFrame:
+    """Completes the ``seq`` of lines of a stream within a micro-batch; any
+    other frame is returned as it is. Rows must still be in the order of the
+    read: only projections and filters may come before."""
+    kind = df.schema["seq"].dataType if "seq" in df.columns else None
+    if not isinstance(kind, StructType) or kind.names != ["file", "block"]:
+        return df
+    return df.withColumn("seq", F.struct("seq.file", "seq.block", F.monotonically_increasing_id().alias("row")))
+
+
+def _order(lines: DataFrame) -> list[str]:
+    return ["seq"] if "seq" in lines.columns else []
 
 
 def parse_behavior(lines: DataFrame, mode: str = "failfast") -> DataFrame:
     """Split ``value`` on commas into the behaviour record.
 
     failfast fails on the first line with a missing or bad field, used or
-    not; quarantine uses ``try_cast`` and flags the row.
+    not; quarantine uses ``try_cast`` and flags the row. A ``seq`` of the
+    lines stays.
     """
     if mode not in _MODES:
         raise ValueError(f"mode must be one of {_MODES}")
@@ -54,14 +83,15 @@ def parse_behavior(lines: DataFrame, mode: str = "failfast") -> DataFrame:
     if mode == "failfast":
         # a filter: it stays when unused columns are pruned
         checked = F.when(good, True).otherwise(F.raise_error(F.concat(F.lit("bad behaviour line: "), F.col("value"))))
-        return lines.where(checked).select(*cols)
-    return lines.select(*cols, F.col("value").alias("_line"), (~good).alias("_bad"))
+        return lines.where(checked).select(*cols, *_order(lines))
+    return lines.select(*cols, *_order(lines), F.col("value").alias("_line"), (~good).alias("_bad"))
 
 
 def read_behavior(spark: SparkSession, path: str, mode: str = "failfast",
-                  stream: bool = False, max_files_per_trigger: int | None = None) -> DataFrame:
+                  stream: bool = False, max_files_per_trigger: int | None = None,
+                  position: bool = False) -> DataFrame:
     """Behaviour CSV without header (S1 + P1)."""
-    return parse_behavior(read_lines(spark, path, stream, max_files_per_trigger), mode)
+    return parse_behavior(read_lines(spark, path, stream, max_files_per_trigger, position), mode)
 
 
 _LENIENT = r"^(\d+)/(\d+)/(\d+):(\d+):(\d+):(\d+)"  # what follows is ignored
@@ -111,7 +141,7 @@ def parse_access_log(lines: DataFrame, mode: str = "failfast", use_zone: bool =
     else:
         et = F.to_timestamp(ts_text, fmt) if strict else F.try_to_timestamp(ts_text, F.lit(fmt))
     cols = [at(LOG_IP).alias("ip"), at(LOG_USER).alias("user_id"), et.alias("et"),
-            at(LOG_METHOD).alias("method"), at(LOG_URL).alias("url")]
+            at(LOG_METHOD).alias("method"), at(LOG_URL).alias("url"), *_order(lines)]
     if strict:
         return lines.select(*cols)
     out = lines.select(*cols, F.col("value").alias("_line"))
@@ -123,9 +153,9 @@ def parse_access_log(lines: DataFrame, mode: str = "failfast", use_zone: bool =
 
 def read_access_log(spark: SparkSession, path: str, mode: str = "failfast", stream: bool = False,
                     use_zone: bool = False, max_files_per_trigger: int | None = None,
-                    lenient: bool = False) -> DataFrame:
+                    lenient: bool = False, position: bool = False) -> DataFrame:
     """Access log (S1 + P2)."""
-    return parse_access_log(read_lines(spark, path, stream, max_files_per_trigger), mode, use_zone, lenient)
+    return parse_access_log(read_lines(spark, path, stream, max_files_per_trigger, position), mode, use_zone, lenient)
 
 
 def split_quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:

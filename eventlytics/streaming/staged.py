@@ -16,7 +16,8 @@ Rows that only matter to a stretch that has been emitted are late and dropped;
 all others count, in whatever order and micro-batches they arrive. Rows
 without an event time are left out, as in batch. Each micro-batch overwrites
 its own folders, so a replayed one has no effect, and a query started again
-with the same ``path`` and ``checkpoint`` goes on where it stopped.
+with the same ``path`` and ``checkpoint`` goes on where it stopped. Lines read
+with their position are numbered within the micro-batch.
 
 A bounded input is read to its end by :meth:`StagedStream.finish`: it stages
 what there is and then emits everything that has not been emitted, in one run
@@ -37,6 +38,7 @@ from pyspark.sql.types import LongType, StructType
 from eventlytics.operators.durations import to_us
 from eventlytics.operators.sequence import default_chunk_us
 from eventlytics.session import child_names, delete_path, make_folder, path_exists, scratch_path
+from eventlytics.sources.files import number_lines
 
 _CLOSING = 1 << 62  # the batch number of what finish() writes
 
@@ -67,7 +69,7 @@ class StagedStream:
         self.path = path or scratch_path(self.spark, f"{name}-out")
         self.checkpoint = checkpoint or scratch_path(self.spark, f"{name}-ckpt")
         self.closing = False
-        rows = self.partial(self.spark.createDataFrame([], StructType(list(df.schema.fields))))
+        rows = self.partial(number_lines(self.spark.createDataFrame([], StructType(list(df.schema.fields)))))
         self.staged_schema = StructType(list(rows.schema.fields)).add("_t", LongType()).add("batch", LongType())
         self.out_schema = op(self.spark.createDataFrame([], rows.schema)).schema
 
@@ -119,7 +121,7 @@ class StagedStream:
         if done is not None:
             self._drop_unreachable(done)
         t = F.unix_micros(F.col(self.time_col))
-        rows = batch.where(t.isNotNull())
+        rows = number_lines(batch).where(t.isNotNull())
         if done is not None:  # what only emitted stretches need is late
             rows = rows.where(t >= done - (self.reach - self.ahead))
         folder = f"{self.path}/stage/batch={batch_id}"

@@ -1,5 +1,7 @@
 """The reference jobs end to end on the fixture rows, batch and stream."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +9,7 @@ from eventlytics import schemas
 from eventlytics.plans import jobs
 from eventlytics.session import scratch_path
 from eventlytics.sources import kafka
+from eventlytics.sources.files import read_lines
 from eventlytics.sources.memory import rows_to_frame, rows_to_stream
 
 from conftest import rows
@@ -114,6 +117,52 @@ def test_equal_times_on_a_stream_are_ordered_by_the_row(spark):
     assert len(results) == 1
 
 
+def _tied_logins(spark, **reading):
+    """Logins parsed from lines read with their position."""
+    lines = read_lines(spark, position=True, **reading)
+    p = F.split("value", ",")
+    return lines.select(p[0].cast("bigint").alias("user_id"), p[1].alias("ip"), p[2].alias("event_type"),
+                        p[3].cast("bigint").alias("ts_s"), "seq")
+
+
+def test_lines_keep_the_order_of_their_files(spark):
+    """Whatever the splits and micro-batches, ``seq`` sorts like the lines."""
+    rng = random.Random(5)
+    users = [[f"{u},10.0.0.{k},{rng.choice(['fail', 'success'])},{u * 10 + k // 6}" for k in range(12)]
+             for u in range(300)]
+    lines = [x for ks in zip(*users) for x in ks]  # each user's lines in order, far apart
+    path = scratch_path(spark, "tied")
+    spark.createDataFrame(list(enumerate(lines)), "i bigint, value string").repartitionByRange(3, "i").orderBy(
+        "i").select("value").write.text(path)
+    want = []
+    for ks in users:
+        rec = [x.split(",") for x in ks]
+        want += [(int(b[0]), b[1], "fail") for a, b in zip(rec, rec[1:])
+                 if a[2] == b[2] == "fail" and int(b[3]) - int(a[3]) < 2]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("700b", "5k", before):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            batch = _tied_logins(spark, path=path)
+            ordered = read_lines(spark, path, position=True).orderBy("seq").select("value").collect()
+            assert [r[0] for r in ordered] == lines
+            assert rows(jobs.login_fail_pattern(batch)) == sorted(want)
+            for n in (None, 1):
+                stream = _tied_logins(spark, path=path, stream=True, max_files_per_trigger=n)
+                assert rows(jobs.login_fail_pattern(stream)) == sorted(want)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert "seq" not in read_lines(spark, path).columns
+
+
+def test_first_record_of_a_window_is_the_first_line(spark):
+    lines = [f"{u},{i},1,pv,1511658000" for u, i in ((9, 70), (2, 30), (5, 10), (1, 90))]
+    path = _text_file(spark, lines, "first")
+    want = [(1511661600000, 17, 70, 1, "pv", 1511658000)]
+    assert rows(jobs.page_views(spark, path, literal=True)) == want
+    assert rows(jobs.page_views(spark, path, literal=True, stream=True)) == want
+
+
 def test_kafka_encode_decode_and_options(spark):
     df = spark.createDataFrame([(543462, 1715, 1464116, "pv", 1511658000)], schemas.BEHAVIOR)
     enc = kafka.encode_lines(df, df.columns)
