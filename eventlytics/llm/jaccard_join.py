@@ -9,13 +9,18 @@ candidates) as ``most_hashes`` allow. One shuffle on band hashes links each
 class with the smallest of its bucket; the components of these links hold all
 candidate pairs.
 
-Within a component every pair is verified on the full n-gram sets: members
-are dealt into blocks of ``block`` classes, and each pair of blocks is one
-small group, so a group of thousands of near copies spreads over many
-tasks and no group is collected whole. A verified block pair does not emit
-its pairs: it emits, per class, the number of its links, and a spanning
-forest of them. (``similar_pairs`` emits pairs of classes instead.) Nothing
-is capped: every pair of different texts in a component is compared.
+Candidates are verified on the full n-gram sets in one of two ways, per
+component the one that moves fewer texts. ``whole``: every pair of the
+component, right for dense groups of near copies, which meet in most bands. By
+bucket: only pairs that share a band, each in its first shared one, right for
+long chains of weakly similar texts, where all pairs would be the square of
+the chain. Either way the members are dealt into blocks of ``block`` classes,
+and each pair of blocks is one small group, so a component or bucket of
+thousands spreads over many tasks and none is collected whole. A verified
+block pair does not emit its pairs: it emits, per class, the number of its
+links, and a spanning forest of them. (``similar_pairs`` emits pairs of
+classes instead.) Nothing is capped: every pair of different texts that share
+a band is compared.
 
 Defined cases: null texts and texts without a word have no n-grams, are in a
 class with texts equal to them but never linked otherwise; ids are compared
@@ -42,6 +47,7 @@ BLOCK = 128                # texts of a block, about
 BLOCK_GRAMS = 1 << 19      # n-grams of a block, about
 MOST_BROADCAST = 500_000   # digests of 16 bytes
 GROUP_BYTES = 1 << 20
+PLACES = "array<struct<place:bigint,band:int,blocks:int>>"
 
 
 def choose_bands(threshold: float, recall: float, most_hashes: int) -> tuple[int, int]:
@@ -189,9 +195,11 @@ def _forest(i: np.ndarray, j: np.ndarray, n: int) -> list[int]:
 
 def _verifier(threshold: float, pairs: bool):
     def verify(table: pa.Table) -> pa.Table:
-        """One pair of blocks of a component: columns id, side, grams,
-        same (a block with itself). Rows out: (a, b, links): links of a, with
-        b null; or a link (a, b) of the forest, or any if ``pairs``."""
+        """One pair of blocks of a component (band -1) or bucket: columns id,
+        side, grams, same (a block with itself), band, hashes (of a bucket's
+        texts: pairs that share an earlier band are left to that). Rows out:
+        (a, b, links): links of a, with b null; or a link (a, b) of the
+        forest, or any if ``pairs``."""
         table = table.combine_chunks()
         order = np.lexsort((table["id"].to_numpy(), table["side"].to_numpy()))
         table = table.take(pa.array(order))
@@ -211,6 +219,11 @@ def _verifier(threshold: float, pairs: bool):
         linked = (common > 0) & (common >= threshold * union - 1e-9)
         if alone:
             linked &= ~np.eye(n, dtype=bool)
+        band = table["band"][0].as_py() if len(ids) else -1
+        if band > 0:
+            hashes = table["hashes"].combine_chunks().flatten().to_numpy().reshape(len(ids), -1)[:, :band]
+            for k in range(band):
+                linked &= hashes[:n, None, k] != hashes[None, list(right), k]
         i, j = np.nonzero(np.triu(linked) if alone else linked)
         jj = j if alone else j + n
         links = np.bincount(i, minlength=len(ids)) + np.bincount(jj, minlength=len(ids))
@@ -243,36 +256,58 @@ def text_classes(docs: DataFrame, words: int, bands: int, rows: int) -> DataFram
     return written(one.withColumn("id", F.monotonically_increasing_id()), "texts")
 
 
+def _places(classes: DataFrame, near: DataFrame, low: DataFrame, blocks: Column) -> DataFrame:
+    """(id, digest, hashes, places): where each candidate class is compared,
+    with the number of blocks there: its component's root with band -1 (hashes
+    are null), or the band hashes of its buckets."""
+    sizes = near.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("n_grams").alias("g"))
+    root_of = near.select(F.col("id").alias("a"), "root")
+    moved = low.join(root_of, "a").groupBy("root").agg(F.sum(F.col("n") * F.col("blocks")).alias("by_bucket"))
+    sizes = sizes.select("root", "n", blocks).join(moved, "root").select(
+        "root", "blocks", (F.col("n") * F.col("blocks") <= F.col("by_bucket")).alias("whole"))
+    near = near.join(sizes, "root")
+    place = lambda at, band: F.struct(F.col(at).alias("place"), band.alias("band"), F.col("blocks"))
+    whole = near.where("whole").select("id", "digest", F.lit(None).cast("array<bigint>").alias("hashes"),
+                                       F.array(place("root", F.lit(-1))).alias("places"))
+    chained = near.where("NOT whole").select("id").join(classes.select("id", "digest", "hashes"), "id")
+    met = chained.select("id", F.posexplode("hashes").alias("band", "hash")).join(low.select("hash", "blocks"), "hash")
+    met = met.groupBy("id").agg(F.collect_list(place("hash", F.col("band"))).alias("places"))  # at most one a band
+    return whole.unionByName(chained.join(met, "id").select("id", "digest", "hashes", "places"))
+
+
 def link_classes(docs: DataFrame, classes: DataFrame, words: int, threshold: float, block: int,
                  pairs: bool = False) -> DataFrame:
     """Rows (a, b, links) of ``_verifier`` over the ids of ``classes``, written."""
-    buckets = classes.select("id", F.explode("hashes").alias("hash"))
-    low = buckets.groupBy("hash").agg(F.min("id").alias("a"), F.max("id").alias("z"))
-    low = low.where("a < z").select("hash", "a")  # buckets of several texts
+    buckets = classes.select("id", "n_grams", F.posexplode("hashes").alias("band", "hash"))
+    # a block holds about ``block`` texts and BLOCK_GRAMS n-grams
+    blocks = F.greatest(F.ceil(F.col("n") / block), F.ceil(F.col("g") / BLOCK_GRAMS)).cast("int").alias("blocks")
+    low = buckets.groupBy("hash").agg(F.min("id").alias("a"), F.max("id").alias("z"),
+                                      F.count(F.lit(1)).alias("n"), F.sum("n_grams").alias("g"))
+    low = low.where("a < z").select("hash", "a", "n", blocks)  # buckets of several texts
+    low = written(low, "buckets")
     edges = buckets.join(low, "hash").select("a", F.col("id").alias("b"))
     near = components(edges, "candidates").withColumnRenamed("node", "id")
     near = written(near.join(classes.select("id", "digest", "n_grams"), "id"), "candidates")
-    # a block holds about ``block`` texts and BLOCK_GRAMS n-grams; members are dealt by a hash
-    sizes = near.groupBy("root").agg(F.greatest(
-        F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("n_grams") / BLOCK_GRAMS)).cast("int").alias("blocks"))
-    near = near.join(sizes, "root").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    near = written(near.select("id", "digest", "root", "blocks", "mine"), "members")
+    members = written(_places(classes, near, low, blocks), "members")
     # one copy of each member's text
     d = only(docs, "text").select(_digest(F.col("text")).alias("digest"), "text")
     one_text = lambda t: t.groupBy("digest").agg(F.first("text").alias("text"))
-    n = near.count()
+    n = members.count()
     if n <= MOST_BROADCAST:
-        texts = one_text(d.join(F.broadcast(near.select("digest")), "digest", "left_semi"))
+        texts = one_text(d.join(F.broadcast(members.select("digest")), "digest", "left_semi"))
     else:  # copies are reduced before the shuffle
-        texts = one_text(d).join(near.select("digest"), "digest", "left_semi")
-    grams = texts.join(near, "digest").select("text", "id", "root", "blocks", "mine").mapInArrow(
-        _gram_pass(words), "id bigint, root bigint, blocks int, mine int, grams array<bigint>")
+        texts = one_text(d).join(members.select("digest"), "digest", "left_semi")
+    grams = texts.join(members, "digest").select("text", "id", "places", "hashes").mapInArrow(
+        _gram_pass(words), f"id bigint, places {PLACES}, hashes array<bigint>, grams array<bigint>")
+    # members are dealt into blocks by a hash
+    grams = grams.select("id", "hashes", "grams", F.inline("places")).withColumn(
+        "mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     # block pair (x, y), x <= y: x has side 0, y side 1, a block with itself only side 0
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = grams.select("id", "root", "grams", "mine", other.alias("k")).select(
-        "id", "root", "grams", F.least("mine", "k").alias("x"), F.greatest("mine", "k").alias("y"),
+    dealt = grams.select("id", "place", "band", "hashes", "grams", "mine", other.alias("k")).select(
+        "id", "place", "band", "hashes", "grams", F.least("mine", "k").alias("x"), F.greatest("mine", "k").alias("y"),
         (F.col("mine") > F.col("k")).cast("int").alias("side"), (F.col("mine") == F.col("k")).alias("same"))
-    return written(dealt.groupBy("root", "x", "y").applyInArrow(
+    return written(dealt.groupBy("place", "band", "x", "y").applyInArrow(
         _verifier(threshold, pairs), "a bigint, b bigint, links bigint"), "links")
 
 

@@ -216,6 +216,27 @@ def test_jaccard_join_of_a_large_group(spark):
     assert kept == sorted({min(ids[u][0] for u in groups[t]) for t in texts})
 
 
+def test_jaccard_join_of_a_chain(spark, monkeypatch):
+    # each text shares four fifths of its n-grams with the next one: one long component of few pairs
+    words = [f"w{k}" for k in range(6 * 400 + 60)]
+    texts = [" ".join(words[6 * k:6 * k + 60]) for k in range(400)]
+    sets = [{tuple(t.split()[k:k + 5]) for k in range(56)} for t in texts]
+    near = {(a, b) for a in range(400) for b in range(a + 1, 400)
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert len(near) == 399
+    places, real = [], jaccard_join._places
+    monkeypatch.setattr(jaccard_join, "_places", lambda *a: places.append(real(*a)) or places[-1])
+    docs = text_table(spark, texts)
+    got = {r["doc_id"]: r for r in jaccard_join.similar_documents(docs, block=16).collect()}
+    by_bucket = places[0].selectExpr("id", "inline(places)").where("band >= 0").count()
+    assert by_bucket > 0  # compared by bucket, not all with all
+    links = collections.Counter(x for pair in near for x in pair)
+    assert {k: r["n_links"] for k, r in got.items()} == {k: links[k] for k in range(400)}
+    assert {r["class_id"] for r in got.values()} == {0}
+    pairs = [(r["a"], r["b"]) for r in jaccard_join.similar_pairs(docs, block=16).collect()]
+    assert len(pairs) == 399 and set(pairs) == near  # each pair once, though it shares many bands
+
+
 def test_jaccard_join_without_broadcast(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "MOST_BROADCAST", 0)
     texts = near_copies()[55:90]
