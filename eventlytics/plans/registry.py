@@ -49,6 +49,12 @@ def hot_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.top_k_per_window(counts, "item_id", TOP_K).select("window_end", "rank", "item_id", "cnt")
 
 
+def hot_items_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``hot_items`` by frequent-items sketches and an exact recount."""
+    top = ops.top_k_by_candidates(_views(spark, sf_dir), "item_id", TOP_K, ITEM_WINDOW, ITEM_SLIDE)
+    return top.select("window_end", "rank", "item_id", "cnt")
+
+
 def hot_items_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.rank_report(hot_items(spark, sf_dir), "item_id")
 
@@ -358,6 +364,7 @@ _BUCKETS = """
 
 ORACLES: dict[str, str] = {
     "hot_items": _HOT_ITEMS_SQL,
+    "hot_items_sketched": _HOT_ITEMS_SQL,
     "hot_items_report": _report_sql(_HOT_ITEMS_SQL, "item_id", " 商品ID=", " 浏览量=", "chr(10)",
                                     "===================================="),
     "hot_urls": _HOT_URLS_SQL,
@@ -489,6 +496,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reconcile_consuming": reconcile_consuming,
     "uv_sliding": uv_sliding,
     "hot_items": hot_items,
+    "hot_items_sketched": hot_items_sketched,
     "hot_items_report": hot_items_report,
     "hot_urls": hot_urls,
     "hot_urls_report": hot_urls_report,
