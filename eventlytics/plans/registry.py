@@ -18,7 +18,7 @@ from eventlytics.functions.text import URL_COUNT_LABEL, URL_LABEL, URL_RULER
 from eventlytics.functions.time import with_event_time
 from eventlytics.plans import jobs
 from eventlytics.session import scratch_path
-from eventlytics.sources import tables as T
+from eventlytics.sources import kafka, tables as T
 from eventlytics.operators.aggregates import LAST_GAP, MODE
 from eventlytics.sources.files import parse_access_log, parse_behavior
 
@@ -30,6 +30,7 @@ ITEM_WINDOW, ITEM_SLIDE = "60 minutes", "5 minutes"
 URL_WINDOW, URL_SLIDE = "10 minutes", "5 seconds"
 HOUR = "1 hour"
 GAP = "12 hours"
+TOPIC_PARTITIONS = 8
 GAP_US = 12 * 3_600_000_000
 
 
@@ -110,6 +111,27 @@ def pv_hourly_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.window_count(pv.where(F.col("behavior") == "pv"), HOUR, count_col="pv")
 
 
+def behavior_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Behaviour lines as records of a topic (key: user; a partition is the
+    user's number mod 8; offset and time of the event), written, read back,
+    decoded and parsed: what each partition holds per behaviour."""
+    b = T.behavior_from_events(_events(spark, sf_dir)).withColumn("part", F.pmod("user_id", F.lit(TOPIC_PARTITIONS)))
+    records = kafka.encode_records(
+        b.select("user_id", "item_id", "category_id", "behavior", "ts_s", "part",
+                 F.col("seq").alias("offset"), F.col("et").alias("timestamp")),
+        ["user_id", "item_id", "category_id", "behavior", "ts_s"], "behavior", "user_id", "part")
+    records = records.select("topic", "key", "value", "partition", "offset", "timestamp")
+    path = scratch_path(spark, "behavior-topic")
+    records.write.parquet(path)
+    lines = kafka.decode_records(spark.read.schema(records.schema).parquet(path))
+    rows = parse_behavior(lines, keep=["key", "value", "partition", "record_offset", "record_time"])
+    return rows.groupBy("partition", "behavior").agg(
+        F.count(F.lit(1)).alias("records"), F.sum(F.length("value")).cast("bigint").alias("value_chars"),
+        F.sum((F.col("key") == F.col("user_id").cast("string")).cast("bigint")).alias("own_key"),
+        F.min("record_offset").alias("first_offset"), F.max("record_offset").alias("last_offset"),
+        F.unix_millis(F.max("record_time")).alias("last_ms")).withColumn("partition", F.col("partition").cast("bigint"))
+
+
 def behavior_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Good and bad CSV lines per behaviour; lines of items divisible by 7
     lose their category, those of items divisible by 11 their last field."""
@@ -372,6 +394,12 @@ ORACLES: dict[str, str] = {
                                    "==================================="),
     "pv_hourly": _PV + "\nSELECT window_end, count(*) AS pv FROM pv GROUP BY 1",
     "pv_hourly_csv": _PV + "\nSELECT window_end, count(*) AS pv FROM pv GROUP BY 1",
+    "behavior_topic": "WITH " + _EV + """
+, line AS (SELECT *, CASE event_type WHEN 'view' THEN 'pv' WHEN 'purchase' THEN 'buy' ELSE event_type END AS behavior FROM ev)
+SELECT CAST(user_id % 8 AS BIGINT) AS partition, behavior, count(*) AS records,
+       CAST(sum(length(concat_ws(',', user_id, k, k // 10, behavior, t // 1000000))) AS BIGINT) AS value_chars,
+       count(*) AS own_key, min(seq) AS first_offset, max(seq) AS last_offset, max(t) // 1000 AS last_ms
+FROM line GROUP BY 1, 2""",
     "behavior_quarantine": "WITH " + _EV + """
 SELECT CASE event_type WHEN 'view' THEN 'pv' WHEN 'purchase' THEN 'buy' ELSE event_type END AS behavior,
        count(*) FILTER (WHERE k % 7 <> 0 AND k % 11 <> 0) AS good,
@@ -503,6 +531,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pv_hourly": pv_hourly,
     "pv_hourly_csv": pv_hourly_csv,
     "behavior_quarantine": behavior_quarantine,
+    "behavior_topic": behavior_topic,
     "field_sum_hourly": field_sum_hourly,
     "first_views_lines": first_views_lines,
     "uv_hourly": uv_hourly,

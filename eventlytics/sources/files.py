@@ -18,6 +18,8 @@ to each micro-batch (staged streams do it).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -64,12 +66,12 @@ def _order(lines: DataFrame) -> list[str]:
     return ["seq"] if "seq" in lines.columns else []
 
 
-def parse_behavior(lines: DataFrame, mode: str = "failfast") -> DataFrame:
+def parse_behavior(lines: DataFrame, mode: str = "failfast", keep: Sequence[str] = ()) -> DataFrame:
     """Split ``value`` on commas into the behaviour record.
 
     failfast fails on the first line with a missing or bad field, used or
     not; quarantine uses ``try_cast`` and flags the row. A ``seq`` of the
-    lines stays.
+    lines stays, as do the columns named in ``keep``.
     """
     if mode not in _MODES:
         raise ValueError(f"mode must be one of {_MODES}")
@@ -83,8 +85,8 @@ def parse_behavior(lines: DataFrame, mode: str = "failfast") -> DataFrame:
     if mode == "failfast":
         # a filter: it stays when unused columns are pruned
         checked = F.when(good, True).otherwise(F.raise_error(F.concat(F.lit("bad behaviour line: "), F.col("value"))))
-        return lines.where(checked).select(*cols, *_order(lines))
-    return lines.select(*cols, *_order(lines), F.col("value").alias("_line"), (~good).alias("_bad"))
+        return lines.where(checked).select(*cols, *_order(lines), *keep)
+    return lines.select(*cols, *_order(lines), *keep, F.col("value").alias("_line"), (~good).alias("_bad"))
 
 
 def read_behavior(spark: SparkSession, path: str, mode: str = "failfast",

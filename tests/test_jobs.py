@@ -173,3 +173,22 @@ def test_kafka_encode_decode_and_options(spark):
     assert opts == {"kafka.bootstrap.servers": "broker:9092", "subscribe": "hotitems",
                     "startingOffsets": "latest", "groupIdPrefix": "consumer-group"}
     assert kafka.sink_options("broker:9092", "hotitems")["topic"] == "hotitems"
+
+
+def test_kafka_records(spark):
+    rows_in = [(1, 10, "pv", 0), (2, None, "buy", 1), (3, 30, "é", 0)]
+    df = spark.createDataFrame(rows_in, "user_id bigint, item_id bigint, behavior string, p int")
+    sent = kafka.encode_records(df, ["user_id", "item_id", "behavior"], "t", key="user_id", partition="p")
+    assert sent.columns == ["topic", "value", "key", "partition", "user_id", "item_id", "behavior", "p"]
+    assert dict(sent.dtypes)["key"] == dict(sent.dtypes)["value"] == "binary"
+    assert kafka.encode_records(df, ["user_id"], "t").where("key IS NOT NULL").count() == 0
+    got = sent.selectExpr("topic", "key", "value", "partition", "user_id AS offset",
+                          "timestamp_seconds(user_id) AS timestamp")
+    extra = spark.createDataFrame([("t", None, None, 0, 7), ("t", None, bytearray(b"a\xff"), 5, 9)],
+                                  "topic string, key binary, value binary, partition int, offset bigint")
+    got = got.unionByName(extra.withColumn("timestamp", F.timestamp_seconds(F.lit(9))))
+    out = {r["seq"]: (r["key"], r["value"]) for r in kafka.decode_records(got).collect()}
+    # an empty field stays a field; a deletion is no line; bad bytes become a replacement character
+    assert out == {(0, 1): ("1", "1,10,pv"), (1, 2): ("2", "2,,buy"), (0, 3): ("3", "3,30,é"), (5, 9): (None, "a\ufffd")}
+    assert kafka.starting_offsets(kafka.offsets_after(got)) == '{"t": {"0": 8, "1": 3, "5": 10}}'
+    assert kafka.decode_records(got.limit(0)).count() == 0
