@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlytics.llm.bytespans import SpanHasher, mix, row_groups, utf8, word_spans
-from eventlytics.llm.frames import written
+from eventlytics.llm.frames import freed_shuffles, written
 
 WIDTH = 20
 DEPTH = 2
@@ -173,14 +173,16 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def sketch_windows(docs: DataFrame, width: int = WIDTH, most_cells: int = MOST_CELLS) -> tuple[int, DataFrame]:
     """(cells of a row, merged blocks) of the windows of all texts."""
     spark = docs.sparkSession
-    cells = cells_for(docs.agg(F.sum(F.length("text"))).head()[0] or 0, most_cells)
+    with freed_shuffles(spark):
+        cells = cells_for(docs.agg(F.sum(F.length("text"))).head()[0] or 0, most_cells)
     # a few tasks a core, as each sends a sketch: joining splits moves nothing
     texts = docs.select("text").coalesce(2 * spark.sparkContext.defaultParallelism)
     schema = "row int, block int, once binary, more binary"
     parts = texts.mapInArrow(_counter(cells, width), schema)
     merged = (parts.repartition("row", "block").sortWithinPartitions("row", "block")
               .mapInArrow(_merged, schema))
-    return cells, written(merged, "sketch")
+    with freed_shuffles(spark):
+        return cells, written(merged, "sketch")
 
 
 class Candidates:
@@ -297,8 +299,9 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, most_cells: int = MOST_C
               .mapInArrow(_grouper(found, width), "lo bigint, hi bigint, doc_id bigint, start bigint"))
     first = places.groupBy("lo", "hi").agg(F.min(F.struct("doc_id", "start")).alias("f"))
     place = F.col("lo").bitwiseXOR(F.col("f.start") * _SPREAD)
-    back = written(first.groupBy(F.col("f.doc_id").alias("doc_id")).agg(F.collect_list(place).alias("firsts"))
-                   .withColumn("part", F.lit(0).cast("bigint")), "firsts")
+    back = first.groupBy(F.col("f.doc_id").alias("doc_id")).agg(F.collect_list(place).alias("firsts"))
+    with freed_shuffles(d.sparkSession):
+        back = written(back.withColumn("part", F.lit(0).cast("bigint")), "firsts")
     # hot ids of two plain shuffles are split; rows without an id go by their texts' hashes
     part = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0))
     whole = d.withColumn("part", part).join(back, ["doc_id", "part"], "left").select(

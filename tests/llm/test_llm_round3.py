@@ -2,10 +2,14 @@
 force in plain Python, on awkward tables, and piece by piece."""
 
 import collections
+import glob
 import hashlib
 import itertools
+import os
 import random
 import re
+import tempfile
+import time
 import zlib
 
 import numpy as np
@@ -313,3 +317,24 @@ def test_kept_text_is_hashed(spark):
     got = substring_dedup.remove_repeats(frame(spark, [(1, "a  b\nc", "en", "a")])).select(
         F.sha2("kept", 256).alias("x")).head()["x"]
     assert got == hashlib.sha256(b"a b c").hexdigest()
+
+
+def shuffle_files(spark):
+    root = spark.sparkContext.getConf().get("spark.local.dir") or tempfile.gettempdir()
+    roots = os.environ.get("SPARK_LOCAL_DIRS", root).split(",")
+    return {f for r in roots for f in glob.glob(f"{r}/**/blockmgr-*/*/shuffle_*.data", recursive=True)}
+
+
+def test_written_steps_keep_no_shuffle_files(spark):
+    """Sketch blocks and windows on disk end with the step that wrote what came of them."""
+    docs = frame(spark, repeat_rows()).repartition(7)
+    before = shuffle_files(spark)
+    got = substring_dedup.remove_repeats(docs)
+    for _ in range(100):  # files go in the background
+        left = shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert got.count() == len(repeat_rows())
