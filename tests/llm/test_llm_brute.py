@@ -610,7 +610,8 @@ def test_peeling_recovers_the_difference():
 @pytest.mark.parametrize("folder", [SF001, "/root/testdata/sf0.01"])
 def test_queries_against_sql(spark, folder, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
+    for view in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {view} AS SELECT * FROM '{folder}/{view}.parquet'")
     res = con.execute(E.oracle_sql()[name])
     names = [d[0] for d in res.description]
     got = E.queries()[name](spark, folder)

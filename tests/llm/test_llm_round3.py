@@ -322,7 +322,7 @@ def test_kept_text_is_hashed(spark):
 def shuffle_files(spark):
     root = spark.sparkContext.getConf().get("spark.local.dir") or tempfile.gettempdir()
     roots = os.environ.get("SPARK_LOCAL_DIRS", root).split(",")
-    return {f for r in roots for f in glob.glob(f"{r}/**/blockmgr-*/*/shuffle_*.data", recursive=True)}
+    return {f for r in roots for f in glob.glob(f"{r}/blockmgr-*/*/shuffle_*.data")}
 
 
 def test_written_steps_keep_no_shuffle_files(spark):
